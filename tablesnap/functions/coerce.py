@@ -141,34 +141,40 @@ def to_date(cell: Column, kind: Column) -> Column:
 
 
 def number_text(value: Column) -> Column:
-    """A double as the shortest decimal text, with an exponent only far from the decimal point."""
-    shown = value.cast("string")
+    """A double as the shortest decimal text that reads back as it, with an exponent only far from
+    the decimal point."""
+
+    def digits_of(precision: int) -> Column:
+        return F.format_string(f"%.{precision - 1}e", value)
+
+    # Java prints some doubles with more digits than they need.
+    shown = digits_of(17)
+    for precision in (16, 15):
+        shown = F.when(digits_of(precision).cast("double") == value, digits_of(precision)).otherwise(shown)
+    return _aside(shown, _plain_number)
+
+
+def _plain_number(shown: Column) -> Column:
+    """d.dddde±xx, where the decimal point belongs after digit number ``point``."""
     sign = F.when(shown.startswith("-"), "-").otherwise("")
-    mantissa = F.regexp_extract(shown, r"^-?([0-9.]+)E", 1)
-    # d.dddE<n>: the digits without the point, which belongs after digit number `point`.
+    mantissa = F.regexp_extract(shown, r"^-?([0-9.]+)e", 1)
     digits = F.regexp_replace(F.regexp_replace(mantissa, "[.]", ""), r"(?<=.)0+\z", "")
-    point = F.regexp_extract(shown, r"E(-?[0-9]+)\z", 1).try_cast("int") + 1
+    point = F.regexp_extract(shown, r"e([+-][0-9]+)\z", 1).cast("int") + 1
     count = F.length(digits)
     tail = F.substring(digits, F.lit(2), count)
-    return F.when(~shown.contains("E"), shown).otherwise(
-        F.concat(
-            sign,
-            F.when(
-                point.between(1, 16),
-                F.when(count <= point, F.concat(F.rpad(digits, point, F.lit("0")), F.lit(".0"))).otherwise(
-                    F.concat(F.substring(digits, F.lit(1), point), F.lit("."), F.substring(digits, point + 1, count))
-                ),
-            )
-            .when(point.between(-4, 0), F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
-            .otherwise(
-                F.concat(
-                    F.substring(digits, 1, 1),
-                    F.when(tail != "", F.concat(F.lit("."), tail)).otherwise(""),
-                    F.lit("e"),
-                    (point - 1).cast("string"),
-                )
-            ),
-        )
+    padded = F.concat(F.rpad(digits, point, F.lit("0")), F.lit(".0"))
+    split = F.concat(F.substring(digits, F.lit(1), point), F.lit("."), F.substring(digits, point + 1, count))
+    exponent = F.concat(
+        F.substring(digits, 1, 1),
+        F.when(tail != "", F.concat(F.lit("."), tail)).otherwise(""),
+        F.lit("e"),
+        (point - 1).cast("string"),
+    )
+    return F.concat(
+        sign,
+        F.when(point.between(1, 16), F.when(count <= point, padded).otherwise(split))
+        .when(point.between(-4, 0), F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
+        .otherwise(exponent),
     )
 
 

@@ -97,9 +97,8 @@ class PagedSource(JsonRowsSource):
     ):
         super().__init__(spark, "", (), None, modified, internal_prefix)
         self._transport, self._pages_per_task = transport, pages_per_task
-        # Ship the classes themselves, so that workers need not have this package installed.
-        for module in {type(transport).__module__, __name__} - {"__main__"}:
-            cloudpickle.register_pickle_by_value(sys.modules[module])
+        # Ship this package's classes themselves, so that workers need not have it installed.
+        cloudpickle.register_pickle_by_value(sys.modules[__name__.partition(".")[0]])
 
     def columns(self) -> list[RemoteColumn]:
         return [

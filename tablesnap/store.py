@@ -13,7 +13,6 @@ from datetime import UTC, datetime
 from weakref import WeakKeyDictionary
 
 from pyspark import inheritable_thread_target
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,7 +67,7 @@ class Store:
         self._log_folder = f"{self.root}/sync_log"
         self._storage.make_dir(self._log_folder)
         self._views: dict[str, tuple[str, str]] = {}  # view -> (key, snapshot) it shows
-        self._functions: set[str] = set()
+        self._index: list[Row] = []  # live entries as of the token, the latest fetch first
         self._token: str | None = None
 
     # --- tables and sources ------------------------------------------------------------------
@@ -436,17 +435,15 @@ class Store:
         token = self.manifest.token()
         if token == self._token:
             return
-        if self._views:
-            current = {e.key: e for e in self.manifest.entries().collect()}
-            for view, (key, _) in list(self._views.items()):
-                entry = self._present(current.get(key))
-                if entry is not None:
-                    self._show(view, entry)
-                else:
-                    self.spark.catalog.dropTempView(view)
-                    del self._views[view]
-        if self._functions:
-            self._index_view()
+        self._index = self.manifest.entries().orderBy(F.desc("fetched_at"), "key").collect()
+        current = {e.key: e for e in self._index}
+        for view, (key, _) in list(self._views.items()):
+            entry = self._present(current.get(key))
+            if entry is not None:
+                self._show(view, entry)
+            else:
+                self.spark.catalog.dropTempView(view)
+                del self._views[view]
         self._token = token
 
     def _index_view(self) -> None:
@@ -474,26 +471,22 @@ class Store:
                 f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(s STRING, q STRING) RETURNS {result} "
                 f"RETURN (SELECT max(v.{fact}) FROM {view} v WHERE v.schema_name = s AND v.query_name = q)"
             )
-        self._functions = {"cache_info", "snapshot_path", "is_stale"}
 
     def sql(self, text: str, args: dict | list | None = None) -> DataFrame:
         """Run Spark SQL in which stored tables can be named bare, as in ``FROM People``. A name
         Spark itself can resolve keeps its meaning."""
         self._take_names()
-        if any(re.search(rf"\b{f}\s*\(", text, re.IGNORECASE) for f in ("cache_info", "snapshot_path", "is_stale")):
+        lowered = text.lower()
+        if any(re.search(rf"\b{f}\s*\(", lowered) for f in ("cache_info", "snapshot_path", "is_stale")):
             self.register_functions()
         self._refresh_views()
-        tried: set[str] = set()
-        while True:
-            try:
-                return self.spark.sql(text, args)
-            except AnalysisException as error:
-                name = _missing_table(error)
-                entry = self._resolve(name) if name and name not in tried else None
-                if entry is None:
-                    raise
-                tried.add(name)
+        for entry in self._index:
+            name = entry.query_name.lower()
+            if name in self._views or quoted(name)[1:-1] not in lowered:
+                continue
+            if not self.spark.catalog.tableExists(quoted(name)) and self._present(entry):
                 self._show(name, entry)
+        return self.spark.sql(text, args)
 
 
 def clear_message(cleared: DataFrame, schema: str | None, query: str | None) -> DataFrame:
@@ -512,11 +505,3 @@ def clear_message(cleared: DataFrame, schema: str | None, query: str | None) ->
         plural = F.when(F.col("n") == 1, "").otherwise("s")
         done = F.concat(F.lit("Cleared "), "n", F.lit(" cached table"), plural, F.lit(" ("), size, F.lit(" total)"))
     return totals.select(F.when(F.col("n") == 0, nothing).otherwise(done).alias("status"))
-
-
-def _missing_table(error: AnalysisException) -> str | None:
-    """The bare name a failed analysis could not find; qualified names are not ours to resolve."""
-    if error.getCondition() != "TABLE_OR_VIEW_NOT_FOUND":
-        return None
-    parts = re.findall(r"`((?:[^`]|``)+)`", error.getMessageParameters().get("relationName", ""))
-    return parts[0].replace("``", "`") if len(parts) == 1 else None
