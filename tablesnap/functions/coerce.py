@@ -1,14 +1,18 @@
 """Typed columns out of untyped JSON cells.
 
 A remote table arrives as one JSON array per row whose cells carry whatever JSON type the server
-chose. Each function here is one column expression over a ``variant`` cell and its kind (the
-cell's JSON type as ``schema_of_variant`` names it); a cell that does not fit the declared type
-becomes NULL and never an error. Spark's own casts are more lenient than the rules we need (they
-trim blanks, truncate decimals, accept bare years and offsets), so every cast stands behind a gate
-on the kind and on the text.
+chose. The functions here write Spark SQL expressions over a cell; a cell that does not fit the
+declared type becomes NULL and never an error. Spark's own casts are more lenient than the rules we
+need (they trim blanks, truncate decimals, accept bare years and offsets), so every cast stands
+behind a gate on the text.
+
+A cell is mostly told by its text alone: a JSON string and a JSON number of the same text mean the
+same. Where the JSON type matters as well (is this a number 5 or a text "5"?), the line is parsed
+once more into ``variant`` cells, and ``schema_of_variant`` names the cell's kind. Only lines that
+hold such a cell are parsed twice.
 
 The usual forms are handled by small expressions that stay inside generated code. Unusual ones are
-handled :func:`_aside`, in a lambda that is only entered by the cells that need it.
+handled in a lambda (:func:`_let`) that is only entered by the cells that need it.
 """
 
 from __future__ import annotations
@@ -28,9 +32,15 @@ FLOAT_WORD = r"^[+-]?(?i:nan|inf|infinity)\z"
 TRUE_TEXT = r"^\p{IsWhite_Space}*(?i:true|t|1|yes|y)\p{IsWhite_Space}*\z"
 FALSE_TEXT = r"^\p{IsWhite_Space}*(?i:false|f|0|no|n)\p{IsWhite_Space}*\z"
 
+# Texts that do not tell enough, by declared type: numbers that are no truth value as a text;
+# numbers with a fraction, an exponent or very many digits, arrays and objects, which are shown in a
+# compact form unless they came as a text.
+UNTOLD_BOOLEAN = r"^(?![01]\z)-?[0-9]+\z"
+UNTOLD_TEXT = r"^(-?[0-9]+[.eE]|-?[0-9]{19}|[\[{])"
+
 # The date and time layouts. USUAL_TEXT is read by a cast as it stands. The loose
-# layouts (blanks before a number, short or signed years, a leap second, month first) are
-# rewritten before the cast; group numbers are given where they are used.
+# layouts (blanks before a number, short or signed years, a leap second, month first) are taken
+# apart into sign, year, month, day, hour, minute, second, fraction.
 USUAL_TEXT = (
     r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
     r"([T ][0-9]{1,2}:[0-9]{1,2}:[0-5]?[0-9]([.][0-9]+)?Z?)?\z"
@@ -39,203 +49,142 @@ _SP = r"\p{IsWhite_Space}*"
 _YEAR = rf"{_SP}([+-]?)([0-9]{{1,4}}|(?<=[+-])[0-9]+)"
 _PART = rf"{_SP}([0-9]{{1,2}})"
 _CLOCK = rf"(?:(?:T{_SP}|\p{{IsWhite_Space}}+)([0-9]{{1,2}}):{_PART}:{_PART}([.][0-9]+)?)?"
-LOOSE_TEXT = rf"^{_YEAR}-{_PART}-{_PART}{_CLOCK}\z"
-MONTH_FIRST_TEXT = rf"^{_PART}/{_PART}/{_YEAR}\z"
+YEAR_FIRST = (rf"^{_YEAR}-{_PART}-{_PART}{_CLOCK}Z?\z", "$1|$2|$3|$4|$5|$6|$7|$8")
+MONTH_FIRST = (rf"^{_PART}/{_PART}/{_YEAR}Z?\z", "$3|$4|$1|$2||||")
 
+# The largest whole numbers of 64 bits.
 MAX_SIGNED = "9223372036854775807"
 MAX_UNSIGNED = "18446744073709551615"
 
 
-def _text(cell: Column) -> Column:
-    return F.try_variant_get(cell, "$", "string")
-
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` for ``value``, which is computed once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
-def _aside(value: Column, rule: Callable[[Column], Column]) -> Column:
-    """``rule(value)``, evaluated once and outside the generated code of the projection."""
-    return F.get(F.transform(F.array(value), lambda v: rule(v)), F.lit(0))
 
-
-def to_int(cell: Column, kind: Column) -> Column:
-    text = _text(cell)
-    return F.when(kind == "BIGINT", F.try_variant_get(cell, "$", "bigint")).when(
-        (kind == "STRING") & text.rlike(INT_TEXT), text.try_cast("bigint")
-    )
+def to_int(text: str) -> str:
+    return f"CASE WHEN {text} RLIKE r'{INT_TEXT}' THEN try_cast({text} AS BIGINT) END"
 
 
-def _float_of_text(text: Column) -> Column:
-    return F.when(text.rlike(FLOAT_TEXT), text.try_cast("double")).when(
-        text.rlike(FLOAT_WORD), F.regexp_replace(F.lower(text), "^[+-]nan", "nan").try_cast("double")
-    )
-
-
-def to_float(cell: Column, kind: Column) -> Column:
-    number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
-    return F.when(number, F.try_variant_get(cell, "$", "double")).when(
-        kind == "STRING", _aside(_text(cell), _float_of_text)
+def to_float(text: str) -> str:
+    word = "try_cast(regexp_replace(lower(w), '^[+-]nan', 'nan') AS DOUBLE)"
+    odd = _let("w", text, f"CASE WHEN w RLIKE r'{FLOAT_WORD}' THEN {word} END")
+    return (
+        f"CASE WHEN {text} RLIKE r'{FLOAT_TEXT}' THEN try_cast({text} AS DOUBLE) WHEN {text} IS NOT NULL THEN {odd} END"
     )
 
 
-def to_boolean(cell: Column, kind: Column) -> Column:
-    text = _text(cell)
+def to_boolean(text: str, is_integer: str) -> str:
     return (
-        F.when(kind == "BOOLEAN", F.try_variant_get(cell, "$", "boolean"))
-        .when(kind == "BIGINT", F.try_variant_get(cell, "$", "bigint") != 0)
-        .when(
-            kind == "STRING",
-            F.when(text.rlike(TRUE_TEXT), F.lit(True)).when(text.rlike(FALSE_TEXT), F.lit(False)),
-        )
+        f"CASE WHEN {text} RLIKE r'{TRUE_TEXT}' THEN true WHEN {text} RLIKE r'{FALSE_TEXT}' THEN false "
+        f"WHEN {text} RLIKE r'{UNTOLD_BOOLEAN}' AND {is_integer} THEN true END"
     )
 
 
-def _four_digits(digits: Column) -> Column:
-    return F.lpad(digits, F.greatest(F.length(digits), F.lit(4)), F.lit("0"))
-
-
-def _usual_layout(text: Column) -> Column:
-    """A loosely written date or instant in the layout the cast reads."""
-
-    def loose(i: int) -> Column:
-        return F.regexp_extract(text, LOOSE_TEXT, i)
-
-    def month_first(i: int) -> Column:
-        return F.regexp_extract(text, MONTH_FIRST_TEXT, i)
-
-    clock = F.concat(F.lit(" "), F.concat_ws(":", loose(5), loose(6), loose(7)), loose(8))
-    return F.when(
-        text.rlike(LOOSE_TEXT),
-        F.concat(
-            loose(1),
-            F.concat_ws("-", _four_digits(loose(2)), loose(3), loose(4)),
-            F.when(loose(5) != "", clock).otherwise(""),
+def _loose_instant(text: str, rule: str) -> str:
+    """``rule`` over ``instant`` and ``leap`` of a loosely written date or instant. Second 60 is the
+    leap second after second 59: it gives the instant of second 59 and a true ``leap``."""
+
+    def parts(layout: tuple[str, str]) -> str:
+        pattern, order = layout
+        return f"WHEN w RLIKE r'{pattern}' THEN split(regexp_replace(w, r'{pattern}', '{order}'), '[|]')"
+
+    date = "concat(p[0], concat_ws('-', lpad(p[1], greatest(length(p[1]), 4), '0'), p[2], p[3]))"
+    clock = "concat(' ', concat_ws(':', p[4], p[5], if(p[6] = '60', '59', p[6])), p[7])"
+    instant = f"try_cast(concat({date}, if(p[4] = '', '', {clock})) AS TIMESTAMP_NTZ)"
+    return _let(
+        "w",
+        text,
+        _let(
+            "p",
+            f"CASE {parts(YEAR_FIRST)} {parts(MONTH_FIRST)} END",
+            _let("x", f"named_struct('instant', {instant}, 'leap', p[6] = '60')", rule),
         ),
-    ).when(
-        text.rlike(MONTH_FIRST_TEXT),
-        F.concat(month_first(3), F.concat_ws("-", _four_digits(month_first(4)), month_first(1), month_first(2))),
     )
 
 
-def _loose_datetime(text: Column) -> Column:
-    iso = _usual_layout(F.regexp_replace(text, r"Z\z", ""))
-    # Second 60 is the leap second after second 59.
-    minute = F.regexp_replace(iso, r":60(?=[.]|\z)", ":59").try_cast("timestamp_ntz")
-    return F.when(iso.rlike(r":60([.]|\z)"), minute + F.expr("INTERVAL 1 SECOND")).otherwise(minute)
-
-
-def _loose_date(text: Column) -> Column:
-    iso = _usual_layout(F.regexp_replace(text, r"Z\z", ""))
-    return F.regexp_replace(iso, r":60(?=[.]|\z)", ":59").try_cast("timestamp_ntz").cast("date")
-
-
-def to_datetime(cell: Column, kind: Column) -> Column:
-    text = _text(cell)
-    return F.when((kind == "STRING") & text.rlike(USUAL_TEXT), text.try_cast("timestamp_ntz")).when(
-        kind == "STRING", _aside(text, _loose_datetime)
+def to_datetime(text: str) -> str:
+    loose = _loose_instant(text, "if(x.leap, x.instant + INTERVAL 1 SECOND, x.instant)")
+    return (
+        f"CASE WHEN {text} RLIKE r'{USUAL_TEXT}' THEN try_cast({text} AS TIMESTAMP_NTZ) "
+        f"WHEN {text} IS NOT NULL THEN {loose} END"
     )
 
 
-def to_date(cell: Column, kind: Column) -> Column:
-    text = _text(cell)
-    return F.when(
-        (kind == "STRING") & text.rlike(USUAL_TEXT), text.try_cast("timestamp_ntz").cast("date")
-    ).when(kind == "STRING", _aside(text, _loose_date))
+def to_date(text: str) -> str:
+    loose = _loose_instant(text, "CAST(x.instant AS DATE)")
+    return (
+        f"CASE WHEN {text} RLIKE r'{USUAL_TEXT}' THEN CAST(try_cast({text} AS TIMESTAMP_NTZ) AS DATE) "
+        f"WHEN {text} IS NOT NULL THEN {loose} END"
+    )
 
 
-def number_text(value: Column) -> Column:
+def number_text(value: str) -> str:
     """A double as the shortest decimal text that reads back as it, with an exponent only far from
     the decimal point."""
-
-    def digits_of(precision: int) -> Column:
-        return F.format_string(f"%.{precision - 1}e", value)
-
-    # Java prints some doubles with more digits than they need.
-    shown = digits_of(17)
-    for precision in (16, 15):
-        shown = F.when(digits_of(precision).cast("double") == value, digits_of(precision)).otherwise(shown)
-    return _aside(shown, _plain_number)
-
-
-def _plain_number(shown: Column) -> Column:
-    """d.dddde±xx, where the decimal point belongs after digit number ``point``."""
-    sign = F.when(shown.startswith("-"), "-").otherwise("")
-    mantissa = F.regexp_extract(shown, r"^-?([0-9.]+)e", 1)
-    digits = F.regexp_replace(F.regexp_replace(mantissa, "[.]", ""), r"(?<=.)0+\z", "")
-    point = F.regexp_extract(shown, r"e([+-][0-9]+)\z", 1).cast("int") + 1
-    count = F.length(digits)
-    tail = F.substring(digits, F.lit(2), count)
-    padded = F.concat(F.rpad(digits, point, F.lit("0")), F.lit(".0"))
-    split = F.concat(F.substring(digits, F.lit(1), point), F.lit("."), F.substring(digits, point + 1, count))
-    exponent = F.concat(
-        F.substring(digits, 1, 1),
-        F.when(tail != "", F.concat(F.lit("."), tail)).otherwise(""),
-        F.lit("e"),
-        (point - 1).cast("string"),
+    # Java prints some doubles with more digits than they need. d.dddde+xx is taken apart into its
+    # sign, its digits, and the number of the digit that the decimal point belongs after.
+    shown = "CASE " + " ".join(
+        f"WHEN CAST(format_string('%.{n}e', d) AS DOUBLE) = d THEN format_string('%.{n}e', d)" for n in (14, 15)
+    ) + " ELSE format_string('%.16e', d) END"
+    parts = (
+        "named_struct('sign', if(s LIKE '-%', '-', ''), "
+        r"'digits', regexp_replace(regexp_replace(s, r'^-|[.]|e.*\z', ''), r'(?<=.)0+\z', ''), "
+        "'point', CAST(substring_index(s, 'e', -1) AS INT) + 1)"
     )
-    return F.concat(
-        sign,
-        F.when(point.between(1, 16), F.when(count <= point, padded).otherwise(split))
-        .when(point.between(-4, 0), F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
-        .otherwise(exponent),
+    plain = (
+        "concat(n.sign, CASE "
+        "WHEN n.point BETWEEN 1 AND 16 AND length(n.digits) <= n.point "
+        "THEN concat(rpad(n.digits, n.point, '0'), '.0') "
+        "WHEN n.point BETWEEN 1 AND 16 "
+        "THEN concat(substring(n.digits, 1, n.point), '.', substring(n.digits, n.point + 1)) "
+        "WHEN n.point BETWEEN -4 AND 0 THEN concat('0.', repeat('0', -n.point), n.digits) "
+        "ELSE concat(substring(n.digits, 1, 1), if(length(n.digits) > 1, concat('.', substring(n.digits, 2)), ''), "
+        "'e', n.point - 1) END)"
     )
+    return _let("d", value, _let("s", shown, _let("n", parts, plain)))
 
 
-def _decimal_text(cell: Column, kind: Column) -> Column:
+def json_text(cell: str, levels: int = 2) -> str:
+    """The compact JSON text of a variant. Numbers with a fraction are rewritten down to ``levels``
+    levels of nesting; deeper ones keep the text Spark gives them."""
+    kind = f"k{levels}"
     # A decimal without a fraction is either an integer beyond 64 signed bits, kept digit by digit
     # while it fits 64 unsigned bits, or a number such as 1.0 whose scale the variant dropped.
-    exact = F.try_variant_get(cell, "$", "decimal(38,0)")
-    return F.when(
-        kind.endswith(",0)")
-        & (exact > F.lit(MAX_SIGNED).cast("decimal(38,0)"))
-        & (exact <= F.lit(MAX_UNSIGNED).cast("decimal(38,0)")),
-        exact.cast("string"),
-    ).otherwise(number_text(F.try_variant_get(cell, "$", "double")))
-
-
-def _json_text(cell: Column, levels: int = 2) -> Column:
-    """The compact JSON text of a cell that is not a string. Numbers with a fraction are rewritten
-    down to ``levels`` levels of nesting; deeper ones keep the text Spark gives them."""
-    kind = F.schema_of_variant(cell)
-    text = F.when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), _decimal_text(cell, kind))
+    whole = f"try_variant_get({cell}, '$', 'decimal(38,0)')"
+    arms = [
+        f"WHEN {kind} LIKE 'DECIMAL(%,0)' AND {whole} > {MAX_SIGNED}BD AND {whole} <= {MAX_UNSIGNED}BD "
+        f"THEN CAST({whole} AS STRING)",
+        f"WHEN {kind} RLIKE '^(DECIMAL|DOUBLE|FLOAT)' THEN " + number_text(f"try_variant_get({cell}, '$', 'double')"),
+    ]
     if levels:
-
-        def nested(inner: Column) -> Column:
-            return F.coalesce(_json_text(inner, levels - 1), F.lit("null"))
-
-        def member(entry: Column) -> Column:
-            return F.concat(F.to_json(entry["key"].cast("variant")), F.lit(":"), nested(entry["value"]))
-
         # Cells of several types in one array make its element kind VARIANT.
-        fractions = kind.rlike("DECIMAL|DOUBLE|FLOAT|VARIANT")
-        items = F.try_variant_get(cell, "$", "array<variant>")
-        members = F.map_entries(F.try_variant_get(cell, "$", "map<string,variant>"))
-        text = text.when(
-            kind.startswith("ARRAY") & fractions,
-            F.concat(F.lit("["), F.array_join(F.transform(items, nested), ","), F.lit("]")),
-        ).when(
-            kind.startswith("OBJECT") & fractions,
-            F.concat(F.lit("{"), F.array_join(F.transform(members, member), ","), F.lit("}")),
+        fractions = f"{kind} RLIKE 'DECIMAL|DOUBLE|FLOAT|VARIANT'"
+        item, member = f"i{levels}", f"m{levels}"
+        items = f"transform(try_variant_get({cell}, '$', 'array<variant>'), {item} -> {json_text(item, levels - 1)})"
+        named = f"concat(to_json(CAST({member}.key AS VARIANT)), ':', {json_text(f'{member}.value', levels - 1)})"
+        members = (
+            f"transform(map_entries(try_variant_get({cell}, '$', 'map<string,variant>')), {member} -> {named})"
         )
-    return text.otherwise(F.to_json(cell))
-
-
-def to_text(cell: Column, kind: Column) -> Column:
-    return F.when(kind.isin("STRING", "BIGINT", "BOOLEAN"), _text(cell)).when(
-        kind != "VOID", _aside(cell, _json_text)
-    )
+        arms += [
+            f"WHEN {kind} LIKE 'ARRAY%' AND {fractions} THEN concat('[', array_join({items}, ','), ']')",
+            f"WHEN {kind} LIKE 'OBJECT%' AND {fractions} THEN concat('{{', array_join({members}, ','), '}}')",
+        ]
+    return _let(kind, f"schema_of_variant({cell})", f"coalesce(CASE {' '.join(arms)} ELSE to_json({cell}) END, 'null')")
 
 
-COERCIONS: dict[str, Callable[[Column, Column], Column]] = {
+# The declared types that are told by the text of a cell.
+BY_TEXT: dict[str, Callable[[str], str]] = {
     "int": to_int,
     "float": to_float,
-    "boolean": to_boolean,
     "dateTime": to_datetime,
     "date": to_date,
 }
 
 
-def coerce(cell: Column, json_type: str | None, kind: Column | None = None) -> Column:
-    """The cell as its declared type; undeclared and unknown types are text."""
-    kind = F.schema_of_variant(cell) if kind is None else kind
-    return COERCIONS.get(json_type or "", to_text)(cell, kind)
+def json_column(column: str) -> Column:
+    """A nested column as the compact JSON text it would arrive as."""
+    return F.expr(f"CASE WHEN {column} IS NOT NULL THEN {_let('c', f'parse_json(to_json({column}))', json_text('c'))} END")
 
 
 def rows_to_table(lines: DataFrame, columns: Sequence[RemoteColumn], layout: Sequence[str] | None = None) -> DataFrame:
@@ -246,16 +195,39 @@ def rows_to_table(lines: DataFrame, columns: Sequence[RemoteColumn], layout: Seq
     would publish a snapshot with rows missing.
     """
     position = {name: i for i, name in enumerate(layout or [c.name for c in columns])}
-    cells = lines.where(F.trim("value") != "").select(
-        F.from_json("value", "array<variant>", {"mode": "FAILFAST"}).alias("cells")
+
+    def at(array: str, column: RemoteColumn) -> str:
+        return f"get({array}, {position[column.name]})"
+
+    def parsed(element: str) -> str:
+        return f"from_json(value, 'array<{element}>', map('mode', 'FAILFAST'))"
+
+    def cells_if(pattern: str, columns: list[RemoteColumn], rule: str) -> str:
+        """``rule`` of every cell ``c`` of the line, for lines in which one of the columns needs it."""
+        if not columns:
+            return "NULL"
+        untold = " OR ".join(f"{at('texts', c)} RLIKE r'{pattern}'" for c in columns)
+        return f"CASE WHEN {untold} THEN transform({parsed('variant')}, c -> {rule}) END"
+
+    truths = [c for c in columns if c.json_type == "boolean"]
+    texts = [c for c in columns if c.json_type not in BY_TEXT and c.json_type != "boolean"]
+    is_integer = "schema_of_variant(c) = 'BIGINT'"
+    told = "schema_of_variant(c) IN ('STRING', 'BIGINT', 'BOOLEAN', 'VOID')"
+    # One projection per step, so that every line is parsed once, and once more only if need be.
+    rows = lines.where("trim(value) <> ''").selectExpr("value", f"{parsed('string')} AS texts")
+    rows = rows.selectExpr(
+        "texts",
+        f"{cells_if(UNTOLD_BOOLEAN, truths, is_integer)} AS integers",
+        f"{cells_if(UNTOLD_TEXT, texts, f'CASE WHEN NOT {told} THEN {json_text("c")} END')} AS shown",
     )
-    # One projection per step, so each line is parsed once and each cell is classified once.
-    cell = [F.get("cells", F.lit(position[c.name])) for c in columns]
-    kinds = cells.select("cells", *[F.schema_of_variant(v).alias(f"kind_{i}") for i, v in enumerate(cell)])
+
+    def stored(column: RemoteColumn) -> str:
+        text = at("texts", column)
+        if column in truths:
+            return to_boolean(text, at("integers", column))
+        if column in texts:
+            return f"coalesce({at('shown', column)}, {text})"
+        return BY_TEXT[column.json_type](text)
+
     schema = snapshot_schema(columns)
-    return kinds.select(
-        [
-            coerce(cell[i], c.json_type, F.col(f"kind_{i}")).alias(c.name, metadata=schema[i].metadata)
-            for i, c in enumerate(columns)
-        ]
-    )
+    return rows.select([F.expr(stored(c)).alias(c.name, metadata=schema[i].metadata) for i, c in enumerate(columns)])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesnap.functions.coerce import coerce
+from tablesnap.functions.coerce import json_column
 from tablesnap.functions.types import RemoteColumn, declared_type, stored_type
 from tablesnap.sources.base import MODIFIED, Source, max_text, quoted
 
@@ -43,7 +43,7 @@ class FrameSource(Source):
         value = F.col(quoted(column.name))
         if isinstance(given, _NESTED):
             # Values without a stored type are kept as the JSON text they would arrive as.
-            value = coerce(F.parse_json(F.to_json(value)), "string")
+            value = json_column(quoted(column.name))
         elif given != stored_type(column.json_type):
             value = value.cast(stored_type(column.json_type))
         return value.alias(column.name, metadata={"json_type": column.json_type or ""})
