@@ -119,7 +119,7 @@ class Store:
         tail of a large one leaves on the cluster. One ``status`` row each, in the given order."""
         ids = [self.table_id(schema, query) for schema, query in tables]
         with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-            done = list(pool.map(inheritable_thread_target(self._synced), ids))
+            done = list(pool.map(inheritable_thread_target(self.spark)(self._synced), ids))
         return self._status(*done)
 
     def _synced(self, table: TableId) -> str:
