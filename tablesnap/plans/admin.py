@@ -94,7 +94,7 @@ def sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", format_size(grown).alias("size"),
         format_size(F.col("l_partkey") * 256).alias("quarter_size"),
-    ).distinct()
+    )
 
 
 def elapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,7 +148,7 @@ CHECKS = {
     ),
     "q_format_size": Check(
         sizes,
-        "SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, "
+        "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, "
         + _SIZE_SQL.format(b="(l_partkey * (1::BIGINT << (l_linenumber * 5 - 5)))")
         + " AS size, "
         + _SIZE_SQL.format(b="(l_partkey * 256)")

@@ -213,7 +213,7 @@ class FolderPages:
 def fetch_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, folder = new_store(spark, sf_dir), f"{scratch(spark)}/pages"
     orders = table(spark, sf_dir, "orders")
-    json_rows(orders).repartition(16).write.text(folder)
+    json_rows(orders).write.option("maxRecordsPerFile", 5_000).text(folder)
     request = select_sql("lists", "orders", orders.columns)
     source = PagedSource(spark, FolderPages(folder, fields_of(orders), request), pages_per_task=2)
     return store.attach("lists", "orders", source).query("lists", "orders")

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from abc import ABC, abstractmethod
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,20 @@ from tablesnap.functions.types import RemoteColumn, visible
 MODIFIED = "Modified"
 
 
+@dataclass(frozen=True)
+class Fetch:
+    """One look at a remote table: what is to be stored, and how to tell later whether it changed.
+
+    ``tracked`` names the stored column whose maximum is the latest change, so that a sync can take
+    it from the rows it writes. Without one, ``probe`` asks the source.
+    """
+
+    columns: Sequence[RemoteColumn]
+    rows: DataFrame
+    tracked: str | None
+    probe: Callable[[], DataFrame | None]
+
+
 class Source(ABC):
     """One remote table.
 
@@ -41,9 +56,13 @@ class Source(ABC):
     def visible_columns(self) -> list[RemoteColumn]:
         return visible(self.columns(), self.internal_prefix)
 
-    def modified_among(self, columns: Sequence[RemoteColumn]) -> str | None:
-        """The stored column whose maximum equals :meth:`probe`, if there is one, so that a sync
-        can take the maximum from the rows it writes instead of reading the source twice."""
+    def fetch(self) -> Fetch:
+        """The visible columns and their rows, lazily."""
+        columns = self.visible_columns()
+        return Fetch(columns, self.read(columns), self.tracked(columns), self.probe)
+
+    def tracked(self, columns: Sequence[RemoteColumn]) -> str | None:
+        """The column among these whose maximum equals :meth:`probe`, if there is one."""
         return next((c.name for c in columns if c.name.lower() == self.modified.lower()), None)
 
 

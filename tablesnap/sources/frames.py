@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesnap.functions.coerce import json_column
-from tablesnap.functions.types import RemoteColumn, declared_type, stored_type
-from tablesnap.sources.base import MODIFIED, Source, max_text, quoted
+from tablesnap.functions.types import RemoteColumn, declared_type, stored_type, visible
+from tablesnap.sources.base import MODIFIED, Fetch, Source, max_text, quoted
 
 _NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
 
@@ -30,13 +30,25 @@ class FrameSource(Source):
         self._load = load
         self._hidden = frozenset(hidden)
 
+    def _columns(self, df: DataFrame) -> list[RemoteColumn]:
+        return [RemoteColumn(f.name, declared_type(f.dataType), f.name in self._hidden) for f in df.schema]
+
+    def _select(self, df: DataFrame, columns: Sequence[RemoteColumn]) -> DataFrame:
+        types = {f.name: f.dataType for f in df.schema}
+        return df.select([self._stored(c, types[c.name]) for c in columns])
+
     def columns(self) -> list[RemoteColumn]:
-        return [RemoteColumn(f.name, declared_type(f.dataType), f.name in self._hidden) for f in self._load().schema]
+        return self._columns(self._load())
 
     def read(self, columns: Sequence[RemoteColumn]) -> DataFrame:
+        return self._select(self._load(), columns)
+
+    def fetch(self) -> Fetch:
+        # One load: listing the files of a large table is not free, and metadata, rows and probe
+        # then speak of the same files.
         df = self._load()
-        types = {f.name: f.dataType for f in df.schema}
-        return df.select([self._stored(c, types[c.name]) for c in columns])
+        columns = visible(self._columns(df), self.internal_prefix)
+        return Fetch(columns, self._select(df, columns), self.tracked(columns), lambda: self._latest(df))
 
     @staticmethod
     def _stored(column: RemoteColumn, given: T.DataType) -> Column:
@@ -49,7 +61,9 @@ class FrameSource(Source):
         return value.alias(column.name, metadata={"json_type": column.json_type or ""})
 
     def probe(self) -> DataFrame | None:
-        df = self._load()
+        return self._latest(self._load())
+
+    def _latest(self, df: DataFrame) -> DataFrame | None:
         name = next((n for n in df.columns if n.lower() == self.modified.lower()), None)
         if name is None:
             return None

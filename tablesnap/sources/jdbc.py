@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tablesnap.functions.types import RemoteColumn
-from tablesnap.sources.base import MODIFIED
+from tablesnap.sources.base import MODIFIED, Source
 from tablesnap.sources.frames import FrameSource
 
 
@@ -46,10 +46,10 @@ class JdbcSource(FrameSource):
     def _table(self, columns: Sequence[str] | None) -> DataFrame:
         return self._spark.read.format("jdbc").options(**self._options, dbtable=self.table_option(columns)).load()
 
+    fetch = Source.fetch  # metadata comes from the table, rows from the projection
+
     def read(self, columns: Sequence[RemoteColumn]) -> DataFrame:
         wanted = [c.name for c in columns]
         # Spark splits the read on this column, so the inner projection has to offer it.
         split = self._options.get("partitionColumn", "").strip('"')
-        df = self._table(wanted + [split] if split and split not in wanted else wanted)
-        types = {f.name: f.dataType for f in df.schema}
-        return df.select([self._stored(c, types[c.name]) for c in columns])
+        return self._select(self._table(wanted + [split] if split and split not in wanted else wanted), columns)

@@ -119,5 +119,5 @@ class PagedSource(JsonRowsSource):
             return None
         return self._spark.createDataFrame([(latest,)], "server_modified string")
 
-    def modified_among(self, columns: Sequence[RemoteColumn]) -> str | None:
+    def tracked(self, columns: Sequence[RemoteColumn]) -> str | None:
         return None  # the server's own text is what later probes return

@@ -22,7 +22,7 @@ from tablesnap.functions.ids import TableId, table_id
 from tablesnap.functions.types import RemoteColumn, snapshot_schema
 from tablesnap.operators import freshness
 from tablesnap.operators.manifest import Manifest, Seq
-from tablesnap.sources.base import Source, quoted
+from tablesnap.sources.base import Fetch, Source, quoted
 from tablesnap.storage import Storage
 
 log = logging.getLogger("tablesnap")
@@ -135,11 +135,10 @@ class Store:
         relpath = f"{table.relpath}/v={Seq.next()}"
         path = self._data_path(relpath)
         try:
-            source = self._source(table)
-            columns = source.visible_columns()
-            if not columns:
+            fetch = self._source(table).fetch()
+            if not fetch.columns:
                 raise ValueError(f"{table.label} has no visible columns.")
-            rows, modified = self._write(source, columns, path)
+            rows, modified = self._write(fetch, path)
         except Exception:
             self._storage.delete(path)
             self._log_sync(table, started, clock, None, None, "failed")
@@ -155,30 +154,29 @@ class Store:
             "container_path": table.container_path,
             "schema_name": table.schema_name,
             "query_name": table.query_name,
-            "columns": [{"name": c.name, "json_type": c.json_type or None} for c in columns],
+            "columns": [{"name": c.name, "json_type": c.json_type or None} for c in fetch.columns],
         }
         self.manifest.put(table.key, entry)
         self._log_sync(table, started, clock, rows, size, "finished")
         return entry
 
-    def _write(self, source: Source, columns: Sequence[RemoteColumn], path: str) -> tuple[int, str | None]:
+    def _write(self, fetch: Fetch, path: str) -> tuple[int, str | None]:
         """Write the table in one pass, without a shuffle; the row count and, where the source
         allows, the latest change are taken from the very rows being written."""
-        tracked = source.modified_among(columns)
         # Otherwise ask before reading: a change during the read then shows as stale, not as fresh.
-        probed = None if tracked else self._probe(source)
+        probed = None if fetch.tracked else self._probe(fetch.probe)
         metrics = [F.count(F.lit(1)).alias("rows")]
-        if tracked:
-            metrics.append(F.max(quoted(tracked)).cast("string").alias("modified"))
+        if fetch.tracked:
+            metrics.append(F.max(quoted(fetch.tracked)).cast("string").alias("modified"))
         seen = Observation()
-        source.read(columns).observe(seen, *metrics).write.mode("errorifexists").parquet(path)
+        fetch.rows.observe(seen, *metrics).write.mode("errorifexists").parquet(path)
         found = seen.get
-        return found.get("rows") or 0, found.get("modified") if tracked else probed
+        return found.get("rows") or 0, found.get("modified") if fetch.tracked else probed
 
-    def _probe(self, source: Source) -> str | None:
+    def _probe(self, ask: Callable[[], DataFrame | None]) -> str | None:
         """The source's latest change; None if it has none or cannot tell, which never fails."""
         try:
-            probe = source.probe()
+            probe = ask()
             found = probe.first() if probe is not None else None
             return found.server_modified if found is not None else None
         except Exception as error:  # noqa: BLE001 - an unreachable source must not block reads
@@ -255,7 +253,7 @@ class Store:
     def _outdated(self, table: TableId, entry: Row) -> bool:
         if entry.server_modified is None:
             return False
-        latest = self._probe(self._source(table))
+        latest = self._probe(self._source(table).probe)
         return latest is not None and latest != entry.server_modified
 
     # --- administration ----------------------------------------------------------------------

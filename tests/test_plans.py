@@ -50,6 +50,11 @@ def test_latest_per_key_aggregates_before_the_shuffle(spark):
     assert len(re.findall("partial_max_by", text)) >= 1
 
 
+def test_top_k_per_group_is_cut_before_the_shuffle(spark):
+    for name in ("q_window_rank", "q_qualify"):
+        assert physical(CHECKS[name].run(spark, SF)).count("WindowGroupLimit") >= 2, name
+
+
 def test_no_query_has_a_cross_join(spark):
     for name in ("q_is_stale", "q_is_stale_sql", "q_snapshot_path_sql", "q_schema_diff", "q_join_three"):
         text = physical(CHECKS[name].run(spark, SF))

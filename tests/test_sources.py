@@ -120,5 +120,5 @@ def test_files(spark, new_store, tmp_path):
 def test_change_column_is_found_in_any_case(spark):
     source = FrameSource(lambda: spark.sql("SELECT 1 AS id, 'v7' AS MODIFIED"))
     assert source.probe().first().server_modified == "v7"
-    assert source.modified_among([RemoteColumn("id", "int"), RemoteColumn("MODIFIED", "string")]) == "MODIFIED"
+    assert source.tracked([RemoteColumn("id", "int"), RemoteColumn("MODIFIED", "string")]) == "MODIFIED"
     assert FrameSource(lambda: spark.range(1)).probe() is None
