@@ -31,6 +31,7 @@ LOG_SCHEMA = (
     "schema_name string, query_name string, started_at string, row_count bigint, size_bytes bigint, "
     "elapsed_ms bigint, outcome string"
 )
+BROADCAST_TABLES = 10_000  # a fact per table is a few hundred bytes, so at most a few megabytes
 INDEX_VIEW, FRESHNESS_VIEW = "tablesnap_index", "tablesnap_freshness"
 
 
@@ -307,30 +308,29 @@ class Store:
 
     # --- per-row lookups ---------------------------------------------------------------------
 
-    def _own_entries(self) -> DataFrame:
+    def _own_entries(self) -> list[Row]:
         """Index entries of this store's own server and container, one per schema and query."""
         server = self.table_id("s", "q").key[: -len("s|q")]
-        return self.manifest.entries().where(
-            F.col("key") == F.concat(F.lit(server), "schema_name", F.lit("|"), "query_name")
-        )
+        own = F.col("key") == F.concat(F.lit(server), "schema_name", F.lit("|"), "query_name")
+        return self.manifest.entries().where(own).collect()
 
-    def _paths(self) -> DataFrame:
-        """``schema_name, query_name, path`` of the tables whose data is there."""
-        rows = [
+    def _own_paths(self) -> list[tuple[str, str, str]]:
+        """Schema, query and folder of the tables whose data is there."""
+        return [
             (e.schema_name, e.query_name, self._data_path(e.parquet_path))
-            for e in self._own_entries().collect()
+            for e in self._own_entries()
             if self._present(e)
         ]
-        return self.spark.createDataFrame(rows, "schema_name string, query_name string, path string")
 
-    def _probes(self) -> list[tuple[str, str, DataFrame]]:
+    def _probes(self, entries: list[Row]) -> list[tuple[str, str, DataFrame]]:
         probes = []
-        for e in self._own_entries().where(F.col("server_modified").isNotNull()).collect():
+        for e in entries:
             try:
-                probe = self._source(self.table_id(e.schema_name, e.query_name)).probe()
+                known = e.server_modified is not None
+                probe = self._source(self.table_id(e.schema_name, e.query_name)).probe() if known else None
             except Exception as error:  # noqa: BLE001 - unknown freshness is NULL, never an error
                 log.warning("could not probe %s.%s: %s", e.schema_name, e.query_name, error)
-                continue
+                probe = None
             if probe is not None:
                 probes.append((e.schema_name, e.query_name, probe))
         return probes
@@ -338,42 +338,46 @@ class Store:
     def freshness(self) -> DataFrame:
         """``schema_name, query_name, stale`` for each table of this store's server, probing all
         sources in one job when the result is used."""
-        return freshness.compare(self._own_entries(), freshness.union_probes(self.spark, self._probes()))
+        entries = self._own_entries()
+        return self._compared(entries, freshness.union_probes(self.spark, self._probes(entries)))
+
+    def _compared(self, entries: list[Row], probes: DataFrame) -> DataFrame:
+        stored = [(e.schema_name, e.query_name, e.server_modified) for e in entries]
+        return freshness.compare(self.spark.createDataFrame(stored, freshness.PROBE_SCHEMA), probes)
 
-    def _known_freshness(self) -> DataFrame:
+    def _known_freshness(self) -> list[Row]:
         """:meth:`freshness`, computed now. If a source fails, the others still get an answer."""
-        probes = self._probes()
+        entries = self._own_entries()
+        probes = self._probes(entries)
         try:
-            found = freshness.union_probes(self.spark, probes).collect()
+            return self._compared(entries, freshness.union_probes(self.spark, probes)).collect()
         except Exception as error:  # noqa: BLE001
             log.warning("probing one by one, as probing all failed: %s", error)
-            found = []
-            for schema, query, probe in probes:
-                try:
-                    found += freshness.union_probes(self.spark, [(schema, query, probe)]).collect()
-                except Exception as failure:  # noqa: BLE001
-                    log.warning("could not probe %s.%s: %s", schema, query, failure)
-        known = self.spark.createDataFrame(found, freshness.PROBE_SCHEMA)
-        states = freshness.compare(self._own_entries(), known)
-        return self.spark.createDataFrame(states.collect(), states.schema)
-
-    def _look_up(self, df: DataFrame, facts: DataFrame, schema_col: str, query_col: str, out: str) -> DataFrame:
-        # A local relation of one row per table: Spark knows its size and broadcasts it only while
-        # that is below the session's threshold.
-        schema_name, query_name, fact = facts.columns
-        named = facts.select(
-            F.col(schema_name).alias("__schema__"), F.col(query_name).alias("__query__"), F.col(fact).alias(out)
+        found = []
+        for schema, query, probe in probes:
+            latest = self._probe(lambda probe=probe: probe)
+            found.append((schema, query, latest))
+        return self._compared(entries, self.spark.createDataFrame(found, freshness.PROBE_SCHEMA)).collect()
+
+    def _look_up(self, df: DataFrame, facts: list, kind: str, schema_col: str, query_col: str, out: str) -> DataFrame:
+        """Add a fact per table to each row. ``facts`` has a row per table of the index and is at
+        hand, so its size is known: it is broadcast up to a bound, and joined as any other side
+        beyond it. The rows of ``df`` are then never shuffled for it."""
+        named = self.spark.createDataFrame(
+            [tuple(f) for f in facts], f"__schema__ string, __query__ string, {quoted(out)} {kind}"
         )
+        if len(facts) <= BROADCAST_TABLES:
+            named = F.broadcast(named)
         match = (F.col(quoted(schema_col)) == F.col("__schema__")) & (F.col(quoted(query_col)) == F.col("__query__"))
         return df.join(named, match, "left").drop("__schema__", "__query__")
 
     def with_snapshot_path(self, df: DataFrame, schema_col: str, query_col: str, out: str = "snapshot_path") -> DataFrame:
         """Add the folder of each row's table, NULL if it is not stored."""
-        return self._look_up(df, self._paths(), schema_col, query_col, out)
+        return self._look_up(df, self._own_paths(), "string", schema_col, query_col, out)
 
     def with_staleness(self, df: DataFrame, schema_col: str, query_col: str, out: str = "is_stale") -> DataFrame:
         """Add whether each row's table is stale; each table is probed once, not once per row."""
-        return self._look_up(df, self._known_freshness(), schema_col, query_col, out)
+        return self._look_up(df, self._known_freshness(), "boolean", schema_col, query_col, out)
 
     # --- names -------------------------------------------------------------------------------
 
@@ -445,7 +449,7 @@ class Store:
         self._token = token
 
     def _index_view(self) -> None:
-        own = self._paths().select(F.col("path").alias("own_path"))
+        own = self.spark.createDataFrame([(path,) for _, _, path in self._own_paths()], "own_path string")
         info = self.cache_info()
         info.join(own, F.col("parquet_path") == F.col("own_path"), "left").createOrReplaceTempView(INDEX_VIEW)
 
@@ -461,13 +465,15 @@ class Store:
             f"CREATE OR REPLACE TEMPORARY FUNCTION cache_info() RETURNS TABLE ({returns}) "
             f"RETURN SELECT {', '.join(info.columns)} FROM {INDEX_VIEW}"
         )
+        # As in :meth:`_look_up`: the rows that call a function are not shuffled for it.
+        hint = "/*+ BROADCAST(v) */" if len(self._own_entries()) <= BROADCAST_TABLES else ""
         for name, result, fact, view in (
             ("snapshot_path", "STRING", "own_path", INDEX_VIEW),
             ("is_stale", "BOOLEAN", "stale", FRESHNESS_VIEW),
         ):
             self.spark.sql(
                 f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(s STRING, q STRING) RETURNS {result} "
-                f"RETURN (SELECT max(v.{fact}) FROM {view} v WHERE v.schema_name = s AND v.query_name = q)"
+                f"RETURN (SELECT {hint} max(v.{fact}) FROM {view} v WHERE v.schema_name = s AND v.query_name = q)"
             )
 
     def sql(self, text: str, args: dict | list | None = None) -> DataFrame:

@@ -55,6 +55,13 @@ def test_top_k_per_group_is_cut_before_the_shuffle(spark):
         assert physical(CHECKS[name].run(spark, SF)).count("WindowGroupLimit") >= 2, name
 
 
+def test_per_row_lookups_never_shuffle_the_rows(spark):
+    for name in ("q_is_stale", "q_is_stale_sql", "q_snapshot_path", "q_snapshot_path_sql"):
+        text = physical(CHECKS[name].run(spark, SF))
+        top = text.split("BroadcastExchange")[0]
+        assert "BroadcastHashJoin" in top and "Exchange hash" not in top and "SortMergeJoin" not in top, name
+
+
 def test_no_query_has_a_cross_join(spark):
     for name in ("q_is_stale", "q_is_stale_sql", "q_snapshot_path_sql", "q_schema_diff", "q_join_three"):
         text = physical(CHECKS[name].run(spark, SF))
