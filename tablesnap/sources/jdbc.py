@@ -15,10 +15,23 @@ def quote_identifier(name: str) -> str:
     return '"' + name.replace('"', '""') + '"'
 
 
+def table_name(schema: str, query: str) -> str:
+    return f"{quote_identifier(schema)}.{quote_identifier(query)}"
+
+
 def select_sql(schema: str, query: str, columns: Sequence[str]) -> str:
     """``SELECT "c1", "c2" FROM "schema"."query"``: just the wanted columns leave the server."""
     wanted = ", ".join(map(quote_identifier, columns))
-    return f"SELECT {wanted} FROM {quote_identifier(schema)}.{quote_identifier(query)}"
+    return f"SELECT {wanted} FROM {table_name(schema, query)}"
+
+
+def max_sql(schema: str, query: str, column: str) -> str:
+    """The latest change as the server computes it: one value leaves the server."""
+    return f"SELECT MAX({quote_identifier(column)}) AS {quote_identifier(column)} FROM {table_name(schema, query)}"
+
+
+# The options by which Spark splits a read.
+SPLIT_OPTIONS = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
 
 
 class JdbcSource(FrameSource):
@@ -36,15 +49,10 @@ class JdbcSource(FrameSource):
         internal_prefix: str | None = None,
     ):
         self._spark, self._schema, self._query, self._options = spark, schema, query, options
-        super().__init__(lambda: self._table(None), hidden, modified, internal_prefix)
+        super().__init__(lambda: self._load_sql(table_name(schema, query), options), hidden, modified, internal_prefix)
 
-    def table_option(self, columns: Sequence[str] | None) -> str:
-        if columns is None:
-            return f"{quote_identifier(self._schema)}.{quote_identifier(self._query)}"
-        return f"({select_sql(self._schema, self._query, columns)}) t"
-
-    def _table(self, columns: Sequence[str] | None) -> DataFrame:
-        return self._spark.read.format("jdbc").options(**self._options, dbtable=self.table_option(columns)).load()
+    def _load_sql(self, dbtable: str, options: dict[str, str]) -> DataFrame:
+        return self._spark.read.format("jdbc").options(**options, dbtable=dbtable).load()
 
     fetch = Source.fetch  # metadata comes from the table, rows from the projection
 
@@ -52,4 +60,12 @@ class JdbcSource(FrameSource):
         wanted = [c.name for c in columns]
         # Spark splits the read on this column, so the inner projection has to offer it.
         split = self._options.get("partitionColumn", "").strip('"')
-        return self._select(self._table(wanted + [split] if split and split not in wanted else wanted), columns)
+        names = wanted + [split] if split and split not in wanted else wanted
+        return self._select(self._load_sql(f"({select_sql(self._schema, self._query, names)}) t", self._options), columns)
+
+    def probe(self) -> DataFrame | None:
+        name = self.tracked(self.columns())
+        if name is None:
+            return None
+        whole = {k: v for k, v in self._options.items() if k not in SPLIT_OPTIONS}
+        return self._latest(self._load_sql(f"({max_sql(self._schema, self._query, name)}) t", whole))

@@ -4,7 +4,7 @@ import json
 import pytest
 
 from tablesnap import FileSource, FrameSource, JdbcSource, JsonRowsSource, PagedSource, RemoteColumn
-from tablesnap.sources import select_sql
+from tablesnap.sources.jdbc import select_sql
 
 FIELDS = [
     {"name": "id", "jsonType": "int"},
@@ -21,9 +21,26 @@ def test_projection_sql():
 
 
 def test_jdbc_sends_the_projection_along(spark):
-    source = JdbcSource(spark, "lists", "People", {"url": "jdbc:none:", "numPartitions": "8"})
-    assert source.table_option(None) == '"lists"."People"'
-    assert source.table_option(["Id", "Name"]) == '(SELECT "Id", "Name" FROM "lists"."People") t'
+    """No database may be started here, so a stand-in takes what would go to Spark's JDBC reader."""
+    asked = []
+
+    class Recorded(JdbcSource):
+        def _load_sql(self, dbtable, options):
+            asked.append((dbtable, options))
+            return spark.sql("SELECT 1 AS Id, 'x' AS Secret, TIMESTAMP_NTZ '2024-01-01' AS Modified, 'n' AS Name")
+
+    split = {"partitionColumn": "Id", "lowerBound": "0", "upperBound": "9", "numPartitions": "3"}
+    source = Recorded(spark, "lists", "People", {"url": "jdbc:none:", **split}, hidden=["Id", "Secret"])
+    fetch = source.fetch()
+    assert fetch.rows.columns == ["Modified", "Name"] and fetch.tracked == "Modified"
+    assert [table for table, _ in asked] == [
+        '"lists"."People"',
+        '(SELECT "Modified", "Name", "Id" FROM "lists"."People") t',
+    ]
+    assert asked[1][1] == {"url": "jdbc:none:", **split}
+    asked.clear()
+    assert source.probe().first().server_modified == "2024-01-01 00:00:00"
+    assert asked[-1] == ('(SELECT MAX("Modified") AS "Modified" FROM "lists"."People") t', {"url": "jdbc:none:"})
 
 
 def test_captured_rows_and_metadata(spark, new_store, tmp_path):
