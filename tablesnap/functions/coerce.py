@@ -199,22 +199,23 @@ def rows_to_table(lines: DataFrame, columns: Sequence[RemoteColumn], layout: Seq
     def at(array: str, column: RemoteColumn) -> str:
         return f"get({array}, {position[column.name]})"
 
-    def parsed(element: str) -> str:
-        return f"from_json(value, 'array<{element}>', map('mode', 'FAILFAST'))"
+    def parsed(element: str, mode: str) -> str:
+        return f"from_json(value, 'array<{element}>', map('mode', '{mode}'))"
 
     def cells_if(pattern: str, columns: list[RemoteColumn], rule: str) -> str:
         """``rule`` of every cell ``c`` of the line, for lines in which one of the columns needs it."""
         if not columns:
             return "NULL"
         untold = " OR ".join(f"{at('texts', c)} RLIKE r'{pattern}'" for c in columns)
-        return f"CASE WHEN {untold} THEN transform({parsed('variant')}, c -> {rule}) END"
+        # What no variant can hold (a key given twice, a huge cell) leaves its line to the texts.
+        return f"CASE WHEN {untold} THEN transform({parsed('variant', 'PERMISSIVE')}, c -> {rule}) END"
 
     truths = [c for c in columns if c.json_type == "boolean"]
     texts = [c for c in columns if c.json_type not in BY_TEXT and c.json_type != "boolean"]
     is_integer = "schema_of_variant(c) = 'BIGINT'"
     told = "schema_of_variant(c) IN ('STRING', 'BIGINT', 'BOOLEAN', 'VOID')"
     # One projection per step, so that every line is parsed once, and once more only if need be.
-    rows = lines.where("trim(value) <> ''").selectExpr("value", f"{parsed('string')} AS texts")
+    rows = lines.where("trim(value) <> ''").selectExpr("value", f"{parsed('string', 'FAILFAST')} AS texts")
     rows = rows.selectExpr(
         "texts",
         f"{cells_if(UNTOLD_BOOLEAN, truths, is_integer)} AS integers",

@@ -314,12 +314,10 @@ class Store:
         own = F.col("key") == F.concat(F.lit(server), "schema_name", F.lit("|"), "query_name")
         return self.manifest.entries().where(own).collect()
 
-    def _own_paths(self) -> list[tuple[str, str, str]]:
+    def _own_paths(self, entries: list[Row]) -> list[tuple[str, str, str]]:
         """Schema, query and folder of the tables whose data is there."""
         return [
-            (e.schema_name, e.query_name, self._data_path(e.parquet_path))
-            for e in self._own_entries()
-            if self._present(e)
+            (e.schema_name, e.query_name, self._data_path(e.parquet_path)) for e in entries if self._present(e)
         ]
 
     def _probes(self, entries: list[Row]) -> list[tuple[str, str, DataFrame]]:
@@ -373,7 +371,7 @@ class Store:
 
     def with_snapshot_path(self, df: DataFrame, schema_col: str, query_col: str, out: str = "snapshot_path") -> DataFrame:
         """Add the folder of each row's table, NULL if it is not stored."""
-        return self._look_up(df, self._own_paths(), "string", schema_col, query_col, out)
+        return self._look_up(df, self._own_paths(self._own_entries()), "string", schema_col, query_col, out)
 
     def with_staleness(self, df: DataFrame, schema_col: str, query_col: str, out: str = "is_stale") -> DataFrame:
         """Add whether each row's table is stale; each table is probed once, not once per row."""
@@ -448,25 +446,23 @@ class Store:
                 del self._views[view]
         self._token = token
 
-    def _index_view(self) -> None:
-        own = self.spark.createDataFrame([(path,) for _, _, path in self._own_paths()], "own_path string")
-        info = self.cache_info()
-        info.join(own, F.col("parquet_path") == F.col("own_path"), "left").createOrReplaceTempView(INDEX_VIEW)
-
     def register_functions(self) -> None:
         """Define ``cache_info()``, ``snapshot_path(schema, query)`` and ``is_stale(schema, query)``
         for Spark SQL in this session. They see the index as of this call; :meth:`sql` keeps them
         current."""
-        self._index_view()
-        self.freshness().createOrReplaceTempView(FRESHNESS_VIEW)
+        entries = self._own_entries()
+        own = self.spark.createDataFrame([(path,) for _, _, path in self._own_paths(entries)], "own_path string")
         info = self.cache_info()
+        info.join(own, F.col("parquet_path") == F.col("own_path"), "left").createOrReplaceTempView(INDEX_VIEW)
+        probes = freshness.union_probes(self.spark, self._probes(entries))
+        self._compared(entries, probes).createOrReplaceTempView(FRESHNESS_VIEW)
         returns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in info.schema)
         self.spark.sql(
             f"CREATE OR REPLACE TEMPORARY FUNCTION cache_info() RETURNS TABLE ({returns}) "
             f"RETURN SELECT {', '.join(info.columns)} FROM {INDEX_VIEW}"
         )
         # As in :meth:`_look_up`: the rows that call a function are not shuffled for it.
-        hint = "/*+ BROADCAST(v) */" if len(self._own_entries()) <= BROADCAST_TABLES else ""
+        hint = "/*+ BROADCAST(v) */" if len(entries) <= BROADCAST_TABLES else ""
         for name, result, fact, view in (
             ("snapshot_path", "STRING", "own_path", INDEX_VIEW),
             ("is_stale", "BOOLEAN", "stale", FRESHNESS_VIEW),

@@ -159,6 +159,10 @@ def test_positions(spark):
     assert sorted(map(str, (r[0] for r in picked.collect()))) == ["False", "None", "True", "True"]
 
 
+def test_what_a_variant_cannot_hold_keeps_its_text(spark):
+    assert coerced(spark, "string", ['{"a":1,"a":2}', '{"b":1,"a":2}']) == ['{"a":1,"a":2}', '{"a":2,"b":1}']
+
+
 @pytest.mark.parametrize("line", ["[1,2", '{"a":1}', "null", "hello"])
 def test_a_broken_line_fails_the_job(spark, line):
     lines = spark.createDataFrame([("[1]",), (line,)], "value string")

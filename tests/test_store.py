@@ -283,6 +283,14 @@ def test_sync_many_keeps_order_and_every_record(spark, new_store):
     assert sorted(r.row_count for r in store.cache_info().collect()) == list(range(1, 9))
 
 
+def test_concurrent_syncs_of_one_table_all_leave_their_record(spark, new_store):
+    store = new_store(connector=lambda table: FrameSource(lambda: spark.range(3)))
+    store.sync_many([("lists", "t")] * 6, parallel=6)
+    assert store.manifest.records().count() == 6
+    assert store.cache_info().count() == 1 and store.table("t").count() == 3
+    assert store.vacuum() == 5 and store.table("t").count() == 3
+
+
 def test_sync_log(people):
     store, _ = people
     store.sync("lists", "People")
