@@ -67,7 +67,7 @@ class Manifest:
     def _prefix(key: str) -> str:
         return hashlib.md5(key.encode()).hexdigest()
 
-    def read(self, path: str) -> DataFrame:
+    def read(self, path: str | list[str]) -> DataFrame:
         # Unreadable records and those of another format version count as absent.
         records = self._spark.read.schema(RECORD_SCHEMA).option("mode", "PERMISSIVE").json(path)
         return records.where(F.col("format_version") == FORMAT_VERSION)
@@ -80,9 +80,11 @@ class Manifest:
         return live(self.records())
 
     def lookup(self, key: str) -> Row | None:
-        # A table's records share a name prefix and sort by age: only the newest is opened.
+        """The live entry of one table. Its records share a name prefix: no others are opened."""
         paths = self._storage.matches(f"{self.folder}/{self._prefix(key)}-*.json")
-        newest = self.read(max(paths)).where(F.col("key") == key).first() if paths else None
+        if not paths:
+            return None
+        newest = self.read(paths).where(F.col("key") == key).orderBy(F.desc("seq")).first()
         return newest if newest is not None and newest.op == "put" else None
 
     def put(self, key: str, entry: dict) -> None:

@@ -184,6 +184,16 @@ def test_servers_and_containers_are_kept_apart(spark, new_store):
     assert store.cache_info().count() == 3
 
 
+@pytest.mark.parametrize("name", ["../a*?[b]{c} %41", "..", "x=1", "ünï ☃", "a\\b", "a:b", "_hidden", ".dot"])
+def test_names_that_are_awkward_as_folders(spark, new_store, tmp_path, name):
+    store = new_store(container_path="/Home/../Sub Folder")
+    store.attach(name, name, FrameSource(Remote(spark))).sync(name, name)
+    assert store.query(name, name, offline=True).count() == 3
+    assert store.sql(f"SELECT * FROM `{name}`").count() == 3
+    assert sorted(os.listdir(tmp_path)) == ["store"]
+    assert "(3 rows" in store.cache_clear(schema=name, query=name).first().status
+
+
 def test_configuration_errors(spark, tmp_path, monkeypatch):
     for name in ("ROOT", "BASE_URL", "CONTAINER"):
         monkeypatch.delenv(f"TABLESNAP_{name}", raising=False)
