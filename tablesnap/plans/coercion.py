@@ -54,7 +54,7 @@ FLOAT_FORMS = [
     ("string(user_id)", "user_id"),
     ("concat(user_id, 'e3')", "user_id * 1000"),
     ("concat('\"', user_id, 'E-1\"')", "user_id / 10.0"),
-    ("concat('\".', user_id + 1000, '\"')", "(user_id + 1000) / 10000.0"),
+    ("concat('\".', user_id + 1000, '\"')", "(user_id + 1000) / power(10, length((user_id + 1000)::VARCHAR))"),
     ("concat('\" ', value, '\"')", "NULL"),
     ("concat('\"', user_id, 'f\"')", "NULL"),
     ("'\"-Infinity\"'", "'-inf'::DOUBLE"),
@@ -99,7 +99,12 @@ TEXT_FORMS = [
     ("string(user_id)", "user_id::VARCHAR"),
     ("concat(user_id, '.50')", "user_id || '.5'"),
     ("concat(user_id, '.0')", "user_id || '.0'"),
-    ("concat(user_id + 1, 'e20')", "CASE length((user_id + 1)::VARCHAR) WHEN 1 THEN (user_id + 1) || 'e20' ELSE regexp_replace((((user_id + 1) / (CASE WHEN user_id < 99 THEN 10 ELSE 100 END))::DOUBLE)::VARCHAR, '[.]0$', '') || CASE WHEN user_id < 99 THEN 'e21' ELSE 'e22' END END"),
+    (
+        "concat(user_id + 1, 'e20')",
+        "left((user_id + 1)::VARCHAR, 1) || CASE WHEN length(rtrim((user_id + 1)::VARCHAR, '0')) > 1 "
+        "THEN '.' || substr(rtrim((user_id + 1)::VARCHAR, '0'), 2) ELSE '' END "
+        "|| 'e' || (length((user_id + 1)::VARCHAR) + 19)",
+    ),
     ("concat('1.', 100000 + user_id, 'e12')", "'1' || (100000 + user_id) || '000000.0'"),
     ("string(user_id > 75)", "(user_id > 75)::VARCHAR"),
     ("concat('{ \"b\": ', user_id, ', \"a\": [true, \"', event_type, '\"] }')", "'{\"a\":[true,\"' || event_type || '\"],\"b\":' || user_id || '}'"),
