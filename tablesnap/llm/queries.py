@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from tablesnap.llm.bpe import op6_bpe_codec
 from tablesnap.llm.multiset import op9_multiset_fingerprints
 from tablesnap.llm.packing import op1_pack_documents
+from tablesnap.llm.repeats import op8_repeated_passages
 from tablesnap.llm.simhash import op10_simhash_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack_documents": op1_pack_documents,
     "op6_bpe_codec": op6_bpe_codec,
+    "op8_repeated_passages": op8_repeated_passages,
     "op9_multiset_fingerprints": op9_multiset_fingerprints,
     "op10_simhash_components": op10_simhash_components,
 }
