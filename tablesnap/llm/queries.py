@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tablesnap.llm.bpe import op6_bpe_codec
+from tablesnap.llm.curves import op4_curve_neighbours
+from tablesnap.llm.html_text import op5_page_text
 from tablesnap.llm.language import op3_language_id
 from tablesnap.llm.multiset import op9_multiset_fingerprints
 from tablesnap.llm.packing import op1_pack_documents
@@ -19,6 +21,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack_documents": op1_pack_documents,
     "op2_secret_spans": op2_secret_spans,
     "op3_language_id": op3_language_id,
+    "op4_curve_neighbours": op4_curve_neighbours,
+    "op5_page_text": op5_page_text,
     "op6_bpe_codec": op6_bpe_codec,
     "op7_quality_scores": op7_quality_scores,
     "op8_repeated_passages": op8_repeated_passages,

@@ -68,10 +68,10 @@ class Fit:
     """How much is learned from: at most ``rows`` texts with a match and as many without, those with the smallest
     hash of text; of each a stretch of ``tokens`` tokens, around the first match if there is one."""
 
-    rows: int = 600
+    rows: int = 400
     tokens: int = 64
     words: int = 300  # words told apart beside a token
-    steps: int = 80
+    steps: int = 40
     ridge: float = 1e-3
 
 
