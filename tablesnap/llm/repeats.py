@@ -30,6 +30,7 @@ from tablesnap.llm.common import cut, map_rows, table
 
 LENGTH, GRAM = 400, 64
 LEVELS = (64, 8, 1)
+MAP_BITS = 1 << 22  # of the map that rules rows out before they are moved
 PART = 1 << 22  # bytes of a text whose q-grams are looked at in one go
 
 # Odd multipliers and one random word per byte value, the same everywhere.
@@ -139,77 +140,80 @@ def settle(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of a level's runs: those all of whose positions are repeated (``row``, ``first``, ``last``), and one run
     for each hull whose bucket has several, to be refined."""
     hull, core = ["hull_hi", "hull_lo"], ["core_hi", "core_lo"]
-    rest = [n for n in runs.columns if n not in (*hull, *core, "times")]
+    place = ["row", "first", "last", "owned"]
     # Which of the equal runs stands for them does not matter; all its columns come from the same row.
-    hulls = cut(runs.groupBy(*core, *hull).agg(F.sum("times").alias("times"), *[F.first(n).alias(n) for n in rest]))
+    hulls = runs.groupBy(*core, *hull).agg(F.sum("times").alias("times"), *[F.first(n).alias(n) for n in place])
     twice = hulls.where("times > 1").select(*core, *hull)
     repeated = runs.join(twice, [*core, *hull], "left_semi").select("row", "first", "last")
     mixed = hulls.groupBy(*core).agg(F.count("*").alias("n")).where("n > 1").select(*core)
-    open_runs = hulls.join(mixed, core, "left_semi").select(*rest)
+    open_runs = hulls.join(mixed, core, "left_semi").select(*place)
     return repeated, open_runs
 
 
-def shorter_runs(raw: bytes, base: int, first: int, last: int, owned: int, size: int, length: int) -> Iterator[tuple]:
+def marked(rows: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:
+    """``rows`` with ``maybe``: false only if the key ``columns`` of a row are certainly not among ``keys``.
+
+    The keys set bits of a map of fixed size, so what is broadcast is bounded however many keys there are; a full
+    map only means that nothing is ruled out.
+    """
+    slot = F.pmod(F.xxhash64(*columns), F.lit(MAP_BITS))
+    word, bit = F.shiftright(slot, 6), F.lit(1).cast("long")
+    of = keys.select(word.alias("word"), F.call_function("shiftleft", bit, slot.bitwiseAND(63).cast("int")).alias("bit"))
+    words = of.groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    place = rows.withColumn("word", word).withColumn("slot", slot)
+    found = place.join(F.broadcast(words), "word", "left")
+    known = F.call_function("shiftrightunsigned", F.coalesce("bits", F.lit(0).cast("long")), F.col("slot").bitwiseAND(63).cast("int"))
+    return found.withColumn("maybe", known.bitwiseAND(1) == 1).drop("word", "slot", "bits")
+
+
+def shorter_runs(raw: bytes, first: int, last: int, owned: int, size: int, length: int) -> Iterator[tuple]:
     """The run from ``first`` to ``last`` in runs of at most ``size`` positions, cut at fixed offsets from the
-    q-gram: first, last, core digest, hull digest. ``raw`` begins at position ``base`` of its text."""
+    q-gram: first, last, core digest, hull digest."""
     import xxhash
 
     for n in range((owned - last) // size, (owned - first) // size + 1):
         low, high = owned - n * size - size + 1, owned - n * size
         a, b = max(low, first), min(high, last)
-        bucket = n.to_bytes(8, "little") + raw[high - base : low + length - base]
-        hull = raw[a - base : b + length - base]
-        yield a, b, xxhash.xxh3_128_digest(bucket), xxhash.xxh3_128_digest(hull)
+        bucket = n.to_bytes(8, "little") + raw[high : low + length]
+        yield a, b, xxhash.xxh3_128_digest(bucket), xxhash.xxh3_128_digest(raw[a : b + length])
 
 
-def cut_runs(rows: DataFrame, size: int, length: int) -> DataFrame:
-    """Runs refined to ``size`` positions. ``rows`` has row, first, last, owned, and their bytes as ``bytes``."""
+def refined(texts: DataFrame, open_runs: DataFrame, size: int, length: int) -> DataFrame:
+    """The open runs in runs of ``size`` positions. Only texts that have any are moved to them."""
 
     def work(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        names = ("row", "first", "last", "owned", "core_hi", "core_lo", "hull_hi", "hull_lo", "bytes")
+        names = ("row", "first", "last", "owned", "core_hi", "core_lo", "hull_hi", "hull_lo", "times")
         for batch in batches:
             out: dict[str, list] = {n: [] for n in names}
-            columns = (batch[n] for n in ("row", "first", "last", "owned", "bytes"))
-            for row, first, last, owned, raw in zip(*columns, strict=True):
-                for a, b, core, hull in shorter_runs(raw, first, first, last, owned, size, length):
-                    part = raw[a - first : b + length - first]
-                    values = (row, a, b, owned, *halves(core), *halves(hull), part)
-                    for n, v in zip(names, values, strict=True):
-                        out[n].append(v)
+            for row, text, runs in zip(batch["row"], batch["text"], batch["runs"], strict=True):
+                raw = text.encode()
+                for run in runs:
+                    o = run["owned"]
+                    for a, b, core, hull in shorter_runs(raw, run["first"], run["last"], o, size, length):
+                        for n, v in zip(names, (row, a, b, o, *halves(core), *halves(hull), 1), strict=True):
+                            out[n].append(v)
             yield out
 
-    return map_rows(rows, work, f"{RUN}, bytes binary").withColumn("times", F.lit(1).cast("long"))
+    by_text = open_runs.groupBy("row").agg(F.collect_list(F.struct("first", "last", "owned")).alias("runs"))
+    needed = marked(texts, open_runs, ["row"]).where("maybe").select("row", "text")
+    return map_rows(needed.join(by_text, "row"), work, f"{RUN}, times bigint")
 
 
 def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """For each text (``row``, ``text``) that repeats anything, its ``spans`` of repeated bytes: an array of
     (first byte, end), overlapping or not. ``texts`` must give the same rows each time, as a stored table does."""
-    runs = cut(first_runs(texts, length, gram))
-    local = runs.where("times = 0").select("row", "first", "last")
-    repeated, open_runs = settle(runs.where("times > 0"))
-    found = [local, repeated]
-
-    wanted = open_runs.groupBy("row").agg(F.collect_list(F.struct("first", "last", "owned")).alias("runs"))
-
-    def with_bytes(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        for batch in batches:
-            out: dict[str, list] = {n: [] for n in ("row", "first", "last", "owned", "bytes")}
-            for row, text, runs_there in zip(batch["row"], batch["text"], batch["runs"], strict=True):
-                raw = text.encode()
-                for run in runs_there:
-                    a, b, o = run["first"], run["last"], run["owned"]
-                    for n, v in zip(out, (row, a, b, o, raw[a : b + length]), strict=True):
-                        out[n].append(v)
-            yield out
-
-    rows = map_rows(
-        texts.select("row", "text").join(wanted, "row"),
-        with_bytes,
-        "row bigint, first bigint, last bigint, owned bigint, bytes binary",
+    runs = first_runs(texts, length, gram)
+    core = ["core_hi", "core_lo"]
+    shared = cut(
+        runs.where("times > 0").groupBy(*core).agg(F.sum("times").alias("n")).where("n > 1").select(*core)
     )
+    # Most runs are alone in their bucket. They are left out where they arise, without moving them.
+    kept = cut(marked(runs, shared, core).where("maybe OR times = 0").drop("maybe"))
+    repeated, open_runs = settle(kept.where("times > 0"))
+    found = [kept.where("times = 0").select("row", "first", "last"), repeated]
     for size in LEVELS:
-        level = cut(cut_runs(rows, size, length))
-        repeated, rows = settle(level)
+        level = cut(refined(texts, cut(open_runs), size, length))
+        repeated, open_runs = settle(level)
         found.append(repeated)
     spans = found[0]
     for more in found[1:]:
@@ -235,7 +239,7 @@ def without_repeats(texts: DataFrame, key: str, text: str, length: int = LENGTH)
     kind = texts.schema[key].dataType.simpleString()
     rows = texts.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.withColumn("row", F.monotonically_increasing_id())
-    spans = repeated_spans(rows, length)
+    spans = cut(repeated_spans(rows, length))
 
     def work(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
         for batch in batches:
@@ -248,9 +252,19 @@ def without_repeats(texts: DataFrame, key: str, text: str, length: int = LENGTH)
                     out[n].append(v)
             yield out
 
-    joined = rows.join(spans, "row", "left").select("key", "text", "spans")
+    # Only texts that may have spans are moved to them; the others pass.
+    split = marked(rows, spans, ["row"])
+    joined = split.where("maybe").join(spans, "row", "left").select("key", "text", "spans")
     schema = f"key {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
-    return map_rows(joined, work, schema).withColumnRenamed("key", key)
+    none = F.lit(0).cast("long")
+    whole = split.where("NOT maybe").select(
+        "key",
+        F.octet_length("text").cast("long").alias("n_bytes"),
+        none.alias("n_removed"),
+        none.alias("n_spans"),
+        F.col("text").cast("binary").alias("kept"),
+    )
+    return map_rows(joined, work, schema).unionByName(whole).withColumnRenamed("key", key)
 
 
 def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
