@@ -91,7 +91,7 @@ class Model:
         """Language, calibrated confidence, and whether that is too low."""
         pieces = subwords(text, len(self.says))
         if not len(pieces) or not self.languages:
-            return "und", 0.0, True
+            return "und", 0.0, not len(pieces)
         total = sum(self.says[pieces[i : i + PART]].sum(0) for i in range(0, len(pieces), PART))
         p = softmax((total / len(pieces) + self.bias) / self.temperature)
         best = int(p.argmax())
@@ -171,7 +171,7 @@ def train_on(rows: DataFrame, fit: Fit = Fit()) -> Model:
 
 def identify(texts: DataFrame, key: str, text: str, model: Model) -> DataFrame:
     """``key``, ``lang_pred``, ``score`` and ``rejected`` of every row. Null texts and such without a letter are
-    ``und`` with score 0 and rejected; so are all if there was no language to learn. Null keys and repeated rows
+    ``und`` with score 0 and rejected; if there was no language to learn, all others are ``und`` but kept. Null keys and repeated rows
     give a row each; an empty table gives no rows; other columns are not looked at."""
 
     def work(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:

@@ -199,7 +199,8 @@ class Field:
 
     def spans(self, text: str) -> list[tuple[int, int, str]]:
         """The spans of a text that the field tags."""
-        tokens = TOKEN.findall(text)
+        # Without anything to learn from there is no field, and nothing to tag.
+        tokens = TOKEN.findall(text) if self.weights else []
         found = self.tags(tokens) if tokens else []
         if not found:
             return []
@@ -243,7 +244,7 @@ def train(texts: list[str], fit: Fit = Fit()) -> Field:
     words = frozenset(sorted((w for w in counts if counts[w] > 2), key=lambda w: (-counts[w], w))[: fit.words])
     field = Field({}, np.zeros((3, 3)), words)
     if not any(any(tags) for _, tags, _ in samples):
-        return Field({"f_none": np.zeros(3)}, np.array([[9.0, -9.0, -9.0], [0, 0, 0], [0, 0, 0]]), words)
+        return field
 
     ids: dict[str, int] = {}
     slots, width = [], fit.tokens
@@ -252,7 +253,8 @@ def train(texts: list[str], fit: Fit = Fit()) -> Field:
         rows = []
         for i, token in enumerate(tokens):
             names = [*shape(token), f"is {seen[i]}", *files]
-            names += [f"after {seen[i - 1]}"] * (i > 0) + [f"second after {seen[i - 2]}"] * (i > 1)
+            names += [f"after {s}" for s in seen[max(0, i - 1) : i]]
+            names += [f"second after {s}" for s in seen[max(0, i - 2) : max(0, i - 1)]]
             names += [f"before {s}" for s in seen[i + 1 : i + 2]]
             rows.append([ids.setdefault(n, len(ids) + 1) for n in names])
         slots.append(rows)
