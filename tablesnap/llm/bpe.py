@@ -67,7 +67,8 @@ class TrieEncoder:
         self.fits: defaultdict[str, dict[str, bool]] = defaultdict(dict)
         self.kept = 0
         byte = {letter: b for b, letter in enumerate(byte_letters())}
-        self.bytes = {i: bytes(byte[c] for c in t) for t, i in self.ids.items() if all(c in byte for c in t)}
+        self.packed = {t: i.to_bytes(4, "little") for t, i in self.ids.items()}
+        self.bytes = {self.packed[t]: bytes(byte[c] for c in t) for t in self.ids if all(c in byte for c in t)}
 
     def merged(self, word: str) -> list[str]:
         """The tokens of a short word, merge by merge."""
@@ -90,14 +91,14 @@ class TrieEncoder:
         self.fits[before][token] = stays
         return stays
 
-    def encode(self, words: list[str]) -> list[list[int]]:
-        """The ids of each of the distinct words.
+    def encode(self, words: list[str]) -> list[tuple[bytes, bytes]]:
+        """The ids of each of the distinct words, as little-endian 32-bit integers, and the bytes they decode to.
 
         Sorted words are the paths of their trie in depth-first order: a word leaves the path of the one before
         it at the node that both share, and goes down from there. Only the states of the path are held.
         """
-        found: list[list[int]] = [[] for _ in words]
-        ids, fits, longest = self.ids, self.fits, self.longest
+        found: list[tuple[bytes, bytes]] = [(b"", b"")] * len(words)
+        packed, raw, fits, longest = self.packed, self.bytes, self.fits, self.longest
         before = ""
         lasts, rows = [""], [fits[""]]  # for each node of the path: its last token, and what is known to fit that
         for end in sorted(range(len(words)), key=words.__getitem__):
@@ -121,10 +122,11 @@ class TrieEncoder:
             tokens, at = [], size
             while at:
                 token = lasts[at]
-                tokens.append(ids[token])
+                tokens.append(token)
                 at -= len(token)
             tokens.reverse()
-            found[end] = tokens
+            ids = b"".join([packed[t] for t in tokens])
+            found[end] = ids, b"".join([raw[ids[i : i + 4]] for i in range(0, len(ids), 4)])
             before = word
         return found
 
@@ -136,26 +138,22 @@ PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)?( ?[!-&(-/:-@\[-`{-~]+)?\Z")
 class TextCodec:
     """Encodes whole texts, and decodes the ids again."""
 
-    def __init__(self, path: str, cache: int = 150_000):
+    def __init__(self, path: str, cache: int = 250_000):
         from tokenizers import Tokenizer
 
         self.encoder = TrieEncoder(path)
         self.cut_words = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
+        self.space = byte_letters()[ord(" ")]
         self.letters = str.maketrans({chr(b): c for b, c in enumerate(byte_letters())})
         special = {t: (np.array([i], "<u4").tobytes(), t.encode()) for t, i in special_tokens(path).items()}
-        self.words = Recent(self.encode_words, cache)
+        self.words = Recent(self.encoder.encode, cache)
         self.cache = ChunkCache(self.encode_chunks, special, cache)
 
-    def encode_words(self, words: list[str]) -> list[tuple[bytes, bytes]]:
-        """The ids of each word as little-endian 32-bit integers, and the bytes these ids decode to."""
-        raw = self.encoder.bytes
-        return [
-            (np.array(ids, "<u4").tobytes(), b"".join([raw[i] for i in ids])) for ids in self.encoder.encode(words)
-        ]
-
     def words_of(self, chunk: str) -> list[str]:
         """The words of a chunk, in byte letters."""
         plain = PLAIN.match(chunk)
+        if plain and chunk.isascii():
+            return [w.replace(" ", self.space) for w in plain.groups() if w]
         if plain:
             return [w.encode().decode("latin-1").translate(self.letters) for w in plain.groups() if w]
         return [w for w, _ in self.cut_words(chunk)] if chunk else []
