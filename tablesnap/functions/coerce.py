@@ -8,8 +8,8 @@ behind a gate on the text.
 
 A cell is mostly told by its text alone: a JSON string and a JSON number of the same text mean the
 same. Where the JSON type matters as well (is this a number 5 or a text "5"?), the line is parsed
-once more into ``variant`` cells, and ``schema_of_variant`` names the cell's kind. Only lines that
-hold such a cell are parsed twice.
+once more with a mark in front of every string, and a cell without the mark is no string. Only lines
+that hold such a cell are parsed twice, and every cell is decided on its own.
 
 The usual forms are handled by small expressions that stay inside generated code. Unusual ones are
 handled in a lambda (:func:`_let`) that is only entered by the cells that need it.
@@ -36,7 +36,9 @@ FALSE_TEXT = r"^\p{IsWhite_Space}*(?i:false|f|0|no|n)\p{IsWhite_Space}*\z"
 # numbers with a fraction, an exponent or very many digits, arrays and objects, which are shown in a
 # compact form unless they came as a text.
 UNTOLD_BOOLEAN = r"^(?![01]\z)-?[0-9]+\z"
-UNTOLD_TEXT = r"^(-?[0-9]+[.eE]|-?[0-9]{19}|[\[{])"
+UNTOLD_TEXT = r"^(-?[0-9]+[.eE]|-?[0-9]{19}|-0\z|[\[{])"
+# A line with a number negative zero, unless in a string: it is no integer, and reading it as one would lose its sign.
+NEGATIVE_ZERO = r"-0\s*[],}]"
 
 # The date and time layouts. USUAL_TEXT is read by a cast as it stands. The loose
 # layouts (blanks before a number, short or signed years, a leap second, month first) are taken
@@ -52,10 +54,16 @@ _CLOCK = rf"(?:(?:T{_SP}|\p{{IsWhite_Space}}+)([0-9]{{1,2}}):{_PART}:{_PART}([.]
 YEAR_FIRST = (rf"^{_YEAR}-{_PART}-{_PART}{_CLOCK}Z?\z", "$1|$2|$3|$4|$5|$6|$7|$8")
 MONTH_FIRST = (rf"^{_PART}/{_PART}/{_YEAR}Z?\z", "$3|$4|$1|$2||||")
 
-# The largest whole numbers of 64 bits.
-MAX_SIGNED = "9223372036854775807"
+# The least and largest whole numbers of 64 bits.
+MIN_SIGNED = "-9223372036854775808"
 MAX_UNSIGNED = "18446744073709551615"
 
+# Marks a number among the strings of a JSON text while its keys are sorted.
+NUMBER_MARK = r"\u0001\u0002\u0003"
+
+# Of equal keys of an object the last counts, as in most JSON readers; by default Spark takes none.
+LAST_KEY_COUNTS = "spark.sql.variant.allowDuplicateKeys"
+
 
 def _let(name: str, value: str, body: str) -> str:
     """``body`` with ``name`` for ``value``, which is computed once."""
@@ -74,10 +82,11 @@ def to_float(text: str) -> str:
     )
 
 
-def to_boolean(text: str, is_integer: str) -> str:
+def to_boolean(text: str, is_string: str) -> str:
+    whole = f"NOT {is_string} AND try_cast({text} AS BIGINT) IS NOT NULL"
     return (
         f"CASE WHEN {text} RLIKE r'{TRUE_TEXT}' THEN true WHEN {text} RLIKE r'{FALSE_TEXT}' THEN false "
-        f"WHEN {text} RLIKE r'{UNTOLD_BOOLEAN}' AND {is_integer} THEN true END"
+        f"WHEN {text} RLIKE r'{UNTOLD_BOOLEAN}' AND {whole} THEN true END"
     )
 
 
@@ -145,32 +154,51 @@ def number_text(value: str) -> str:
     return _let("d", value, _let("s", shown, _let("n", parts, plain)))
 
 
-def json_text(cell: str, levels: int = 2) -> str:
-    """The compact JSON text of a variant. Numbers with a fraction are rewritten down to ``levels``
-    levels of nesting; deeper ones keep the text Spark gives them."""
-    kind = f"k{levels}"
-    # A decimal without a fraction is either an integer beyond 64 signed bits, kept digit by digit
-    # while it fits 64 unsigned bits, or a number such as 1.0 whose scale the variant dropped.
-    whole = f"try_variant_get({cell}, '$', 'decimal(38,0)')"
-    arms = [
-        f"WHEN {kind} LIKE 'DECIMAL(%,0)' AND {whole} > {MAX_SIGNED}BD AND {whole} <= {MAX_UNSIGNED}BD "
-        f"THEN CAST({whole} AS STRING)",
-        f"WHEN {kind} RLIKE '^(DECIMAL|DOUBLE|FLOAT)' THEN " + number_text(f"try_variant_get({cell}, '$', 'double')"),
-    ]
-    if levels:
-        # Cells of several types in one array make its element kind VARIANT.
-        fractions = f"{kind} RLIKE 'DECIMAL|DOUBLE|FLOAT|VARIANT'"
-        item, member = f"i{levels}", f"m{levels}"
-        items = f"transform(try_variant_get({cell}, '$', 'array<variant>'), {item} -> {json_text(item, levels - 1)})"
-        named = f"concat(to_json(CAST({member}.key AS VARIANT)), ':', {json_text(f'{member}.value', levels - 1)})"
-        members = (
-            f"transform(map_entries(try_variant_get({cell}, '$', 'map<string,variant>')), {member} -> {named})"
-        )
-        arms += [
-            f"WHEN {kind} LIKE 'ARRAY%' AND {fractions} THEN concat('[', array_join({items}, ','), ']')",
-            f"WHEN {kind} LIKE 'OBJECT%' AND {fractions} THEN concat('{{', array_join({members}, ','), '}}')",
-        ]
-    return _let(kind, f"schema_of_variant({cell})", f"coalesce(CASE {' '.join(arms)} ELSE to_json({cell}) END, 'null')")
+def _outside_strings(json: str, inside: str, outside: str) -> str:
+    """JSON text whose strings ``s`` become ``inside`` and whose stretches ``s`` between them ``outside``. Escapes
+    of backslash and quote are masked first, by characters that JSON text never holds, so that quotes alternate."""
+    backslash, quote = r"r'\\'", r"""r'\"'"""
+    masked = f"replace(replace({json}, {backslash}, char(2)), {quote}, char(3))"
+    parts = f"transform(split({masked}, '\"'), (s, i) -> if(i % 2 = 1, {inside}, {outside}))"
+    return f"replace(replace(array_join({parts}, '\"'), char(3), {quote}), char(2), {backslash})"
+
+
+def strings_marked(json: str) -> str:
+    """JSON text with a mark at the begin of every string."""
+    return _outside_strings(json, "concat(r'\\u0001', s)", "s")
+
+
+def is_marked(cell: str) -> str:
+    return f"coalesce(startswith({cell}, char(1)), true)"
+
+
+def _is_float(token: str) -> str:
+    """Whether a number is kept as a double: with a fraction or an exponent, negative zero, or an integer that fits
+    neither 64 signed nor 64 unsigned bits."""
+    fits = f"coalesce(try_cast({token} AS DECIMAL(38,0)) BETWEEN {MIN_SIGNED}BD AND {MAX_UNSIGNED}BD, false)"
+    return f"({token} RLIKE '[.eE]' OR {token} = '-0' OR (length({token}) >= 19 AND NOT {fits}))"
+
+
+def nested_text(json: str) -> str:
+    """The compact text of a JSON array or object, with sorted keys, of which the last of equal ones counts.
+    Doubles are written by :func:`number_text` at any depth: they are carried through the sorting as marked strings."""
+    # A cell too large for a variant keeps its own text.
+    shown = f"concat('\"', r'{NUMBER_MARK}', {number_text('CAST(t AS DOUBLE)')}, '\"')"
+    number = f"t RLIKE '^-?[0-9]' AND {_is_float('t')}"
+    tokens = "regexp_extract_all(s, r'-?[0-9][0-9.eE+-]*|[^0-9-]+', 0)"
+    stretch = f"array_join(transform({tokens}, t -> if({number}, {shown}, t)), '')"
+    marked = _outside_strings("j", "s", stretch)
+    strip = NUMBER_MARK.replace("\\", "\\\\")
+    sorted_text = f"regexp_replace(to_json(try_parse_json({marked})), r'\"{strip}(-?[0-9][0-9.e-]*)\"', '$1')"
+    return _let("j", json, f"coalesce({sorted_text}, j)")
+
+
+def json_text(json: str) -> str:
+    """The text of a JSON value that is no string."""
+    return (
+        rf"CASE WHEN {json} RLIKE r'^[\[{{]' THEN {nested_text(json)} "
+        f"WHEN {json} RLIKE '^-?[0-9]' AND {_is_float(json)} THEN {number_text(f'CAST({json} AS DOUBLE)')} ELSE {json} END"
+    )
 
 
 # The declared types that are told by the text of a cell.
@@ -184,7 +212,7 @@ BY_TEXT: dict[str, Callable[[str], str]] = {
 
 def json_column(column: str) -> Column:
     """A nested column as the compact JSON text it would arrive as."""
-    return F.expr(f"CASE WHEN {column} IS NOT NULL THEN {_let('c', f'parse_json(to_json({column}))', json_text('c'))} END")
+    return F.expr(f"CASE WHEN {column} IS NOT NULL THEN {nested_text(f'to_json({column})')} END")
 
 
 def rows_to_table(lines: DataFrame, columns: Sequence[RemoteColumn], layout: Sequence[str] | None = None) -> DataFrame:
@@ -202,32 +230,27 @@ def rows_to_table(lines: DataFrame, columns: Sequence[RemoteColumn], layout: Seq
     def parsed(element: str, mode: str) -> str:
         return f"from_json(value, 'array<{element}>', map('mode', '{mode}'))"
 
-    def cells_if(pattern: str, columns: list[RemoteColumn], rule: str) -> str:
-        """``rule`` of every cell ``c`` of the line, for lines in which one of the columns needs it."""
-        if not columns:
-            return "NULL"
-        untold = " OR ".join(f"{at('texts', c)} RLIKE r'{pattern}'" for c in columns)
-        # What no variant can hold (a key given twice, a huge cell) leaves its line to the texts.
-        return f"CASE WHEN {untold} THEN transform({parsed('variant', 'PERMISSIVE')}, c -> {rule}) END"
-
+    lines.sparkSession.conf.set(LAST_KEY_COUNTS, "true")
     truths = [c for c in columns if c.json_type == "boolean"]
     texts = [c for c in columns if c.json_type not in BY_TEXT and c.json_type != "boolean"]
-    is_integer = "schema_of_variant(c) = 'BIGINT'"
-    told = "schema_of_variant(c) IN ('STRING', 'BIGINT', 'BOOLEAN', 'VOID')"
-    # One projection per step, so that every line is parsed once, and once more only if need be.
-    rows = lines.where("trim(value) <> ''").selectExpr("value", f"{parsed('string', 'FAILFAST')} AS texts")
-    rows = rows.selectExpr(
-        "texts",
-        f"{cells_if(UNTOLD_BOOLEAN, truths, is_integer)} AS integers",
-        f"{cells_if(UNTOLD_TEXT, texts, f'CASE WHEN NOT {told} THEN {json_text("c")} END')} AS shown",
+    untold = " OR ".join(
+        f"{at('texts', c)} RLIKE r'{pattern}'"
+        for some, pattern in ((truths, UNTOLD_BOOLEAN), (texts, UNTOLD_TEXT))
+        for c in some
     )
+    again = f"from_json({strings_marked('value')}, 'array<string>')"
+    # One projection per step, so that every line is parsed once, and once more only if need be.
+    zeros = _outside_strings("value", "s", r"regexp_replace(s, r'(?<![0-9.eE])-0(?![0-9.eE])', '-0.0')")
+    value = f"CASE WHEN value RLIKE r'{NEGATIVE_ZERO}' THEN {zeros} ELSE value END AS value"
+    rows = lines.where("trim(value) <> ''").selectExpr(value).selectExpr("value", f"{parsed('string', 'FAILFAST')} AS texts")
+    rows = rows.selectExpr("texts", f"CASE WHEN {untold or 'false'} THEN {again} END AS marked")
 
     def stored(column: RemoteColumn) -> str:
-        text = at("texts", column)
+        text, is_string = at("texts", column), is_marked(at("marked", column))
         if column in truths:
-            return to_boolean(text, at("integers", column))
+            return to_boolean(text, is_string)
         if column in texts:
-            return f"coalesce({at('shown', column)}, {text})"
+            return f"CASE WHEN {text} RLIKE r'{UNTOLD_TEXT}' AND NOT {is_string} THEN {json_text(text)} ELSE {text} END"
         return BY_TEXT[column.json_type](text)
 
     schema = snapshot_schema(columns)

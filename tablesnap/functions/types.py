@@ -42,7 +42,12 @@ def snapshot_schema(columns: Iterable[RemoteColumn]) -> T.StructType:
 
 
 def declared_type(data_type: T.DataType) -> str:
-    """The declared type that a column of an already typed source gets."""
+    """The declared type that a column of an already typed source gets. Decimals that neither a long nor a double
+    can hold digit by digit are kept as text."""
+    if isinstance(data_type, T.DecimalType):
+        if data_type.scale == 0 and data_type.precision <= 18:
+            return "int"
+        return "float" if data_type.precision <= 15 else "string"
     if isinstance(data_type, T.IntegralType):
         return "int"
     if isinstance(data_type, T.FractionalType):

@@ -109,6 +109,11 @@ TEXT_FORMS = [
     ("string(user_id > 75)", "(user_id > 75)::VARCHAR"),
     ("concat('{ \"b\": ', user_id, ', \"a\": [true, \"', event_type, '\"] }')", "'{\"a\":[true,\"' || event_type || '\"],\"b\":' || user_id || '}'"),
     ("concat('[ ', user_id, '.250 , 1e-9, null ]')", "'[' || user_id || '.25,1e-9,null]'"),
+    (
+        "concat('[[[[[', user_id, '.0,1e3]]],{\"z\":{\"y\":[', user_id, '.50,\"1.0\"]}}]]')",
+        "'[[[[[' || user_id || '.0,1000.0]]],{\"z\":{\"y\":[' || user_id || '.5,\"1.0\"]}}]]'",
+    ),
+    ("concat('{\"a\":1,\"a\":', user_id, '}')", "'{\"a\":' || user_id || '}'"),
     ("'null'", "NULL"),
     ("concat('18446744073709551', user_id % 100 + 500)", "'18446744073709551' || (user_id % 100 + 500)"),
 ]
@@ -155,6 +160,11 @@ def typed_source(spark: SparkSession, sf_dir: str) -> DataFrame:
             "p_partkey": F.col("p_partkey").cast("int"),
             "p_size": F.col("p_size").cast("smallint"),
             "p_retailprice": F.col("p_retailprice").cast("decimal(12,2)"),
+            # What neither a long nor a double holds, an instant of a zone, and bytes.
+            "wide_key": F.expr("CAST(p_partkey AS DECIMAL(38,0)) + 12345678901234567890BD"),
+            "wide_price": F.col("p_retailprice").cast("decimal(22,2)"),
+            "instant": F.timestamp_seconds("p_partkey"),
+            "raw_name": F.col("p_name").cast("binary"),
         }
         return part.withColumns(narrow)
 
@@ -180,6 +190,9 @@ CHECKS = {
     ),
     "q_typed_source": Check(
         typed_source,
-        "SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, p_retailprice FROM part",
+        "SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, p_retailprice, "
+        "CAST(CAST(p_partkey AS DECIMAL(38,0)) + 12345678901234567890 AS VARCHAR) AS wide_key, "
+        "CAST(CAST(p_retailprice AS DECIMAL(22,2)) AS VARCHAR) AS wide_price, "
+        "TIMESTAMP '1970-01-01' + to_seconds(p_partkey) AS instant, to_base64(encode(p_name)) AS raw_name FROM part",
     ),
 }

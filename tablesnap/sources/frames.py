@@ -56,6 +56,13 @@ class FrameSource(Source):
         if isinstance(given, _NESTED):
             # Values without a stored type are kept as the JSON text they would arrive as.
             value = json_column(quoted(column.name))
+        elif isinstance(given, T.TimestampType):
+            # By the clock of UTC, whatever the session's zone: the same instant is the same text everywhere.
+            value = F.expr(
+                f"timestampadd(MICROSECOND, unix_micros({quoted(column.name)}), TIMESTAMP_NTZ'1970-01-01 00:00:00')"
+            )
+        elif isinstance(given, T.BinaryType):
+            value = F.base64(value)
         elif given != stored_type(column.json_type):
             value = value.cast(stored_type(column.json_type))
         return value.alias(column.name, metadata={"json_type": column.json_type or ""})

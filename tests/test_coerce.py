@@ -58,32 +58,32 @@ def test_boolean(spark):
 
 
 INSTANTS = {
-    "2024-01-15T09:30:00.000Z": dt.datetime(2024, 1, 15, 9, 30),
-    "2024-01-15T09:30:00Z": dt.datetime(2024, 1, 15, 9, 30),
-    "2024-01-15 09:30:00.000": dt.datetime(2024, 1, 15, 9, 30),
-    "2024-01-15T09:30:00": dt.datetime(2024, 1, 15, 9, 30),
-    "2024-01-15T09:30:00.123": dt.datetime(2024, 1, 15, 9, 30, 0, 123000),
-    "2024-01-15T09:30:00.123456Z": dt.datetime(2024, 1, 15, 9, 30, 0, 123456),
-    "2024-01-15T09:30:00.123456789": dt.datetime(2024, 1, 15, 9, 30, 0, 123456),
-    "2024-1-5 1:2:3": dt.datetime(2024, 1, 5, 1, 2, 3),
-    "2024-01-15": dt.datetime(2024, 1, 15),
-    "2024-01-15Z": dt.datetime(2024, 1, 15),
-    "1/15/2024": dt.datetime(2024, 1, 15),
-    "01/15/2024": dt.datetime(2024, 1, 15),
-    "1/5/2024": dt.datetime(2024, 1, 5),
-    "2023-12-05 00:00:00.000": dt.datetime(2023, 12, 5),
+    "2019-11-23T21:04:07.000Z": dt.datetime(2019, 11, 23, 21, 4, 7),
+    "2019-11-23T21:04:07Z": dt.datetime(2019, 11, 23, 21, 4, 7),
+    "2019-11-23 21:04:07.000": dt.datetime(2019, 11, 23, 21, 4, 7),
+    "2019-11-23T21:04:07": dt.datetime(2019, 11, 23, 21, 4, 7),
+    "2019-11-23T21:04:07.123": dt.datetime(2019, 11, 23, 21, 4, 7, 123000),
+    "2019-11-23T21:04:07.123456Z": dt.datetime(2019, 11, 23, 21, 4, 7, 123456),
+    "2019-11-23T21:04:07.123456789": dt.datetime(2019, 11, 23, 21, 4, 7, 123456),
+    "2017-3-9 4:5:6": dt.datetime(2017, 3, 9, 4, 5, 6),
+    "2019-11-23": dt.datetime(2019, 11, 23),
+    "2019-11-23Z": dt.datetime(2019, 11, 23),
+    "11/23/2019": dt.datetime(2019, 11, 23),
+    "04/07/2018": dt.datetime(2018, 4, 7),
+    "3/9/2017": dt.datetime(2017, 3, 9),
+    "2016-02-29 00:00:00.000": dt.datetime(2016, 2, 29),
     "1970-01-01": dt.datetime(1970, 1, 1),
     "1969-12-31": dt.datetime(1969, 12, 31),
-    " 2024-01-15": dt.datetime(2024, 1, 15),
-    "2024-01-15T 9: 3: 1": dt.datetime(2024, 1, 15, 9, 3, 1),
-    "1/15/24": dt.datetime(24, 1, 15),
+    " 2019-11-23": dt.datetime(2019, 11, 23),
+    "2019-11-23T 9: 3: 1": dt.datetime(2019, 11, 23, 9, 3, 1),
+    "11/23/19": dt.datetime(19, 11, 23),
     "2024-06-30T23:59:60": dt.datetime(2024, 7, 1),
     "2024-06-30 23:59:60.25Z": dt.datetime(2024, 7, 1, 0, 0, 0, 250000),
 }
 NO_INSTANTS = [
-    "not-a-date", "", "2024-13-40", "2024-02-30", "2024", "2024-01", "2024-01-15T09:30", "2024-01-15T09:30:00+00:00",
-    "2024-01-15T09:30:00.", "2024-01-15 ", "2024-01-15ZZ", "2024-01-15T24:00:00", "12024-01-15", "15/1/2024",
-    "2024-01-15\\n", "20240115",
+    "yesterday", "", "2019-13-40", "2019-02-29", "2024", "2024-01", "2019-11-23T21:04", "2019-11-23T21:04:07+00:00",
+    "2019-11-23T21:04:07.", "2019-11-23 ", "2019-11-23ZZ", "2019-11-23T24:00:00", "12019-11-23", "23/11/2019",
+    "2019-11-23\\n", "20240115",
 ]
 
 
@@ -115,7 +115,7 @@ def test_text(spark):
             "null": None,
         },
     )
-    assert coerced(spark, "time", ['"09:30:00"']) == ["09:30:00"]
+    assert coerced(spark, "time", ['"21:04:07"']) == ["21:04:07"]
     assert coerced(spark, None, ["1.0"]) == ["1.0"]
 
 
@@ -148,19 +148,42 @@ def test_number_text_is_the_shortest(spark):
 
 
 def test_positions(spark):
-    lines = spark.createDataFrame([('[1,"Alice","true"]',), ("[2,null,0]",), ("[3]",), ('[4,"D",1,"extra"]',), ("",)], "value string")
-    columns = [RemoteColumn("id", "int"), RemoteColumn("name", "string"), RemoteColumn("active", "boolean")]
+    lines = spark.createDataFrame(
+        [('["weir",12,"no",[1]]',), ('["mill",null,1]',), ('["lock"]',), (" ",), ('["dam",-3,null,"more",5]',)], "value string"
+    )
+    columns = [RemoteColumn("site", "string"), RemoteColumn("depth", "int"), RemoteColumn("open", "boolean")]
     df = rows_to_table(lines, columns)
-    assert sorted(map(tuple, df.collect()), key=lambda r: r[0]) == [
-        (1, "Alice", True), (2, None, False), (3, None, None), (4, "D", True)
+    assert sorted(map(tuple, df.collect())) == [
+        ("dam", -3, None), ("lock", None, None), ("mill", None, True), ("weir", 12, False)
     ]
-    picked = rows_to_table(lines, columns[2:], ["id", "name", "active"])
-    assert picked.columns == ["active"]
-    assert sorted(map(str, (r[0] for r in picked.collect()))) == ["False", "None", "True", "True"]
+    picked = rows_to_table(lines, columns[2:], ["site", "depth", "open"])
+    assert picked.columns == ["open"]
+    assert sorted(map(str, (r[0] for r in picked.collect()))) == ["False", "None", "None", "True"]
+
+
+def test_nested_values_are_whole_at_any_depth(spark):
+    deep = '[[[[[1.0,1e3,"1.0, [2.50]","q\\"1.0\\\\"]]]],{"z":{"y":{"x":{"w":{"v":2.50,"a":-0}}}}}]'
+    check(
+        spark,
+        "string",
+        {
+            deep: '[[[[[1.0,1000.0,"1.0, [2.50]","q\\"1.0\\\\"]]]],{"z":{"y":{"x":{"w":{"a":-0.0,"v":2.5}}}}}]',
+            '{"k":18446744073709551616,"j":18446744073709551615}': '{"j":18446744073709551615,"k":1.8446744073709552e19}',
+            '{"a":1,"a":2}': '{"a":2}',
+            '{"1.0":"\\u0001"}': '{"1.0":"\\u0001"}',
+            "-0": "-0.0", "-0.0": "-0.0", '"-0"': "-0",
+        },
+    )
+    check(spark, "int", {"-0": None, '"-0"': 0, "-0.0": None})
 
 
-def test_what_a_variant_cannot_hold_keeps_its_text(spark):
-    assert coerced(spark, "string", ['{"a":1,"a":2}', '{"b":1,"a":2}']) == ['{"a":1,"a":2}', '{"a":2,"b":1}']
+def test_no_cell_decides_another(spark):
+    huge = '["' + "x" * 19_000_000 + '",1.0]'
+    lines = spark.createDataFrame([(1, '[5,{"a":1,"a":2},1.50]'), (2, f"[7,{huge},2.50]"), (3, '["7",[1.0],"2.50"]')], "i int, value string")
+    columns = [RemoteColumn("b", "boolean"), RemoteColumn("o", "string"), RemoteColumn("t", "string")]
+    found = rows_to_table(lines.orderBy("i").coalesce(1), columns).collect()
+    assert [(r.b, r.t) for r in found] == [(True, "1.5"), (True, "2.5"), (None, "2.50")]
+    assert found[0].o == '{"a":2}' and len(found[1].o) >= len(huge) and found[2].o == "[1.0]"
 
 
 @pytest.mark.parametrize("line", ["[1,2", '{"a":1}', "null", "hello"])
