@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +26,11 @@ def union_probes(spark: SparkSession, probes: list[tuple[str, str, DataFrame]])
     ]
     if not rows:
         return spark.createDataFrame([], PROBE_SCHEMA)
-    return reduce(DataFrame.unionByName, rows)
+    # Pair by pair, so that the plan is as deep as the logarithm of their number.
+    while len(rows) > 1:
+        pairs = zip(rows[::2], rows[1::2], strict=False)
+        rows = [a.unionByName(b) for a, b in pairs] + rows[len(rows) - len(rows) % 2 :]
+    return rows[0]
 
 
 def compare(entries: DataFrame, probes: DataFrame) -> DataFrame:

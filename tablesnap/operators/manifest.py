@@ -37,8 +37,8 @@ class Seq:
     u: str
 
     @classmethod
-    def next(cls) -> Seq:
-        return cls(time.time_ns(), uuid.uuid4().hex)
+    def next(cls, after: int = 0) -> Seq:
+        return cls(max(time.time_ns(), after + 1), uuid.uuid4().hex)
 
     def __str__(self) -> str:
         return f"{self.t:020d}-{self.u}"
@@ -94,7 +94,9 @@ class Manifest:
         self._append(key, "delete", entry)
 
     def _append(self, key: str, op: str, entry: dict) -> None:
-        seq = Seq.next()
+        # Later than any record there is, whatever the clock of its writer said.
+        names = (path.rpartition("/")[2] for path in self._storage.matches(f"{self.folder}/{self._prefix(key)}-*.json"))
+        seq = Seq.next(max((int(name.split("-")[1]) for name in names), default=0))
         record = {
             "key": key,
             "seq": {"t": seq.t, "u": seq.u},

@@ -167,14 +167,16 @@ _ASKED_SQL = (
 )
 
 
+# Of a snapshot's folder what does not depend on the store's place and the time of the sync.
+_TAIL = r"/data/.*\.parquet/v="
+
+
 def stored_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = _asked_tables(spark, sf_dir)
     store = shared_store(spark, sf_dir, "orders", "lineitem", "nation")
     store.cache_clear(schema="lists", query="part")
     found = store.with_snapshot_path(asked, "schema_name", "query_name")
-    return found.withColumn("snapshot_path", F.col("snapshot_path").isNotNull()).withColumnRenamed(
-        "snapshot_path", "stored"
-    )
+    return found.withColumn("snapshot_path", F.regexp_substr("snapshot_path", F.lit(_TAIL)))
 
 
 def stored_paths_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,8 +184,8 @@ def stored_paths_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = shared_store(spark, sf_dir, "orders", "lineitem", "nation")
     store.cache_clear(schema="lists", query="part")
     return store.sql(
-        "SELECT event_id, schema_name, query_name, snapshot_path(schema_name, query_name) IS NOT NULL AS stored "
-        "FROM tablesnap_asked"
+        "SELECT event_id, schema_name, query_name, "
+        f"regexp_substr(snapshot_path(schema_name, query_name), r'{_TAIL}') AS snapshot_path FROM tablesnap_asked"
     )
 
 
@@ -200,6 +202,10 @@ def column_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _STALE_FACT = "CASE WHEN event_type = 'view' THEN false WHEN event_type IN ('signup', 'purchase') THEN true END AS is_stale"
+_PATH_FACT = (
+    "CASE WHEN event_type <> 'error' THEN '/data/lab.example.com/data/Home/Sub%20Folder/lists/' || CASE event_type WHEN 'view' "
+    "THEN 'orders' WHEN 'click' THEN 'nation' ELSE 'lineitem' END || '.parquet/v=' END AS snapshot_path"
+)
 CHECKS = {
     "q_table_key": Check(
         key_of,
@@ -230,8 +236,8 @@ CHECKS = {
     ),
     "q_is_stale": Check(staleness, _ASKED_SQL.format(fact=_STALE_FACT)),
     "q_is_stale_sql": Check(staleness_sql, _ASKED_SQL.format(fact=_STALE_FACT)),
-    "q_snapshot_path": Check(stored_paths, _ASKED_SQL.format(fact="event_type <> 'error' AS stored")),
-    "q_snapshot_path_sql": Check(stored_paths_sql, _ASKED_SQL.format(fact="event_type <> 'error' AS stored")),
+    "q_snapshot_path": Check(stored_paths, _ASKED_SQL.format(fact=_PATH_FACT)),
+    "q_snapshot_path_sql": Check(stored_paths_sql, _ASKED_SQL.format(fact=_PATH_FACT)),
     "q_schema_diff": Check(
         column_diff,
         "WITH o AS (SELECT event_id AS position, event_type AS name, 'int' AS json_type FROM events), "

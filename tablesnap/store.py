@@ -10,6 +10,7 @@ import time
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, datetime
+from itertools import islice
 from weakref import WeakKeyDictionary
 
 from pyspark import inheritable_thread_target
@@ -32,7 +33,14 @@ LOG_SCHEMA = (
     "elapsed_ms bigint, outcome string"
 )
 BROADCAST_TABLES = 10_000  # a fact per table is a few hundred bytes, so at most a few megabytes
-INDEX_VIEW, FRESHNESS_VIEW = "tablesnap_index", "tablesnap_freshness"
+CATALOG_MARK = "tablesnap snapshot of "  # begins the description of the catalog tables that are ours
+PROBES_AT_ONCE = 64  # tables asked in one job
+INFO_VIEW, PATH_VIEW, FRESHNESS_VIEW = "tablesnap_index", "tablesnap_paths", "tablesnap_freshness"
+
+
+FUNCTIONS = ("cache_info", "snapshot_path", "is_stale")
+# Strings and comments of SQL, in which a function's name calls nothing.
+NO_CODE = re.compile(r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|--[^\n]*|/\*.*?\*/""", re.DOTALL)
 
 
 class Store:
@@ -115,13 +123,25 @@ class Store:
         """Fetch the whole table again and publish it. Runs now; returns one ``status`` row."""
         return self._status(self._synced(self.table_id(schema, query, base_url, container_path)))
 
-    def sync_many(self, tables: Iterable[tuple[str, str]], parallel: int = 4) -> DataFrame:
+    def sync_many(self, tables: Iterable[Sequence[str]], parallel: int = 4, strict: bool = False) -> DataFrame:
         """Sync several tables, ``parallel`` at a time, so that small ones fill the gaps that the
-        tail of a large one leaves on the cluster. One ``status`` row each, in the given order."""
-        ids = [self.table_id(schema, query) for schema, query in tables]
+        tail of a large one leaves on the cluster. A table is its schema and query, and its base URL and
+        container if they are not the store's. One ``status`` row each, in the given order; a table that
+        fails has its error there. ``strict`` raises the first error once all others are done."""
+        ids = [self.table_id(*table) for table in tables]
+
+        def attempt(table: TableId) -> tuple[str, Exception | None]:
+            try:
+                return self._synced(table), None
+            except Exception as error:  # noqa: BLE001 - the others' results must not be lost
+                return f"Failed {table.label}: {error}", error
+
         with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-            done = list(pool.map(inheritable_thread_target(self.spark)(self._synced), ids))
-        return self._status(*done)
+            done = list(pool.map(inheritable_thread_target(self.spark)(attempt), ids))
+        failed = next((error for _, error in done if error is not None), None)
+        if strict and failed is not None:
+            raise failed
+        return self._status(*(message for message, _ in done))
 
     def _synced(self, table: TableId) -> str:
         entry = self._sync(table)
@@ -286,8 +306,11 @@ class Store:
         message = clear_message(self.spark.createDataFrame(cleared, entries.schema), schema, query).first().status
         for entry in cleared:
             self.manifest.delete(entry.key, {"schema_name": entry.schema_name, "query_name": entry.query_name})
-        for record in self.manifest.superseded(keep=1).where(F.col("key").isin([e.key for e in cleared])).collect():
-            self._drop(record)
+        gone = self.manifest.superseded(keep=1)
+        if schema is not None:
+            keys = self.spark.createDataFrame([(e.key,) for e in cleared], "key string")
+            gone = gone.join(keys, "key", "left_semi")
+        self._drop_all(gone)
         self._refresh_views()
         return self._status(message)
 
@@ -296,10 +319,15 @@ class Store:
         return how many records went. Not part of a sync, so that running readers keep their files."""
         if keep < 1:
             raise ValueError("keep must be at least 1.")
-        dropped = self.manifest.superseded(keep).collect()
-        for record in dropped:
-            self._drop(record)
-        return len(dropped)
+        return self._drop_all(self.manifest.superseded(keep))
+
+    def _drop_all(self, records: DataFrame) -> int:
+        """Delete these records and their data, some at a time; they may be many more than tables."""
+        dropped, seen = 0, records.toLocalIterator()
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            while batch := list(islice(seen, 1000)):
+                dropped += len(list(pool.map(self._drop, batch)))
+        return dropped
 
     def _drop(self, record: Row) -> None:
         if record.parquet_path is not None:
@@ -320,22 +348,29 @@ class Store:
             (e.schema_name, e.query_name, self._data_path(e.parquet_path)) for e in entries if self._present(e)
         ]
 
+    def _entry_source(self, entry: Row) -> Source:
+        """The source of a stored table; its entry says all about it."""
+        relpath = entry.parquet_path.rpartition("/")[0]
+        table = TableId(entry.base_url, entry.container_path, entry.schema_name, entry.query_name, entry.key, relpath)
+        return self._source(table)
+
     def _probes(self, entries: list[Row]) -> list[tuple[str, str, DataFrame]]:
-        probes = []
-        for e in entries:
+        def ask(e: Row) -> tuple[str, str, DataFrame | None]:
             try:
-                known = e.server_modified is not None
-                probe = self._source(self.table_id(e.schema_name, e.query_name)).probe() if known else None
+                probe = self._entry_source(e).probe() if e.server_modified is not None else None
             except Exception as error:  # noqa: BLE001 - unknown freshness is NULL, never an error
                 log.warning("could not probe %s.%s: %s", e.schema_name, e.query_name, error)
                 probe = None
-            if probe is not None:
-                probes.append((e.schema_name, e.query_name, probe))
-        return probes
+            return e.schema_name, e.query_name, probe
+
+        # Some sources answer with a round trip, so they are asked side by side.
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            asked = list(pool.map(inheritable_thread_target(self.spark)(ask), entries))
+        return [(schema, query, probe) for schema, query, probe in asked if probe is not None]
 
     def freshness(self) -> DataFrame:
         """``schema_name, query_name, stale`` for each table of this store's server, probing all
-        sources in one job when the result is used."""
+        sources when the result is used."""
         entries = self._own_entries()
         return self._compared(entries, freshness.union_probes(self.spark, self._probes(entries)))
 
@@ -343,20 +378,37 @@ class Store:
         stored = [(e.schema_name, e.query_name, e.server_modified) for e in entries]
         return freshness.compare(self.spark.createDataFrame(stored, freshness.PROBE_SCHEMA), probes)
 
-    def _known_freshness(self) -> list[Row]:
-        """:meth:`freshness`, computed now. If a source fails, the others still get an answer."""
-        entries = self._own_entries()
+    def _known_freshness(self, entries: list[Row]) -> list[Row]:
+        """The freshness of these tables, computed now, some dozens in a job. If a source fails, the
+        others still get an answer."""
+
+        def latest(probes: list[tuple[str, str, DataFrame]]) -> list[tuple]:
+            try:
+                return [tuple(r) for r in freshness.union_probes(self.spark, probes).collect()]
+            except Exception as error:  # noqa: BLE001
+                log.warning("probing one by one, as probing together failed: %s", error)
+            return [(schema, query, self._probe(lambda probe=probe: probe)) for schema, query, probe in probes]
+
         probes = self._probes(entries)
-        try:
-            return self._compared(entries, freshness.union_probes(self.spark, probes)).collect()
-        except Exception as error:  # noqa: BLE001
-            log.warning("probing one by one, as probing all failed: %s", error)
-        found = []
-        for schema, query, probe in probes:
-            latest = self._probe(lambda probe=probe: probe)
-            found.append((schema, query, latest))
+        groups = [probes[i : i + PROBES_AT_ONCE] for i in range(0, len(probes), PROBES_AT_ONCE)]
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            found = [row for rows in pool.map(inheritable_thread_target(self.spark)(latest), groups) for row in rows]
         return self._compared(entries, self.spark.createDataFrame(found, freshness.PROBE_SCHEMA)).collect()
 
+    def _asked_entries(self, df: DataFrame, schema_col: str, query_col: str) -> list[Row]:
+        """The entries of the tables that the rows of ``df`` name, at most one per stored table."""
+        entries = self._own_entries()
+        if not entries:
+            return []
+        named = df.select(F.col(quoted(schema_col)).alias("schema_name"), F.col(quoted(query_col)).alias("query_name"))
+        stored = self.spark.createDataFrame(
+            [(e.schema_name, e.query_name, e.key) for e in entries], "schema_name string, query_name string, key string"
+        )
+        if len(entries) <= BROADCAST_TABLES:
+            stored = F.broadcast(stored)
+        keys = {r.key for r in named.join(stored, ["schema_name", "query_name"]).select("key").distinct().collect()}
+        return [e for e in entries if e.key in keys]
+
     def _look_up(self, df: DataFrame, facts: list, kind: str, schema_col: str, query_col: str, out: str) -> DataFrame:
         """Add a fact per table to each row. ``facts`` has a row per table of the index and is at
         hand, so its size is known: it is broadcast up to a bound, and joined as any other side
@@ -374,8 +426,9 @@ class Store:
         return self._look_up(df, self._own_paths(self._own_entries()), "string", schema_col, query_col, out)
 
     def with_staleness(self, df: DataFrame, schema_col: str, query_col: str, out: str = "is_stale") -> DataFrame:
-        """Add whether each row's table is stale; each table is probed once, not once per row."""
-        return self._look_up(df, self._known_freshness(), "boolean", schema_col, query_col, out)
+        """Add whether each row's table is stale. Only the tables that the rows name are probed, each once."""
+        facts = self._known_freshness(self._asked_entries(df, schema_col, query_col))
+        return self._look_up(df, facts, "boolean", schema_col, query_col, out)
 
     # --- names -------------------------------------------------------------------------------
 
@@ -423,11 +476,18 @@ class Store:
         database, name = quoted(entry.schema_name), quoted(entry.query_name)
         place = self._storage.root.replace("'", "\\'")
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{place}/catalog'")
-        # An external table: dropping it leaves the snapshot alone.
-        self.spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
-        columns = snapshot_schema([RemoteColumn(c.name, c.json_type) for c in entry.columns])
+        # Only a table that carries our mark is ours to replace. It is external: dropping it leaves the snapshot alone.
+        if self.spark.catalog.tableExists(f"{database}.{name}"):
+            there = self.spark.catalog.getTable(f"{database}.{name}")
+            if there.tableType != "EXTERNAL" or not (there.description or "").startswith(CATALOG_MARK):
+                raise ValueError(f"The catalog has another table {entry.schema_name}.{entry.query_name}; it is left alone.")
+            self.spark.sql(f"DROP TABLE {database}.{name}")
         self.spark.catalog.createTable(
-            f"{database}.{name}", path=self._data_path(entry.parquet_path), source="parquet", schema=columns
+            f"{database}.{name}",
+            path=self._data_path(entry.parquet_path),
+            source="parquet",
+            schema=snapshot_schema([RemoteColumn(c.name, c.json_type) for c in entry.columns]),
+            description=CATALOG_MARK + entry.key,
         )
 
     def _refresh_views(self) -> None:
@@ -446,39 +506,49 @@ class Store:
                 del self._views[view]
         self._token = token
 
-    def register_functions(self) -> None:
-        """Define ``cache_info()``, ``snapshot_path(schema, query)`` and ``is_stale(schema, query)``
-        for Spark SQL in this session. They see the index as of this call; :meth:`sql` keeps them
-        current."""
-        entries = self._own_entries()
-        own = self.spark.createDataFrame([(path,) for _, _, path in self._own_paths(entries)], "own_path string")
+    def register_functions(self, names: Iterable[str] = FUNCTIONS) -> None:
+        """Define ``cache_info()``, ``snapshot_path(schema, query)`` and ``is_stale(schema, query)``, or those of
+        them that are named, for Spark SQL in this session. They see the index as of this call; :meth:`sql`
+        keeps them current. Only ``is_stale`` asks sources, and only once it is used."""
+        for name in names:
+            getattr(self, f"_define_{name}")()
+
+    def _define_cache_info(self) -> None:
         info = self.cache_info()
-        info.join(own, F.col("parquet_path") == F.col("own_path"), "left").createOrReplaceTempView(INDEX_VIEW)
-        probes = freshness.union_probes(self.spark, self._probes(entries))
-        self._compared(entries, probes).createOrReplaceTempView(FRESHNESS_VIEW)
+        info.createOrReplaceTempView(INFO_VIEW)
         returns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in info.schema)
         self.spark.sql(
             f"CREATE OR REPLACE TEMPORARY FUNCTION cache_info() RETURNS TABLE ({returns}) "
-            f"RETURN SELECT {', '.join(info.columns)} FROM {INDEX_VIEW}"
+            f"RETURN SELECT {', '.join(info.columns)} FROM {INFO_VIEW}"
         )
+
+    def _define_snapshot_path(self) -> None:
+        facts = "schema_name string, query_name string, own_path string"
+        paths = self._own_paths(self._own_entries())
+        self.spark.createDataFrame(paths, facts).createOrReplaceTempView(PATH_VIEW)
+        self._define_fact("snapshot_path", "STRING", "own_path", PATH_VIEW, len(paths))
+
+    def _define_is_stale(self) -> None:
+        entries = self._own_entries()
+        probes = freshness.union_probes(self.spark, self._probes(entries))
+        self._compared(entries, probes).createOrReplaceTempView(FRESHNESS_VIEW)
+        self._define_fact("is_stale", "BOOLEAN", "stale", FRESHNESS_VIEW, len(entries))
+
+    def _define_fact(self, name: str, result: str, fact: str, view: str, tables: int) -> None:
         # As in :meth:`_look_up`: the rows that call a function are not shuffled for it.
-        hint = "/*+ BROADCAST(v) */" if len(entries) <= BROADCAST_TABLES else ""
-        for name, result, fact, view in (
-            ("snapshot_path", "STRING", "own_path", INDEX_VIEW),
-            ("is_stale", "BOOLEAN", "stale", FRESHNESS_VIEW),
-        ):
-            self.spark.sql(
-                f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(s STRING, q STRING) RETURNS {result} "
-                f"RETURN (SELECT {hint} max(v.{fact}) FROM {view} v WHERE v.schema_name = s AND v.query_name = q)"
-            )
+        hint = "/*+ BROADCAST(v) */" if tables <= BROADCAST_TABLES else ""
+        self.spark.sql(
+            f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(s STRING, q STRING) RETURNS {result} "
+            f"RETURN (SELECT {hint} max(v.{fact}) FROM {view} v WHERE v.schema_name = s AND v.query_name = q)"
+        )
 
     def sql(self, text: str, args: dict | list | None = None) -> DataFrame:
         """Run Spark SQL in which stored tables can be named bare, as in ``FROM People``. A name
         Spark itself can resolve keeps its meaning."""
         self._take_names()
         lowered = text.lower()
-        if any(re.search(rf"\b{f}\s*\(", lowered) for f in ("cache_info", "snapshot_path", "is_stale")):
-            self.register_functions()
+        calls = NO_CODE.sub(" ", lowered)
+        self.register_functions(f for f in FUNCTIONS if re.search(rf"\b{f}\s*\(", calls))
         self._refresh_views()
         for entry in self._index:
             name = entry.query_name.lower()

@@ -13,23 +13,23 @@ def store(spark, new_store):
 
 
 def test_bare_name_in_any_case(store):
-    store.sync("lists", "People")
-    assert store.sql("SELECT count(*) AS n FROM People").first().n == 6
-    assert store.sql("FROM pEOPLE").count() == 6
-    assert store.table("PEOPLE").count() == 6
+    store.sync("lists", "Assays")
+    assert store.sql("SELECT count(*) AS n FROM Assays").first().n == 6
+    assert store.sql("FROM aSSAYS").count() == 6
+    assert store.table("ASSAYS").count() == 6
 
 
 def test_unknown_names(store):
-    store.sync("lists", "People")
+    store.sync("lists", "Assays")
     with pytest.raises(AnalysisException, match="TABLE_OR_VIEW_NOT_FOUND"):
-        store.sql("SELECT * FROM Peoples")
+        store.sql("SELECT * FROM Assayses")
     with pytest.raises(SnapshotMissing):
         store.table("nobody")
 
 
 def test_bare_names_never_sync(store):
     with pytest.raises(AnalysisException):
-        store.sql("SELECT * FROM People")
+        store.sql("SELECT * FROM Assays")
     assert store.cache_info().count() == 0
 
 
@@ -48,19 +48,19 @@ def test_several_names_parameters_and_subqueries(store):
 
 def test_names_follow_syncs_and_clears(spark, new_store, store):
     size = {"n": 2}
-    store.attach("lists", "People", FrameSource(lambda: spark.range(size["n"])))
-    store.sync("lists", "People")
-    assert store.sql("FROM People").count() == 2
+    store.attach("lists", "Assays", FrameSource(lambda: spark.range(size["n"])))
+    store.sync("lists", "Assays")
+    assert store.sql("FROM Assays").count() == 2
     size["n"] = 5
-    store.sync("lists", "People")
-    assert store.sql("FROM People").count() == 5
+    store.sync("lists", "Assays")
+    assert store.sql("FROM Assays").count() == 5
     # Another process's sync is seen as well.
     other = new_store(connector=lambda table: FrameSource(lambda: spark.range(9)))
-    other.sync("lists", "People")
-    assert store.sql("FROM People").count() == 9
-    store.cache_clear(schema="lists", query="People")
+    other.sync("lists", "Assays")
+    assert store.sql("FROM Assays").count() == 9
+    store.cache_clear(schema="lists", query="Assays")
     with pytest.raises(AnalysisException):
-        store.sql("FROM People")
+        store.sql("FROM Assays")
 
 
 def test_the_latest_fetch_wins(store):
@@ -82,11 +82,11 @@ def test_two_stores_in_one_session(spark, new_store):
     one, two = (
         new_store(name, connector=lambda table, n=n: FrameSource(lambda: spark.range(n))) for name, n in (("one", 1), ("two", 2))
     )
-    one.sync("lists", "People")
-    two.sync("lists", "People")
-    kept = one.sql("FROM People")
-    assert two.sql("FROM People").count() == 2
-    assert one.sql("FROM People").count() == 1 == kept.count()
+    one.sync("lists", "Assays")
+    two.sync("lists", "Assays")
+    kept = one.sql("FROM Assays")
+    assert two.sql("FROM Assays").count() == 2
+    assert one.sql("FROM Assays").count() == 1 == kept.count()
     one.cache_clear()
     two.cache_clear()
 
@@ -103,3 +103,26 @@ def test_register_all(spark, store):
     spark.sql("DROP DATABASE names_a CASCADE")
     spark.sql("DROP DATABASE names_b CASCADE")
     assert store.table("Xyz").count() == 3
+
+
+def test_a_table_of_others_is_left_alone(spark, store):
+    store.sync("others", "kept")
+    spark.sql("CREATE DATABASE IF NOT EXISTS others")
+    spark.sql("CREATE TABLE others.kept USING parquet AS SELECT 1 AS one")
+    try:
+        with pytest.raises(ValueError, match="left alone"):
+            store.register_all(qualified=True)
+        assert spark.table("others.kept").count() == 1
+    finally:
+        spark.sql("DROP DATABASE others CASCADE")
+
+
+def test_our_own_table_is_replaced(spark, store):
+    store.sync("ours", "again")
+    store.register_all(qualified=True)
+    store.sync("ours", "again")
+    try:
+        store.register_all(qualified=True)
+        assert spark.table("ours.again").count() == 5
+    finally:
+        spark.sql("DROP DATABASE ours CASCADE")
