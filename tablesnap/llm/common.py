@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +41,15 @@ def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver has it, whatever folder they start in."""
+    environment = spark.sparkContext.environment
+    root = str(Path(__file__).resolve().parents[2])
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def map_rows(
     df: DataFrame, rows: Callable[[Iterator[dict[str, list]]], Iterator[dict[str, list]]], schema: str
 ) -> DataFrame:
@@ -46,6 +57,7 @@ def map_rows(
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
+    importable(df.sparkSession)
     spark_schema = df.sparkSession.createDataFrame([], schema).schema if not isinstance(schema, StructType) else schema
     arrow = to_arrow_schema(spark_schema)
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tablesnap.llm.common import cut, map_rows, parallelism, table
+from tablesnap.llm.common import cut, importable, map_rows, parallelism, table
 
 
 @dataclass(frozen=True)
@@ -143,6 +143,7 @@ def search_curves(
     them; a row alone, or an empty table, gives no rows; other columns are not looked at.
     """
     spark = vectors.sparkSession
+    importable(spark)
     k = search.k
     space = cut(points(vectors, key, vector, k))
     # Copies beyond the listed ids can be queries, too.

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesnap.llm.common import cut, map_rows, table
+from tablesnap.llm.common import cut, importable, map_rows, table
 
 # Characters that every version of Unicode classes alike: texts of these alone take the faster library.
 SETTLED = re.compile(r"[\t\n\r\x20-\x7e\xa0-ɏ‐-‧€]*\Z")
@@ -216,6 +216,7 @@ def pack_texts(
     and null keys are packed like others; an empty table gives no rows; other columns are not looked at.
     Sequences of full pieces have negative ids, the others non-negative ones.
     """
+    importable(texts.sparkSession)
     kind = texts.schema[key].dataType.simpleString()
     columns = f"key {kind}, piece int, start bigint, length bigint, ids_crc32 bigint"
     # Encoded once; everything below reads these short rows.
