@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tablesnap.functions.types import RemoteColumn, declared_type
 from tablesnap.plans.common import Check, json_rows, new_store, scratch, shared_store, table
-from tablesnap.sources import FileSource, FrameSource, JsonRowsSource, PagedSource, select_sql
+from tablesnap.sources import FileSource, FrameSource, JsonRowsSource, PagedSource
 from tablesnap.store import Store
 
 LINEITEM = (
@@ -173,13 +173,14 @@ def json_roundtrip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class FolderPages:
-    """A server stand-in: each text file of a shared folder is one page of row arrays."""
+    """A stand-in for a server, since none may be started for a check: each text file of a shared folder is one
+    page of row arrays. Like a server it sends the columns that it is asked for, and no hidden one."""
 
-    def __init__(self, folder: str, fields: Sequence[RemoteColumn], request: str):
-        self.folder, self._fields, self.request = folder, list(fields), request
+    def __init__(self, folder: str, fields: Sequence[RemoteColumn]):
+        self.folder, self._fields = folder, list(fields)
 
     def fields(self) -> Iterable[dict]:
-        return [{"name": c.name, "jsonType": c.json_type} for c in self._fields]
+        return [{"name": c.name, "jsonType": c.json_type, "hidden": c.hidden} for c in self._fields]
 
     @staticmethod
     def _open(uri: str):
@@ -201,10 +202,14 @@ class FolderPages:
     def fetch(self, page: str, columns: Sequence[str]) -> Iterator[str]:
         import io
 
+        place = {c.name: i for i, c in enumerate(self._fields) if not c.hidden}
+        wanted = [place[name] for name in columns]
+        every = wanted == list(range(len(self._fields)))
         system, path = self._open(page)
         with system.open_input_stream(path) as stream, io.TextIOWrapper(stream, "utf-8", newline="\n") as lines:
             for line in lines:
-                yield line.rstrip("\n")
+                row = line.rstrip("\n")
+                yield row if every else [json.loads(row)[i] for i in wanted]
 
     def max_modified(self) -> str | None:
         return None
@@ -214,11 +219,29 @@ def fetch_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, folder = new_store(spark, sf_dir), f"{scratch(spark)}/pages"
     orders = table(spark, sf_dir, "orders")
     json_rows(orders).write.option("maxRecordsPerFile", 5_000).text(folder)
-    request = select_sql("lists", "orders", orders.columns)
-    source = PagedSource(spark, FolderPages(folder, fields_of(orders), request), pages_per_task=2)
+    source = PagedSource(spark, FolderPages(folder, fields_of(orders)), pages_per_task=2)
     return store.attach("lists", "orders", source).query("lists", "orders")
 
 
+def projection_sent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A paged table with a hidden column and a name to be quoted: the server is asked for just the visible columns."""
+    store, folder = new_store(spark, sf_dir), f"{scratch(spark)}/pages"
+    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_orderdate", 'Order "Date"')
+    json_rows(orders).write.option("maxRecordsPerFile", 5_000).text(folder)
+    fields = [RemoteColumn(c.name, c.json_type, c.name == "o_totalprice") for c in fields_of(orders)]
+    source = PagedSource(spark, FolderPages(folder, fields), pages_per_task=8)
+    return store.attach("lists", "orders", source).query("lists", "orders")
+
+
+def lost_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot whose files are gone is read through again."""
+    store = new_store(spark, sf_dir)
+    store.sync("lists", "orders")
+    gone = spark._jvm.org.apache.hadoop.fs.Path(store.cache_info().first().parquet_path)
+    gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+    return store.query("lists", "orders")
+
+
 def empty_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = new_store(spark, sf_dir)
     source = FrameSource(lambda: table(spark, sf_dir, "orders").where("o_totalprice < 0"), modified="o_orderdate")
@@ -302,6 +325,11 @@ CHECKS = {
         "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_mktsegment FROM customer",
     ),
     "q_fetch_paged": Check(fetch_paged, ORDERS),
+    "q_projection_sent": Check(
+        projection_sent,
+        'SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate AS "Order ""Date""", o_orderpriority FROM orders',
+    ),
+    "q_lost_snapshot": Check(lost_snapshot, ORDERS),
     "q_empty_table": Check(empty_table, "SELECT * FROM orders WHERE o_totalprice < 0"),
     "q_csv_roundtrip": Check(csv_roundtrip, CUSTOMER),
     "q_json_roundtrip": Check(json_roundtrip, "SELECT * FROM events"),
