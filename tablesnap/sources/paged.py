@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import base64
 import json
 import sys
-import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from typing import Any, Protocol
+from weakref import WeakSet
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,8 @@ from tablesnap.sources.json_rows import JsonRowsSource
 # Fixed value: rows per batch handed to Spark.
 BATCH_ROWS = 50_000
 
+TASKS_PER_CORE = 32
+
 
 class PageTransport(Protocol):
     """How to talk to the server. It is pickled to the executors, so it holds addresses and
@@ -45,12 +48,15 @@ class _Pages(InputPartition):
 
 
 class _PageReader(DataSourceReader):
-    def __init__(self, transport: PageTransport, columns: Sequence[str], pages_per_task: int):
-        self._transport, self._columns, self._step = transport, list(columns), pages_per_task
+    """``step`` pages go to a task; if it is 0, as many as make about ``tasks`` tasks."""
+
+    def __init__(self, transport: PageTransport, columns: Sequence[str], step: int, tasks: int):
+        self._transport, self._columns, self._step, self._tasks = transport, list(columns), step, tasks
 
     def partitions(self) -> Sequence[InputPartition]:
         pages = list(self._transport.pages(self._columns))
-        return [_Pages(pages[i : i + self._step]) for i in range(0, len(pages), self._step)] or [_Pages([])]
+        step = self._step or max(1, -(-len(pages) // self._tasks))
+        return [_Pages(pages[i : i + step]) for i in range(0, len(pages), step)] or [_Pages([])]
 
     def read(self, partition: InputPartition) -> Iterator[Any]:
         import pyarrow as pa
@@ -66,32 +72,33 @@ class _PageReader(DataSourceReader):
             yield pa.RecordBatch.from_pydict({"value": pa.array(batch, pa.string())})
 
 
-def _page_format(transport: PageTransport, columns: Sequence[str], pages_per_task: int) -> type[DataSource]:
-    name = f"pages_{uuid.uuid4().hex}"
+class PageFormat(DataSource):
+    """The one format of all paged tables: which table it is stands in the options."""
 
-    class PageFormat(DataSource):
-        @classmethod
-        def name(cls) -> str:
-            return name
+    @classmethod
+    def name(cls) -> str:
+        return "tablesnap_pages"
 
-        def schema(self) -> str:
-            return "value string"
+    def schema(self) -> str:
+        return "value string"
 
-        def reader(self, schema) -> DataSourceReader:
-            return _PageReader(transport, columns, pages_per_task)
-
-    return PageFormat
+    def reader(self, schema) -> DataSourceReader:
+        transport = cloudpickle.loads(base64.b64decode(self.options["transport"]))
+        step, tasks = int(self.options["step"]), int(self.options["tasks"])
+        return _PageReader(transport, json.loads(self.options["columns"]), step, tasks)
 
 
 class PagedSource(JsonRowsSource):
-    """A paged server table. ``pages_per_task`` groups pages so that a task is worth its start-up
-    when a table has very many."""
+    """A paged server table. ``pages_per_task`` groups pages so that a task is worth its start-up; by default
+    a table of very many pages is read in some dozens of tasks per core."""
+
+    _known: WeakSet[SparkSession] = WeakSet()  # sessions that know the format
 
     def __init__(
         self,
         spark: SparkSession,
         transport: PageTransport,
-        pages_per_task: int = 1,
+        pages_per_task: int | None = None,
         modified: str = MODIFIED,
         internal_prefix: str | None = None,
     ):
@@ -109,9 +116,16 @@ class PagedSource(JsonRowsSource):
         return [c.name for c in columns]
 
     def lines(self, columns: Sequence[RemoteColumn]) -> DataFrame:
-        pages = _page_format(self._transport, self._names(columns), self._pages_per_task)
-        self._spark.dataSource.register(pages)
-        return self._spark.read.format(pages.name()).load()
+        if self._spark not in PagedSource._known:
+            self._spark.dataSource.register(PageFormat)
+            PagedSource._known.add(self._spark)
+        options = {
+            "transport": base64.b64encode(cloudpickle.dumps(self._transport)).decode(),
+            "columns": json.dumps(self._names(columns)),
+            "step": str(self._pages_per_task or 0),
+            "tasks": str(TASKS_PER_CORE * self._spark.sparkContext.defaultParallelism),
+        }
+        return self._spark.read.format(PageFormat.name()).options(**options).load()
 
     def probe(self) -> DataFrame | None:
         latest = self._transport.max_modified()

@@ -66,3 +66,12 @@ def test_no_query_has_a_cross_join(spark):
     for name in ("q_is_stale", "q_is_stale_sql", "q_snapshot_path_sql", "q_schema_diff", "q_join_three"):
         text = physical(CHECKS[name].run(spark, SF))
         assert "CartesianProduct" not in text and "NestedLoop" not in text, name
+
+
+def test_a_literal_asks_one_source(spark, new_store):
+    from tablesnap import FrameSource
+
+    store = new_store(connector=lambda table: FrameSource(lambda: spark.range(3).selectExpr(f"timestamp_ntz'2020-01-0{len(table.query_name)}' AS Modified")))
+    store.sync_many([("qc", "a" * n) for n in (1, 2, 3, 4)])
+    optimized = plan(store.sql("SELECT is_stale('qc', 'aaa') AS s")).split("== Optimized Logical Plan ==")[1]
+    assert optimized.split("== Physical Plan ==")[0].count("Range (") == 1
