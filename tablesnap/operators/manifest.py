@@ -63,13 +63,20 @@ class Manifest:
         self.folder = f"{storage.root}/manifest"
         storage.make_dir(self.folder)
 
-    @staticmethod
-    def _prefix(key: str) -> str:
-        return hashlib.md5(key.encode()).hexdigest()
+    def _place(self, key: str) -> tuple[str, str]:
+        """The folder of a table's records, one of 256, and what their names begin with."""
+        digest = hashlib.md5(key.encode()).hexdigest()
+        return f"{self.folder}/{digest[:2]}", digest
+
+    def _paths(self, key: str) -> list[str]:
+        """The records of one table. Only its own folder is listed."""
+        folder, prefix = self._place(key)
+        return self._storage.matches(f"{folder}/{prefix}-*.json")
 
     def read(self, path: str | list[str]) -> DataFrame:
         # Unreadable records and those of another format version count as absent.
-        records = self._spark.read.schema(RECORD_SCHEMA).option("mode", "PERMISSIVE").json(path)
+        reader = self._spark.read.schema(RECORD_SCHEMA).option("mode", "PERMISSIVE")
+        records = reader.option("recursiveFileLookup", "true").json(path)
         return records.where(F.col("format_version") == FORMAT_VERSION)
 
     def records(self) -> DataFrame:
@@ -81,7 +88,7 @@ class Manifest:
 
     def lookup(self, key: str) -> Row | None:
         """The live entry of one table. Its records share a name prefix: no others are opened."""
-        paths = self._storage.matches(f"{self.folder}/{self._prefix(key)}-*.json")
+        paths = self._paths(key)
         if not paths:
             return None
         newest = self.read(paths).where(F.col("key") == key).orderBy(F.desc("seq")).first()
@@ -95,7 +102,7 @@ class Manifest:
 
     def _append(self, key: str, op: str, entry: dict) -> None:
         # Later than any record there is, whatever the clock of its writer said.
-        names = (path.rpartition("/")[2] for path in self._storage.matches(f"{self.folder}/{self._prefix(key)}-*.json"))
+        names = (path.rpartition("/")[2] for path in self._paths(key))
         seq = Seq.next(max((int(name.split("-")[1]) for name in names), default=0))
         record = {
             "key": key,
@@ -104,11 +111,13 @@ class Manifest:
             "format_version": FORMAT_VERSION,
             **{k: v for k, v in entry.items() if v is not None},
         }
-        self._storage.publish(self.folder, f"{self._prefix(key)}-{seq}.json", json.dumps(record) + "\n")
+        folder, prefix = self._place(key)
+        self._storage.make_dir(folder)
+        self._storage.publish(folder, f"{prefix}-{seq}.json", json.dumps(record) + "\n")
 
     def token(self) -> str:
-        """Changes whenever the index does; costs one folder listing."""
-        names = sorted(n for n in self._storage.names(self.folder) if not n.startswith("."))
+        """Changes whenever the index does; costs a listing of its folders."""
+        names = sorted(self._storage.matches(f"{self.folder}/*/*.json"))
         return hashlib.md5("\n".join(names).encode()).hexdigest()
 
     def superseded(self, keep: int) -> DataFrame:
@@ -126,4 +135,5 @@ class Manifest:
 
     def forget(self, record: Row) -> None:
         seq = Seq(record.seq.t, record.seq.u)
-        self._storage.delete(f"{self.folder}/{self._prefix(record.key)}-{seq}.json")
+        folder, prefix = self._place(record.key)
+        self._storage.delete(f"{folder}/{prefix}-{seq}.json")
