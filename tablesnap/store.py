@@ -38,6 +38,15 @@ PROBES_AT_ONCE = 64  # tables asked in one job
 INFO_VIEW, PATH_VIEW, FRESHNESS_VIEW = "tablesnap_index", "tablesnap_paths", "tablesnap_freshness"
 
 
+# The texts of status rows and of a wrong call.
+SYNCED = "Synced {label} ({rows} rows) to {path}"
+BOTH_OR_NEITHER = "Both schema and query must be provided, or neither (to clear all)."
+NOTHING_FOR = "No cached data found for {label}. Nothing to clear."
+NOTHING = "No cached tables to clear."
+MISSING = "No cached data for {label}"
+CLEARED_FOR, ROWS_AND = "Cleared cache for {label} (", " rows, "
+CLEARED, TABLE, TOTAL = "Cleared ", " cached table", " total)"
+
 FUNCTIONS = ("cache_info", "snapshot_path", "is_stale")
 # Strings and comments of SQL, in which a function's name calls nothing.
 NO_CODE = re.compile(r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|--[^\n]*|/\*.*?\*/""", re.DOTALL)
@@ -145,7 +154,8 @@ class Store:
 
     def _synced(self, table: TableId) -> str:
         entry = self._sync(table)
-        return f"Synced {table.label} ({entry['row_count']} rows) to {self._data_path(entry['parquet_path'])}"
+        path = self._data_path(entry["parquet_path"])
+        return SYNCED.format(label=table.label, rows=entry["row_count"], path=path)
 
     def _status(self, *messages: str) -> DataFrame:
         return self.spark.createDataFrame([(m,) for m in messages], "status string")
@@ -260,15 +270,13 @@ class Store:
         entry = self._present(self.manifest.lookup(table.key))
         if offline:
             if entry is None:
-                raise SnapshotMissing(
-                    f"No cached data for {table.label}. Run without offline=True to fetch it."
-                )
+                raise SnapshotMissing(MISSING.format(label=table.label) + "; a read that is not offline fetches it.")
         elif entry is None or self._outdated(table, entry):
             entry = self._sync(table)
         if expect is not None:
             bound = [(c.name, c.json_type or "") for c in expect]
             if bound != [(c["name"], c["json_type"] or "") for c in entry["columns"]]:
-                raise SchemaChanged(f"Schema for {table.label} changed after cache refresh; rerun the query.")
+                raise SchemaChanged(f"{table.label} has other columns since it was refreshed; plan the query anew.")
         return self._read(entry)
 
     def _outdated(self, table: TableId, entry: Row) -> bool:
@@ -297,7 +305,7 @@ class Store:
     def cache_clear(self, *, schema: str | None = None, query: str | None = None) -> DataFrame:
         """Forget one table (of every server) or all, and delete their data. Runs now."""
         if (schema is None) != (query is None):
-            raise ValueError("Both schema and query must be provided, or neither (to clear all).")
+            raise ValueError(BOTH_OR_NEITHER)
         entries = self.manifest.entries()
         if schema is not None:
             entries = entries.where((F.col("schema_name") == schema) & (F.col("query_name") == query))
@@ -568,10 +576,11 @@ def clear_message(cleared: DataFrame, schema: str | None, query: str | None) ->
     )
     size = texts.format_size(F.col("bytes"))
     if schema is not None:
-        nothing = F.lit(f"No cached data found for {schema}.{query}. Nothing to clear.")
-        done = F.concat(F.lit(f"Cleared cache for {schema}.{query} ("), "rows", F.lit(" rows, "), size, F.lit(")"))
+        label = f"{schema}.{query}"
+        nothing = F.lit(NOTHING_FOR.format(label=label))
+        done = F.concat(F.lit(CLEARED_FOR.format(label=label)), "rows", F.lit(ROWS_AND), size, F.lit(")"))
     else:
-        nothing = F.lit("No cached tables to clear.")
+        nothing = F.lit(NOTHING)
         plural = F.when(F.col("n") == 1, "").otherwise("s")
-        done = F.concat(F.lit("Cleared "), "n", F.lit(" cached table"), plural, F.lit(" ("), size, F.lit(" total)"))
+        done = F.concat(F.lit(CLEARED), "n", F.lit(TABLE), plural, F.lit(" ("), size, F.lit(TOTAL))
     return totals.select(F.when(F.col("n") == 0, nothing).otherwise(done).alias("status"))
