@@ -8,7 +8,11 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+ROWS_AT_ONCE = 2048  # held as Python objects, with what is made of them
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -36,6 +40,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def sparse(rows: DataFrame, mark: Column, wanted: int, total: int) -> DataFrame:
+    """About twice ``wanted`` of ``total`` rows, those whose hash ``mark`` falls under a threshold; all if there
+    are no more. What each partition keeps shrinks as their number grows, so the sum stays bounded."""
+    share = min(1.0, 2 * wanted / max(total, 1))
+    return rows.where(F.pmod(mark, F.lit(1 << 30)) < F.lit(int(share * (1 << 30)) + 1))
+
+
 def parallelism(spark: SparkSession) -> int:
     """The number of partitions that the session shuffles into."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -50,20 +61,32 @@ def importable(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts can be long, so fewer rows than by default go to a Python worker at a time; both the worker and
+    the JVM hold a batch outside of Spark's own memory."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ROWS_AT_ONCE:
+        spark.conf.set(name, str(ROWS_AT_ONCE))
+
+
 def map_rows(
     df: DataFrame, rows: Callable[[Iterator[dict[str, list]]], Iterator[dict[str, list]]], schema: str
 ) -> DataFrame:
-    """``rows`` turns column lists into column lists, batch by batch, within each partition."""
+    """``rows`` turns column lists into column lists, some rows at a time, within each partition."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
     importable(df.sparkSession)
+    small_batches(df.sparkSession)
     spark_schema = df.sparkSession.createDataFrame([], schema).schema if not isinstance(schema, StructType) else schema
     arrow = to_arrow_schema(spark_schema)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists = ({n: c.to_pylist() for n, c in zip(b.schema.names, b.columns, strict=True)} for b in batches)
+        parts = (b.slice(i, ROWS_AT_ONCE) for b in batches for i in range(0, b.num_rows, ROWS_AT_ONCE))
+        lists = ({n: c.to_pylist() for n, c in zip(b.schema.names, b.columns, strict=True)} for b in parts)
         for out in rows(lists):
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+        # Workers are used again; what this partition needed must not stay with them.
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(work, spark_schema)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tablesnap.llm.common import cut, importable, map_rows, parallelism, table
+from tablesnap.llm.common import cut, importable, map_rows, parallelism, sparse, table
 
 
 @dataclass(frozen=True)
@@ -232,7 +232,9 @@ def search_curves(
 
 def fitted_window(space: DataFrame, placed: DataFrame, total: int, search: Search) -> int:
     """How far from a query's places its true neighbours are, measured on a sample of queries."""
-    sample = space.where("asked").orderBy(F.xxhash64("rep"), "rep").limit(search.sample).select("rep", "vector").collect()
+    queries = space.where("asked").select(F.xxhash64("rep").alias("mark"), "rep", "vector")
+    few = sparse(queries, F.col("mark"), search.sample, queries.count()).collect()
+    sample = sorted(few, key=lambda r: (r.mark, r.rep))[: search.sample]
     if not sample:
         return search.least_window
     reps, asked = np.array([r.rep for r in sample]), np.array([r.vector for r in sample], np.float64)

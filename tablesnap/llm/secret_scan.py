@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesnap.llm.common import map_rows, table
+from tablesnap.llm.common import map_rows, sparse, table
 
 # The patterns, the least length of what they must find, and the group that is measured.
 PATTERNS = {
@@ -65,8 +65,8 @@ def spans_text(spans: list[tuple[int, int, str]]) -> str:
 
 @dataclass(frozen=True)
 class Fit:
-    """How much is learned from: at most ``rows`` texts with a match and as many without, those with the smallest
-    hash of text; of each a stretch of ``tokens`` tokens, around the first match if there is one."""
+    """How much is learned from: at most ``rows`` texts with a match and as many without, by the hash of key and
+    text; of each a stretch of ``tokens`` tokens, around the first match if there is one."""
 
     rows: int = 400
     tokens: int = 64
@@ -310,17 +310,19 @@ def train_on(rows: DataFrame, fit: Fit = Fit()) -> Field:
     """A field from the texts of ``rows`` (``key``, ``text``)."""
     low = F.lower("text")
     hint = F.col("text").rlike("[0-9a-f]{16,}") | low.contains("token") | low.contains("secret") | low.contains("passw")
-    mark = F.xxhash64(F.col("key").cast("string"))
-    known = rows.where(F.col("text").isNotNull())
+    known = rows.where(F.col("text").isNotNull()).select(
+        F.xxhash64(F.col("key").cast("string"), "text").alias("mark"), "text", hint.alias("hint")
+    )
+    counts = known.agg(F.count_if("hint").alias("with"), F.count_if(~F.col("hint")).alias("without")).first()
+    # Around the first hint, as a whole text may be of any length.
+    place = F.regexp_instr(F.col("text"), F.lit("[0-9a-f]{16,}|(?i:token|secret|passw)"))
+    window = F.col("text").substr(F.greatest(place - 600, F.lit(1)), F.lit(1600))
     found = []
-    for some in (hint, ~hint):
-        # Around the first hint, as a whole text may be of any length.
-        place = F.regexp_instr(F.col("text"), F.lit("[0-9a-f]{16,}|(?i:token|secret|passw)"))
-        start = F.greatest(place - 600, F.lit(1))
-        window = F.col("text").substr(start, F.lit(1600))
-        chosen = known.where(some).select(mark.alias("mark"), window.alias("text"))
-        found += chosen.orderBy("mark", "text").limit(fit.rows).collect()
-    return train([r.text for r in found], fit)
+    for some, total in ((F.col("hint"), counts["with"]), (~F.col("hint"), counts["without"])):
+        few = sparse(known.where(some), F.col("mark"), fit.rows, total)
+        few = few.groupBy("mark").agg(F.min(window).alias("text")).collect()
+        found += sorted((r.mark, r.text) for r in few)[: fit.rows]
+    return train([text for _, text in found], fit)
 
 
 def all_spans(field: Field, text: str) -> tuple[list, list]:
