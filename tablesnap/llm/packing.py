@@ -15,7 +15,7 @@ import re
 import zlib
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -39,11 +39,7 @@ class Ids:
     """
 
     def __init__(self, path: str, ranks: str | None):
-        from tokenizers import Tokenizer
-
-        self.slow = Tokenizer.from_file(path)
-        self.slow.no_truncation()
-        self.slow.no_padding()
+        self.path = path
         self.fast = None
         if ranks:
             import base64
@@ -57,6 +53,16 @@ class Ids:
                 "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=known, special_tokens={}
             )
 
+    @cached_property
+    def slow(self):
+        """Loaded when a text first needs it."""
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(self.path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        return tokenizer
+
     def __call__(self, text: str) -> np.ndarray:
         if self.fast is not None and END_OF_TEXT not in text and SETTLED.match(text):
             return self.fast.encode_to_numpy(text).astype("<u4", copy=False)

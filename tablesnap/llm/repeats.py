@@ -228,9 +228,12 @@ def drop_spans(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
-def without_repeats(texts: DataFrame, key: str, text: str, length: int = LENGTH) -> DataFrame:
+def without_repeats(
+    texts: DataFrame, key: str, text: str, length: int = LENGTH, as_text: bool = False
+) -> DataFrame:
     """Every text without the bytes that a string of ``length`` bytes covers which also starts anywhere else, in
-    the same text or another: ``key``, ``n_bytes``, ``n_removed``, ``n_spans`` and the ``kept`` bytes.
+    the same text or another: ``key``, ``n_bytes``, ``n_removed``, ``n_spans`` and the ``kept`` bytes, or with
+    ``as_text`` the kept text, from which letters that were cut in two are gone.
 
     A null text counts as empty. Repeated rows are texts that repeat each other: long ones lose all bytes. Null
     keys are kept; an empty table gives no rows; other columns are not looked at. ``texts`` must give the same rows
@@ -247,7 +250,9 @@ def without_repeats(texts: DataFrame, key: str, text: str, length: int = LENGTH)
             for k, text, found in zip(batch["key"], batch["text"], batch["spans"], strict=True):
                 raw = text.encode()
                 gone = merged([(s["first"], s["end"]) for s in found or ()])
-                values = (k, len(raw), sum(b - a for a, b in gone), len(gone), drop_spans(raw, gone))
+                kept = drop_spans(raw, gone)
+                kept = kept.decode("utf-8", "ignore") if as_text else kept
+                values = (k, len(raw), sum(b - a for a, b in gone), len(gone), kept)
                 for n, v in zip(out, values, strict=True):
                     out[n].append(v)
             yield out
@@ -255,14 +260,15 @@ def without_repeats(texts: DataFrame, key: str, text: str, length: int = LENGTH)
     # Only texts that may have spans are moved to them; the others pass.
     split = marked(rows, spans, ["row"])
     joined = split.where("maybe").join(spans, "row", "left").select("key", "text", "spans")
-    schema = f"key {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
+    kept_kind = "string" if as_text else "binary"
+    schema = f"key {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept {kept_kind}"
     none = F.lit(0).cast("long")
     whole = split.where("NOT maybe").select(
         "key",
         F.octet_length("text").cast("long").alias("n_bytes"),
         none.alias("n_removed"),
         none.alias("n_spans"),
-        F.col("text").cast("binary").alias("kept"),
+        F.col("text").cast(kept_kind).alias("kept"),
     )
     return map_rows(joined, work, schema).unionByName(whole).withColumnRenamed("key", key)
 
