@@ -1,7 +1,7 @@
 """Document fingerprints that add up: a homomorphic hash of the multiset of a text's paragraphs.
 
-A paragraph (a line) is cut into groups of three words, each group is hashed to 64 bits, and the paragraph's vector is
-the sum of its groups' vectors: 63 counters that say how often each of 63 hash bits is set, two sums of 32-bit
+Each three words that follow each other in a paragraph (a line) are a group, those that overlap included; a shorter
+paragraph is one group. Each group is hashed to 64 bits, and the paragraph's vector is the sum of its groups' vectors: 63 counters that say how often each of 63 hash bits is set, two sums of 32-bit
 halves of the hash, and the number of groups. The fingerprint of a text is the sum of the vectors of its paragraphs,
 modulo powers of two. So it does not depend on the order of paragraphs, and a paragraph can be added to or taken out of a
 fingerprint without the rest of the text. Counters of unlike texts are independent, so the cosine of two centred
@@ -24,7 +24,8 @@ THREE_BITS = 1 | 1 << STEP | 1 << 2 * STEP
 MODULUS = 1 << 62
 HALF = 0xFFFFFFFF
 
-GROUP = r"[^\s]+(?:[^\S\n]+[^\s]+){0,2}"
+GROUP_WORDS = 3
+WORD = r"[^\s]+"
 
 
 def fingerprint_of(hashes: Column) -> Column:
@@ -42,8 +43,20 @@ def fingerprint_of(hashes: Column) -> Column:
 
 
 def group_hashes(text: Column) -> Column:
-    """The hashes of the word groups of a text."""
-    return F.transform(F.regexp_extract_all(text, F.lit(GROUP), F.lit(0)), lambda g: F.xxhash64(g))
+    """The hashes of the word groups of a text. A word put in or left out changes only the groups that hold it."""
+
+    def of(line: Column) -> Column:
+        words = F.regexp_extract_all(line, F.lit(WORD), F.lit(0))
+
+        def groups(words: Column) -> Column:
+            count = F.greatest(F.size(words) - (GROUP_WORDS - 1), F.least(F.size(words), F.lit(1)))
+            whole = F.slice(words, 1, count)
+            return F.transform(whole, lambda w, i: F.xxhash64(F.slice(words, i + 1, F.lit(GROUP_WORDS))))
+
+        # Bound once by a transform, so that words are not extracted anew for each group.
+        return F.flatten(F.transform(F.array(words), groups))
+
+    return F.flatten(F.transform(F.split(text, "\n"), of))
 
 
 def combined(one: Column, other: Column, sign: int = 1) -> Column:

@@ -335,6 +335,18 @@ def test_op9_adds_up(spark):
     assert row["sum"] == prints["both"] and row["rest"] == prints["one"]
 
 
+def test_op9_one_word_more_or_less_at_the_begin(spark):
+    draw = random.Random(9)
+    words = [f"w{draw.randrange(5000)}" for _ in range(150)]
+    texts = {"text": " ".join(words), "more": " ".join(["new", *words]), "less": " ".join(words[1:])}
+    col, prints = multiset.F.col, multiset.fingerprint_of
+    frame = spark.createDataFrame([tuple(texts.values())], "text string, more string, less string")
+    frame = frame.select(*[prints(multiset.group_hashes(col(n))).alias(n) for n in texts])
+    near = lambda n: multiset.likeness(col("text"), col(n), multiset.counters(col("text")), multiset.counters(col(n)))
+    row = frame.select(near("more").alias("more"), near("less").alias("less"), (col("text")[multiset.WORDS + 2]).alias("groups")).first()
+    assert row.groups == 148 and row.more > 0.95 and row.less > 0.95
+
+
 def test_op9_is_native(spark, corpus):
     plan = QUERIES["op9_multiset_fingerprints"](spark, corpus)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
