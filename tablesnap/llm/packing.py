@@ -6,7 +6,7 @@ their source or length, and each shard is packed on its own: pieces go, largest
 best, and then a local search works on the bins that are not full. It moves a piece into a fuller bin, exchanges one
 piece for another, or two for one, whenever that raises the sum of squared fills; so fuller bins get fuller, and
 the emptiest ones run out of pieces. The bins that stay clearly underfull after that are taken apart, and the pieces of
-many shards are packed once more together, so that the last, half-empty bin of each shard does not stay.
+many shards are packed once more together, about ``shard_rows`` at a time, so that the last, half-empty bin of each shard does not stay.
 """
 
 from __future__ import annotations
@@ -167,9 +167,9 @@ class Bins:
         self.shift(source, best[1], target, best[2])
         return True
 
-    def search(self, rounds: int, reach: int) -> None:
+    def search(self, rounds: int, reach: int | None = None) -> None:
         """Work on the emptiest bins against the fuller underfull ones, until nothing changes or ``rounds`` are
-        over. ``reach`` bounds how many bins are tried for each; all bins stay valid at any time."""
+        over. ``reach`` bounds how many bins are tried for each, None tries all; all bins stay valid at any time."""
         least = -(-int(self.lengths.sum()) // self.limit)
         for _ in range(rounds):
             if sum(f > 0 for f in self.fill) <= least:
@@ -177,8 +177,10 @@ class Bins:
             under = sorted((b for b, f in enumerate(self.fill) if 0 < f < self.limit), key=self.fill.__getitem__)
             changed = False
             for source in under[:reach]:
-                for target in reversed(under[-reach:]):
-                    if source == target or not self.fill[source] or self.fill[target] < self.fill[source]:
+                for target in reversed(under if reach is None else under[-reach:]):
+                    if not self.fill[source]:
+                        break
+                    if source == target or self.fill[target] == self.limit or self.fill[target] < self.fill[source]:
                         continue
                     while self.fill[source] and self.fill[target] < self.limit and self.step(source, target):
                         changed = True
@@ -188,7 +190,7 @@ class Bins:
                 break
 
 
-def pack(lengths: np.ndarray, limit: int, rounds: int = 8, reach: int = 64) -> tuple[np.ndarray, np.ndarray]:
+def pack(lengths: np.ndarray, limit: int, rounds: int = 8, reach: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The bin of each piece, and its offset there."""
     bins = Bins(lengths, limit)
     bins.best_fit()
@@ -234,8 +236,6 @@ def pack_texts(
     )
     partial = all_pieces.where(F.col("length") < limit)
     shards = max(1, -(-partial.count() // shard_rows))
-    groups = -(-shards // regroup)
-
     def packed(first: int):
         def work(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
             of, offset = pack(rows["length"].to_numpy(np.int64), limit)
@@ -252,6 +252,8 @@ def pack_texts(
     once = cut(partial.withColumn("shard", shard).groupBy("shard").applyInPandas(packed(0), schema))
     kept = once.where("NOT open").drop("open")
     left = once.where("open").select(*all_pieces.columns)
+    # The search tries all bins of a group with each other, so its groups are no larger than the shards.
+    groups = max(-(-shards // regroup), -(-left.count() // shard_rows))
     again = left.withColumn("shard", F.pmod(F.xxhash64("ids_crc32", "key", "piece"), F.lit(groups)))
     again = again.groupBy("shard").applyInPandas(packed(1 << 60), schema).drop("open")
     return full.unionByName(kept).unionByName(again).withColumnRenamed("key", key)

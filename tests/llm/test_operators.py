@@ -87,6 +87,15 @@ def test_op1_search_improves_on_best_fit():
     assert better
 
 
+def test_op1_search_tries_all_bins_of_a_shard():
+    lengths = np.random.default_rng(5).integers(257, 512, 4096)
+    bins = packing.Bins(lengths, 1024)
+    bins.best_fit()
+    of, offset = packing.pack(lengths, 1024)
+    assert np.bincount(of, weights=lengths).max() <= 1024 and (offset + lengths <= 1024).all()
+    assert len(set(of.tolist())) <= 0.97 * len(bins.bins)
+
+
 def test_op2_patterns_and_field(spark, corpus, texts):
     found = sorted((r.doc_id or -1, r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in QUERIES["op2_secret_spans"](spark, corpus).collect())
     want = []
