@@ -3,8 +3,12 @@
 A text is lower-cased and whatever is no letter becomes a boundary mark. Its subwords are all pieces of two to four
 characters with marks at their ends only, each hashed to a row of an embedding table. The text's vector is the average
 of these rows and a linear softmax tells the language. Table and softmax are trained together by stochastic gradient descent
-in numpy, on a bounded sample. The confidence is calibrated by a temperature on texts set aside from training, and a text is
-rejected if its confidence is below what almost all of these reach.
+in numpy, on a bounded sample. The confidence is calibrated by a temperature on texts set aside from training.
+
+A softmax is sure of texts in languages that it never saw, too. So a text is rejected by its likelihood: how far the mean
+log-probability of its subwords, in the language it is given, lies below that of the texts set aside, in
+deviations that allow for its length. The threshold lies between those texts and the texts of each language
+as the other languages see them.
 
 Since averages and the softmax's inner product are linear, prediction multiplies the two once and then only adds up what
 each subword says for each language; hashing and adding are array operations over a text.
@@ -40,8 +44,9 @@ class Fit:
     epochs: int = 3
     rate: float = 0.5
     set_aside: int = 5  # every fifth text calibrates and does not train
-    reject: float = 0.002  # share of the texts set aside that may fall under the threshold
-    reject_most: float = 0.4  # the threshold is never higher
+    reject: float = 0.01  # share of the texts set aside that may lie beyond the threshold
+    lone: float = 8.0  # the threshold, in deviations, of a model of one language
+    least_deviation: float = 0.05  # of a language's texts, which may be few or alike
 
 
 @lru_cache(maxsize=1)
@@ -80,12 +85,60 @@ def subwords(text: str | None, buckets: int) -> np.ndarray:
     return np.concatenate(found)
 
 
+@dataclass
+class Usual:
+    """What texts of each language are like: log-probabilities of subwords, mean and variance of texts' means of
+    these, the variance of a single subword's, and how many deviations below the mean are still accepted."""
+
+    logs: np.ndarray
+    mean: np.ndarray
+    between: np.ndarray
+    within: np.ndarray
+    most: float
+
+    def below(self, value: float, size: int, language: int) -> float:
+        """How many deviations a text's mean lies below the language's."""
+        return float((self.mean[language] - value) / np.sqrt(self.between[language] + self.within[language] / size))
+
+
+def usual_of(learn: list[tuple], aside: list[tuple], count: int, fit: Fit) -> Usual:
+    """From samples of subwords, their shares, language and number. What is set aside was not counted."""
+    seen = np.full((fit.buckets, count), 0.1)
+    for at, share, language, size in learn:
+        seen[at, language] += share * size
+    logs = np.log(seen / seen.sum(0))
+    means = np.array([share @ logs[at] for at, share, *_ in aside])
+    wants, sizes = np.array([s[2] for s in aside]), np.array([s[3] for s in aside])
+    found = Usual(logs, *np.zeros((3, count)), fit.lone)
+    for k in range(count):
+        own = means[wants == k, k]
+        # Robust: some texts are marked with a language and hold junk.
+        found.mean[k] = np.median(own) if len(own) else np.median(means[np.arange(len(wants)), wants])
+        spread = 1.4826 * np.median(np.abs(own - found.mean[k])) if len(own) else 0.0
+        found.between[k] = max(spread, fit.least_deviation) ** 2
+        p = seen[:, k] / seen[:, k].sum()
+        found.within[k] = p @ logs[:, k] ** 2 - (p @ logs[:, k]) ** 2
+    inner = [found.below(m[k], n, k) for m, k, n in zip(means, wants, sizes, strict=True)]
+    # As if its own language had not been learned, a text is given the one that it is likeliest in.
+    outer = [
+        min(found.below(m[k], n, k) for k in range(count) if k != own)
+        for m, own, n in zip(means, wants, sizes, strict=True)
+        if count > 1
+    ]
+    if outer:
+        inside, outside = np.quantile(inner, 1 - fit.reject), np.quantile(outer, fit.reject)
+        found.most = float(max(inside, (inside + outside) / 2))
+    return found
+
+
 class Model:
-    """Languages, what each subword says for each of them, the temperature, and the threshold."""
+    """Languages, what each subword says for each of them, the temperature, and what is like each language."""
 
-    def __init__(self, languages: list[str], says: np.ndarray, bias: np.ndarray, temperature: float, least: float):
+    def __init__(
+        self, languages: list[str], says: np.ndarray, bias: np.ndarray, temperature: float, usual: Usual | None
+    ):
         self.languages, self.says, self.bias = languages, says, bias
-        self.temperature, self.least = temperature, least
+        self.temperature, self.usual = temperature, usual
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, calibrated confidence, and whether that is too low."""
@@ -95,7 +148,11 @@ class Model:
         total = sum(self.says[pieces[i : i + PART]].sum(0) for i in range(0, len(pieces), PART))
         p = softmax((total / len(pieces) + self.bias) / self.temperature)
         best = int(p.argmax())
-        return self.languages[best], float(p[best]), bool(p[best] < self.least)
+        rejected = False
+        if self.usual is not None:
+            logs = sum(self.usual.logs[pieces[i : i + PART], best].sum() for i in range(0, len(pieces), PART))
+            rejected = bool(self.usual.below(logs / len(pieces), len(pieces), best) > self.usual.most)
+        return self.languages[best], float(p[best]), rejected
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -107,7 +164,7 @@ def train(texts: list[str], labels: list[str], fit: Fit) -> Model:
     """Fit the table and the softmax to all texts but those set aside, which give temperature and threshold."""
     languages = sorted(set(labels))
     if not languages:
-        return Model([], np.zeros((fit.buckets, 0)), np.zeros(0), 1.0, 0.0)
+        return Model([], np.zeros((fit.buckets, 0)), np.zeros(0), 1.0, None)
     draw = np.random.default_rng(3)
     table_, weights, bias = (
         draw.normal(0, 0.1, (fit.buckets, fit.width)),
@@ -118,14 +175,14 @@ def train(texts: list[str], labels: list[str], fit: Fit) -> Model:
     for text, label in zip(texts, labels, strict=True):
         at, times = np.unique(subwords(text, fit.buckets), return_counts=True)
         if len(at):
-            samples.append((at, times / times.sum(), languages.index(label)))
+            samples.append((at, times / times.sum(), languages.index(label), int(times.sum())))
     aside, learn = samples[:: fit.set_aside], [s for i, s in enumerate(samples) if i % fit.set_aside]
     learn = learn or aside
     steps = fit.epochs * len(learn)
     for step in range(steps):
         if step % len(learn) == 0:
             order = draw.permutation(len(learn))
-        at, share, want = learn[order[step % len(learn)]]
+        at, share, want, _ = learn[order[step % len(learn)]]
         rate = fit.rate * (1 - step / steps)
         mean = share @ table_[at]
         error = softmax(mean @ weights + bias)
@@ -136,17 +193,22 @@ def train(texts: list[str], labels: list[str], fit: Fit) -> Model:
         table_[at] -= (rate * len(at) ** 0.5) * np.outer(share, back)
     says = table_ @ weights
     if not aside:
-        return Model(languages, says, bias, 1.0, 0.0)
-    logits = np.array([share @ says[at] for at, share, _ in aside]) + bias
-    wants = np.array([w for *_, w in aside])
+        return Model(languages, says, bias, 1.0, None)
+    logits = np.array([share @ says[at] for at, share, *_ in aside]) + bias
+    wants = np.array([s[2] for s in aside])
 
     def loss(t: float) -> float:
-        return -np.log(softmax(logits / t)[np.arange(len(wants)), wants] + 1e-12).mean()
-
-    temperature = min(np.geomspace(0.02, 5, 60), key=loss)
-    confidence = softmax(logits / temperature).max(1)
-    least = min(fit.reject_most, float(np.quantile(confidence, fit.reject)))
-    return Model(languages, says, bias, float(temperature), least)
+        # The wanted share of the right language stays below one, else the best temperature of texts that are all
+        # right would be zero.
+        z = logits / t
+        logs = z - z.max(1, keepdims=True)
+        logs -= np.log(np.exp(logs).sum(1, keepdims=True))
+        right, rest = logs[np.arange(len(wants)), wants], logs.sum(1)
+        share = 1 / (len(wants) + 2)
+        return float(-((1 - share) * right + share * (rest - right) / max(1, len(languages) - 1)).mean())
+
+    temperature = min(np.geomspace(0.002, 20, 120), key=loss)
+    return Model(languages, says, bias, float(temperature), usual_of(learn, aside, len(languages), fit))
 
 
 def learned_from(key: Column) -> Column:

@@ -17,6 +17,7 @@ import __spark_entry__ as contract
 from tablesnap.llm import bpe, curves, html_text, language, multiset, packing, quality, repeats, secret_scan, simhash
 from tablesnap.llm.links import components
 from tablesnap.llm.queries import QUERIES
+from tests.llm.conftest import prose
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -152,6 +153,24 @@ def test_op3_accuracy_and_rules(spark, corpus, texts):
     assert sum(right) >= 0.9 * len(right)
 
 
+def test_op3_rejects_what_was_not_learned():
+    marks = [("en", "fr")[n % 2] for n in range(400)]
+    model = language.train([prose(3000 + n, 20 + n % 60, mark) for n, mark in enumerate(marks)], marks, language.Fit())
+    clean = [model.predict(prose(9000 + n, 15 + n % 80, mark)) for n, mark in enumerate(marks)]
+    assert [c[0] for c in clean] == marks and sum(c[2] for c in clean) <= 4
+    assert 0.002 < model.temperature < 20
+    for text in (
+        "Il governo ha deciso ieri di aumentare le tasse per tutti i cittadini che vivono nelle grandi città del nord",
+        "Wczoraj rząd postanowił podnieść podatki dla wszystkich obywateli mieszkających w dużych miastach",
+        "Hallitus päätti eilen korottaa veroja kaikille kansalaisille jotka asuvat suurissa kaupungeissa",
+        "Правительство вчера решило повысить налоги для всех граждан",
+        "政府昨天决定提高所有居住在北方大城市的公民的税收",
+        "sdkfj qwpeo zmxnc vbalk sdjfh qpwoei rutyg hfjdk slaqp wmxnz cbvgh tyrue",
+        "TWFueSBoYW5kcyBtYWtlIGxpZ2h0IHdvcmsuIGFuZCBzbyBvbiBpdCBnb2VzIGZvciBhZ2Vz",
+    ):
+        assert model.predict(text)[2], text
+
+
 def test_op3_long_texts_in_parts(monkeypatch):
     text = "Été, the old river — 12 houses by it " * 50
     whole = sorted(language.subwords(text, 1 << 15).tolist())
