@@ -1,8 +1,9 @@
 """The main text of web pages, by two passes of block rules.
 
 A page is cut into blocks at block-level tags. The first pass decides blocks by their text: how dense stop words
-are, how long they are, how much of them is links, and in which part of the page they stand. Headings and short blocks
-without links remain open. In the second pass these take the label of the nearest decided blocks before
+are, how long they are, and how much of them is links. Headings and short blocks without links remain open. Tags and
+names are evidence: parts set aside go unless they wrap almost all accepted text, and a part tagged as main is the
+main one if most accepted text stands in it. In the second pass these take the label of the nearest decided blocks before
 and after them.
 """
 
@@ -73,13 +74,13 @@ class Rules:
 
 @dataclass
 class Block:
-    """One block: its text, letters in links, whether it is a heading, and where it stands: in a part set aside,
-    in the main part, or neither."""
+    """One block: its text, letters in links, whether it is a heading, and where it stands: the numbers of the parts
+    around it that are set aside by tag or name, and whether one is tagged as main."""
 
     text: str
     linked: int
     heading: bool
-    aside: bool
+    asides: tuple[int, ...]
     main: bool
     label: int = OPEN
 
@@ -90,6 +91,8 @@ def part_of(tag: str, attributes: str, aside: bool, main: bool) -> tuple[bool, b
     if attributes and "=" in attributes or "hidden" in attributes:
         for name, value in ATTRIBUTE.findall(attributes):
             found.setdefault(name.lower(), html.unescape(value.strip("\"'")))
+    if tag in ("html", "body"):
+        found = {n: v for n, v in found.items() if n not in ("class", "id", "role")}  # they tell about the layout
     hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
     named = f"{found.get('class', '')} {found.get('id', '')}"
     named_aside = bool(ASIDE_NAMES.search(named)) or found.get("role", "").lower() in ASIDE_ROLES
@@ -108,15 +111,17 @@ def blocks_of(page: str) -> list[Block]:
     words: list[str] = []
     linked = 0
     heading = False
-    stack: list[tuple[str, bool, bool, bool, bool, bool]] = []  # tag, hidden, aside, main, link, heading
-    hidden = aside = main = link = False
+    stack: list[tuple[str, bool, tuple[int, ...], bool, bool, bool]] = []  # tag, hidden, asides, main, link, heading
+    hidden = main = link = False
+    asides: tuple[int, ...] = ()
+    parts = 0
     silent, unclosed = "", set()
 
     def close() -> None:
         nonlocal words, linked
         text = " ".join("".join(words).split())
         if text:
-            blocks.append(Block(text, linked, heading, aside, main))
+            blocks.append(Block(text, linked, heading, asides, main))
         words, linked = [], 0
 
     at = 0
@@ -150,14 +155,21 @@ def blocks_of(page: str) -> list[Block]:
         if ends:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
-                    _, hidden, aside, main, link, heading = stack[i]
+                    _, hidden, asides, main, link, heading = stack[i]
                     del stack[i:]
                     break
         elif tag not in VOID and not match[3].endswith("/"):
             if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1][0] == tag:
-                _, hidden, aside, main, link, heading = stack.pop()
-            stack.append((tag, hidden, aside, main, link, heading))
-            now_hidden, aside, main = part_of(tag, match[3], aside, main)
+                _, hidden, asides, main, link, heading = stack.pop()
+            stack.append((tag, hidden, asides, main, link, heading))
+            # Whether this tag itself sets aside, and whether it lifts what its surroundings do.
+            now_hidden, own, now_main = part_of(tag, match[3], False, main)
+            if not part_of(tag, match[3], True, main)[1] or (own and now_main and not main):
+                asides = ()
+            if own:
+                parts += 1
+                asides += (parts,)
+            main = now_main
             hidden = hidden or now_hidden
             link = link or tag == "a"
             heading = heading or tag in HEADINGS
@@ -167,18 +179,16 @@ def blocks_of(page: str) -> list[Block]:
     return blocks
 
 
-def decide(block: Block, rules: Rules, has_main: bool) -> int:
-    """The first pass."""
-    size = len(block.text)
+def barred(block: Block, rules: Rules) -> bool:
+    """Whether a block is no text wherever it stands: links, or a short line of rights."""
     letters = max(1, len(block.text.replace(" ", "")))
-    if block.aside or (has_main and not block.main):
-        return BAD
-    if block.linked > rules.links * letters:
-        return BAD
-    if has_main:
-        # What stands in the main part and is no list of links is text, whatever its words.
-        return OPEN if block.heading or size < rules.short else GOOD
-    if "©" in block.text:
+    return block.linked > rules.links * letters or ("©" in block.text and len(block.text) < 3 * rules.short)
+
+
+def by_text(block: Block, rules: Rules) -> int:
+    """What the text alone tells of a block: stop words, length and links."""
+    size = len(block.text)
+    if barred(block, rules):
         return BAD
     if block.heading or size < rules.short:
         return OPEN
@@ -189,6 +199,17 @@ def decide(block: Block, rules: Rules, has_main: bool) -> int:
     return BAD if density < rules.few_stops and size < 3 * rules.short else OPEN
 
 
+def wrappers(blocks: list[Block], most: float = 0.75) -> set[int]:
+    """Parts that are set aside though almost all accepted text of the page stands in them: they wrap the page."""
+    held: dict[int, int] = {}
+    for block in blocks:
+        if block.label == GOOD:
+            for part in block.asides:
+                held[part] = held.get(part, 0) + len(block.text)
+    total = sum(len(b.text) for b in blocks if b.label == GOOD)
+    return {part for part, size in held.items() if size > most * total}
+
+
 def inherit(blocks: list[Block]) -> None:
     """The second pass: an open block takes the label of its decided neighbours. Where they differ the nearer one
     counts, the text on a tie; a page without a decided block keeps all that is open and not set aside."""
@@ -225,15 +246,31 @@ def inherit(blocks: list[Block]) -> None:
 def main_text(page: str, rules: Rules = Rules()) -> str:
     """The main text of a page."""
     blocks = blocks_of(page)
-    has_main = any(b.main and not b.aside for b in blocks)
     for block in blocks:
-        block.label = decide(block, rules, has_main)
-    if has_main:
-        # Only blocks of the main part are each other's neighbours.
-        inside = [b for b in blocks if b.main and not b.aside]
-        inherit(inside)
-    else:
-        inherit(blocks)
+        block.label = by_text(block, rules)
+    lifted = wrappers(blocks)
+    near = [b for b in blocks if lifted.issuperset(b.asides)]
+    # What is tagged as main is so only if most accepted text stands there; else those are cards beside the story.
+    sizes = {side: sum(len(b.text) for b in near if b.label == GOOD and b.main == side) for side in (True, False)}
+    tagged = any(b.main for b in near)
+    if tagged:
+        # Where no tagged block is accepted, being short or without stop words, what is no link or heading counts, and
+        # twice for its tag.
+        open_text = sum(len(b.text) for b in near if b.main and not b.heading and not barred(b, rules))
+        sizes[True] = sizes[True] or 2 * open_text
+        side = sizes[True] >= sizes[False]
+        near = [b for b in near if b.main == side]
+        if side:
+            # The tag speaks for a block that only lacks stop words, such as a row of a table: its neighbours decide.
+            for block in near:
+                if block.label == BAD and not barred(block, rules):
+                    block.label = OPEN
+    chosen = {id(b) for b in near}
+    for block in blocks:
+        if id(block) not in chosen:
+            block.label = BAD
+    # Only blocks of the main part are each other's neighbours, if the page has one.
+    inherit(near if tagged else blocks)
     return " ".join(b.text for b in blocks if b.label == GOOD)
 
 

@@ -238,6 +238,20 @@ def test_op5_keeps_the_article_only(wrap):
     assert html_text.main_text(PAGE % (wrap % body)) == f"A title {FIRST} Short & sweet. Résumé {SECOND} And inline."
 
 
+def test_op5_tags_and_names_are_evidence_only():
+    card = "<article><a href='/x'>More</a><p>The card of the day is that of a man who was in the town and had it.</p></article>"
+    page = f"<body><div><p>{FIRST}</p><p>{SECOND}</p></div><div>{card}</div></body>"
+    assert html_text.main_text(page) == f"{FIRST} {SECOND}"
+    signed = f"{FIRST} The mark © was in it, and it is that of the man who had been there for all of the years. {SECOND}"
+    assert html_text.main_text(f"<div><p>{FIRST}</p><p>{signed}</p></div><p>© 2020 by the company</p>") == f"{FIRST} {signed}"
+    for wrap in ("<body class='has-sidebar'>%s</body>", "<body><div class='has-sidebar'>%s</div></body>"):
+        assert html_text.main_text(wrap % f"<div><p>{FIRST}</p><p>{SECOND}</p></div><div class='share'>To all</div>") == f"{FIRST} {SECOND}"
+    links = f"<p><a href='/x'>{FIRST}</a></p>"
+    row = "Foo bar baz qux lorem ipsum dolor amet sit elit sed magna aliqua tempor labore."
+    page = f"<article>{links * 3}<p>{row}</p>{links * 3}<p>{row}</p><p>{FIRST}</p><p>{SECOND}</p></article>"
+    assert html_text.main_text(page) == f"{row} {FIRST} {SECOND}"
+
+
 def test_op5_rows(spark, tmp_path):
     pages = [(1, "u", PAGE % f"<article><p>{FIRST}</p></article>"), (1, "u", ""), (2, None, None), (None, "v", "<p>plain"), (3, "w", "<" * 50)]
     spark.createDataFrame(pages, "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
