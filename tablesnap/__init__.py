@@ -1,6 +1,6 @@
 """Typed Parquet snapshots of whole remote tables, as a Spark library."""
 
-from tablesnap.errors import SchemaChanged, SnapshotMissing
+from tablesnap.errors import SchemaChanged, SnapshotMissing, WrongCall
 from tablesnap.functions.types import RemoteColumn
 from tablesnap.sources import FileSource, FrameSource, JdbcSource, JsonRowsSource, PagedSource
 from tablesnap.store import Store
@@ -15,4 +15,5 @@ __all__ = [
     "SchemaChanged",
     "SnapshotMissing",
     "Store",
+    "WrongCall",
 ]

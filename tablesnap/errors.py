@@ -7,3 +7,7 @@ class SnapshotMissing(LookupError):
 
 class SchemaChanged(RuntimeError):
     """A refresh changed the columns the caller was bound to; rerun against the new ones."""
+
+
+class WrongCall(ValueError):
+    """A function of the store is called in SQL with arguments that it does not take."""

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import logging
 import os
-import re
 import time
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, datetime
@@ -17,12 +18,13 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
-from tablesnap.errors import SchemaChanged, SnapshotMissing
+from tablesnap.errors import SchemaChanged, SnapshotMissing, WrongCall
 from tablesnap.functions import texts
 from tablesnap.functions.ids import TableId, table_id
 from tablesnap.functions.types import RemoteColumn, snapshot_schema
-from tablesnap.operators import freshness
+from tablesnap.operators import freshness, statements
 from tablesnap.operators.manifest import Manifest, Seq
+from tablesnap.operators.statements import Asked, Call, Parameter, Signature
 from tablesnap.sources.base import Fetch, Source, quoted
 from tablesnap.storage import Storage
 
@@ -44,12 +46,25 @@ BOTH_OR_NEITHER = "Both schema and query must be provided, or neither (to clear
 NOTHING_FOR = "No cached data found for {label}. Nothing to clear."
 NOTHING = "No cached tables to clear."
 MISSING = "No cached data for {label}"
+VACUUMED = "Removed {records} records that newer ones replaced."
 CLEARED_FOR, ROWS_AND = "Cleared cache for {label} (", " rows, "
-CLEARED, TABLE, TOTAL = "Cleared ", " cached table", " total)"
+CLEARED, ONE_TABLE, TOTAL = "Cleared ", " cached table", " total)"
 
 FUNCTIONS = ("cache_info", "snapshot_path", "is_stale")
-# Strings and comments of SQL, in which a function's name calls nothing.
-NO_CODE = re.compile(r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|--[^\n]*|/\*.*?\*/""", re.DOTALL)
+CALL_VIEW = "tablesnap_call_"  # begins the names of the views that stand for calls in SQL
+
+TABLE = [Parameter("schema", required=True), Parameter("query", required=True)]
+SERVER = [Parameter("base_url"), Parameter("container_path")]
+# What SQL text can call: in FROM, or with CALL.
+SIGNATURES = {
+    s.name: s
+    for s in (
+        Signature("snapshot", [*TABLE, Parameter("offline", bool), *SERVER], effect=False),
+        Signature("sync", [*TABLE, *SERVER]),
+        Signature("cache_clear", [Parameter("schema"), Parameter("query")]),
+        Signature("vacuum", [Parameter("keep", int)]),
+    )
+}
 
 
 class Store:
@@ -85,7 +100,9 @@ class Store:
         self._log_folder = f"{self.root}/sync_log"
         self._storage.make_dir(self._log_folder)
         self._views: dict[str, tuple[str, str]] = {}  # view -> (key, snapshot) it shows
-        self._index: list[Row] = []  # live entries as of the token, the latest fetch first
+        self._calls: dict[str, str] = {}  # view of a snapshot called in SQL -> its key
+        self._passing: list[str] = []  # views of the last text alone
+        self._index: dict[str, list[Row]] = {}  # live entries by lower-case name as of the token, the latest fetch first
         self._token: str | None = None
 
     # --- tables and sources ------------------------------------------------------------------
@@ -119,10 +136,22 @@ class Store:
         return source
 
     def columns(
-        self, schema: str, query: str, base_url: str | None = None, container_path: str | None = None
+        self,
+        schema: str,
+        query: str,
+        base_url: str | None = None,
+        container_path: str | None = None,
+        offline: bool = False,
     ) -> list[RemoteColumn]:
-        """The columns a sync of this table would store, from metadata alone."""
-        return self._source(self.table_id(schema, query, base_url, container_path)).visible_columns()
+        """The columns a sync of this table would store, from metadata alone; with ``offline`` those that are
+        stored, without asking the source."""
+        table = self.table_id(schema, query, base_url, container_path)
+        if not offline:
+            return self._source(table).visible_columns()
+        entry = self.manifest.lookup(table.key)
+        if entry is None:
+            raise SnapshotMissing(MISSING.format(label=table.label) + ".")
+        return [RemoteColumn(c["name"], c["json_type"]) for c in entry["columns"]]
 
     # --- sync --------------------------------------------------------------------------------
 
@@ -266,6 +295,22 @@ class Store:
         ``offline`` serves what is stored and never touches the source. ``expect`` names the columns
         the caller was built for; if a refresh changes them, :class:`SchemaChanged` is raised.
         """
+        entry = self._current(schema, query, offline, base_url, container_path)
+        if expect is not None:
+            bound = [(c.name, c.json_type or "") for c in expect]
+            if bound != [(c["name"], c["json_type"] or "") for c in entry["columns"]]:
+                raise SchemaChanged(f"{schema}.{query} has other columns since it was refreshed; plan the query anew.")
+        return self._read(entry)
+
+    def _current(
+        self,
+        schema: str,
+        query: str,
+        offline: bool = False,
+        base_url: str | None = None,
+        container_path: str | None = None,
+    ) -> Row | dict:
+        """The entry to read: the stored one if it will do, else that of a new sync."""
         table = self.table_id(schema, query, base_url, container_path)
         entry = self._present(self.manifest.lookup(table.key))
         if offline:
@@ -273,11 +318,7 @@ class Store:
                 raise SnapshotMissing(MISSING.format(label=table.label) + "; a read that is not offline fetches it.")
         elif entry is None or self._outdated(table, entry):
             entry = self._sync(table)
-        if expect is not None:
-            bound = [(c.name, c.json_type or "") for c in expect]
-            if bound != [(c["name"], c["json_type"] or "") for c in entry["columns"]]:
-                raise SchemaChanged(f"{table.label} has other columns since it was refreshed; plan the query anew.")
-        return self._read(entry)
+        return entry
 
     def _outdated(self, table: TableId, entry: Row) -> bool:
         if entry.server_modified is None:
@@ -456,9 +497,11 @@ class Store:
         """Take the session's view names over from the store that used them before, if any."""
         owner = Store._owners.get(self.spark)
         if owner is not None and owner is not self:
-            for view in owner._views:
+            for view in [*owner._views, *owner._calls]:
                 self.spark.catalog.dropTempView(view)
             owner._views.clear()
+            owner._calls.clear()
+            owner._drop_passing()
         Store._owners[self.spark] = self
 
     def _show(self, view: str, entry: Row) -> None:
@@ -503,8 +546,10 @@ class Store:
         token = self.manifest.token()
         if token == self._token:
             return
-        self._index = self.manifest.entries().orderBy(F.desc("fetched_at"), "key").collect()
-        current = {e.key: e for e in self._index}
+        current, self._index = {}, {}
+        for entry in self.manifest.entries().orderBy(F.desc("fetched_at"), "key").collect():
+            current[entry.key] = entry
+            self._index.setdefault(entry.query_name.lower(), []).append(entry)
         for view, (key, _) in list(self._views.items()):
             entry = self._present(current.get(key))
             if entry is not None:
@@ -512,6 +557,11 @@ class Store:
             else:
                 self.spark.catalog.dropTempView(view)
                 del self._views[view]
+        # A view that a user built on a call keeps the version it was made for, until the table is cleared.
+        for view, key in list(self._calls.items()):
+            if key not in current:
+                self.spark.catalog.dropTempView(view)
+                del self._calls[view]
         self._token = token
 
     def register_functions(self, names: Iterable[str] = FUNCTIONS) -> None:
@@ -552,19 +602,83 @@ class Store:
 
     def sql(self, text: str, args: dict | list | None = None) -> DataFrame:
         """Run Spark SQL in which stored tables can be named bare, as in ``FROM People``. A name
-        Spark itself can resolve keeps its meaning."""
+        Spark itself can resolve keeps its meaning.
+
+        ``FROM snapshot('schema', 'query', offline => true)`` reads through like :meth:`query`; ``CALL sync(…)``,
+        ``CALL cache_clear(…)`` and ``CALL vacuum(…)`` do what the methods of these names do, and so does naming
+        them in ``FROM``. All of this happens now, once, before Spark analyses the text; arguments are literals or
+        named parameters, and wrong ones raise :class:`WrongCall` before anything is done. ``EXPLAIN`` changes nothing:
+        it plans with what is stored.
+        """
+        asked = statements.asked(self.spark, text, args, list(SIGNATURES))
+        if asked is None:
+            return self.spark.sql(text, args)
         self._take_names()
-        lowered = text.lower()
-        calls = NO_CODE.sub(" ", lowered)
-        self.register_functions(f for f in FUNCTIONS if re.search(rf"\b{f}\s*\(", calls))
+        self._drop_passing()
+        if asked.procedure is not None and asked.procedure.name in SIGNATURES:
+            return self._called(asked.procedure)
+        self.register_functions(f for f in FUNCTIONS if f in asked.functions)
+        views = self._views_of_calls(asked)
         self._refresh_views()
-        for entry in self._index:
-            name = entry.query_name.lower()
-            if name in self._views or quoted(name)[1:-1] not in lowered:
+        for name in asked.relations:
+            if name in self._views or name not in self._index or self.spark.catalog.tableExists(quoted(name)):
                 continue
-            if not self.spark.catalog.tableExists(quoted(name)) and self._present(entry):
+            entry = next(filter(self._present, self._index[name]), None)
+            if entry is not None:
                 self._show(name, entry)
-        return self.spark.sql(text, args)
+        return self.spark.sql(asked.replaced(text, views), args)
+
+    def _called(self, call: Call) -> DataFrame:
+        """Carry out a call of SQL text."""
+        found = SIGNATURES[call.name].bind(call.positional, call.named)
+        if call.name == "snapshot":
+            return self.query(**found)
+        if call.name == "vacuum":
+            return self._status(VACUUMED.format(records=self.vacuum(**found)))
+        return getattr(self, call.name)(**found)
+
+    def _views_of_calls(self, asked: Asked) -> list[str]:
+        """A temporary view for each call in a query."""
+        for call in asked.calls:
+            SIGNATURES[call.name].bind(call.positional, call.named)
+            if asked.explains and SIGNATURES[call.name].effect:
+                raise WrongCall(f"EXPLAIN does not run {call.name}; use CALL.")
+        return [
+            self._view_of_snapshot(call) if call.name == "snapshot" and not asked.explains else
+            self._passing_view(self._explained(call) if asked.explains else self._called(call))
+            for call in asked.calls
+        ]
+
+    def _view_of_snapshot(self, call: Call) -> str:
+        """The view of a snapshot, the same for each call that means the same version."""
+        found = SIGNATURES[call.name].bind(call.positional, call.named)
+        entry = self._current(**found)
+        view = CALL_VIEW + hashlib.md5(entry["parquet_path"].encode()).hexdigest()
+        if view not in self._calls:
+            self._read(entry).createOrReplaceTempView(view)
+            self._calls[view] = self.table_id(**{n: v for n, v in found.items() if n != "offline"}).key
+        return view
+
+    def _explained(self, call: Call) -> DataFrame:
+        """What a snapshot would be read as, without asking for more than its columns."""
+        found = SIGNATURES[call.name].bind(call.positional, call.named)
+        offline = found.pop("offline", False)
+        try:
+            return self.query(**found, offline=True)
+        except SnapshotMissing:
+            if offline:
+                raise
+            return self.spark.createDataFrame([], snapshot_schema(self.columns(**found)))
+
+    def _passing_view(self, rows: DataFrame) -> str:
+        view = f"{CALL_VIEW}{uuid.uuid4().hex}"
+        rows.createOrReplaceTempView(view)
+        self._passing.append(view)
+        return view
+
+    def _drop_passing(self) -> None:
+        while self._passing:
+            self.spark.catalog.dropTempView(self._passing.pop())
 
 
 def clear_message(cleared: DataFrame, schema: str | None, query: str | None) -> DataFrame:
@@ -582,5 +696,5 @@ def clear_message(cleared: DataFrame, schema: str | None, query: str | None) ->
     else:
         nothing = F.lit(NOTHING)
         plural = F.when(F.col("n") == 1, "").otherwise("s")
-        done = F.concat(F.lit(CLEARED), "n", F.lit(TABLE), plural, F.lit(" ("), size, F.lit(TOTAL))
+        done = F.concat(F.lit(CLEARED), "n", F.lit(ONE_TABLE), plural, F.lit(" ("), size, F.lit(TOTAL))
     return totals.select(F.when(F.col("n") == 0, nothing).otherwise(done).alias("status"))
