@@ -71,6 +71,18 @@ def clear_all_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown.unionByName(again).unionByName(kept)
 
 
+def vacuumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of a store with old versions, a cleared table and small files after its upkeep."""
+    store = new_store(spark, sf_dir)
+    store.sync_many([("lists", name) for name in ("customer", "orders", "customer", "nation", "customer")])
+    store.cache_clear(schema="lists", query="orders")
+    store.vacuum(grace=0)
+    return store.sql(
+        "SELECT c_mktsegment, count(*) AS n, (SELECT count(*) FROM cache_info()) AS stored, "
+        "(SELECT count(*) FROM nation) AS nations FROM customer GROUP BY c_mktsegment"
+    )
+
+
 def clear_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The status for an index with an entry per lineitem."""
     entries = table(spark, sf_dir, "lineitem").select(
@@ -139,6 +151,11 @@ CHECKS = {
         f"SELECT 'Cleared {len(STORED)} cached tables (some bytes)' AS status "
         "UNION ALL SELECT 'No cached tables to clear.' UNION ALL SELECT 'customer ' || count(*) FROM customer",
     ),
+    "q_vacuumed": Check(
+        vacuumed,
+        "SELECT c_mktsegment, count(*) AS n, CAST(2 AS BIGINT) AS stored, (SELECT count(*) FROM nation) AS nations "
+        "FROM customer GROUP BY c_mktsegment",
+    ),
     "q_clear_totals": Check(
         clear_totals,
         "WITH t AS (SELECT count(*) AS n, sum(l_linenumber)::BIGINT AS r, "

@@ -64,6 +64,18 @@ def scan_stale_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _changing_store(spark, sf_dir).query("lists", "orders")
 
 
+def scan_changed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of files to which files are added: read once as it was, then again."""
+    store, orders = new_store(spark, sf_dir), table(spark, sf_dir, "orders")
+    folder = f"{scratch(spark)}/orders"
+    orders.write.parquet(folder)
+    store.attach("lists", "orders", FileSource(spark, folder, modified="o_orderdate"))
+    store.query("lists", "orders")
+    later = {"o_orderkey": -F.col("o_orderkey") - 1, "o_orderdate": F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")}
+    orders.withColumns(later).write.mode("append").parquet(folder)
+    return store.query("lists", "orders")
+
+
 def sync_rowcount(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = new_store(spark, sf_dir)
     store.sync("lists", "lineitem")
@@ -306,6 +318,11 @@ CHECKS = {
         "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice * 2 AS o_totalprice, "
         "o_orderdate + INTERVAL 1 DAY AS o_orderdate, o_orderpriority FROM orders",
     ),
+    "q_scan_changed_files": Check(
+        scan_changed_files,
+        "SELECT * FROM orders UNION ALL SELECT -o_orderkey - 1, o_custkey, o_orderstatus, o_totalprice, "
+        "o_orderdate + INTERVAL 1 DAY, o_orderpriority FROM orders",
+    ),
     "q_sync_rowcount": Check(
         sync_rowcount,
         "SELECT 'lineitem' AS query_name, count(*) AS row_count, count(*) >= 0 AS has_bytes FROM lineitem",

@@ -53,6 +53,16 @@ class Source(ABC):
         """One lazy row ``server_modified string``: the latest change, NULL for an empty table.
         ``None`` if the table has no change-tracking column."""
 
+    def probe_since(self, known: str) -> DataFrame | None:
+        """As :meth:`probe` if there is a change as late as ``known``; else it may be NULL. For sources that find
+        this out with less."""
+        return self.probe()
+
+    def state(self) -> str | None:
+        """A text that is the same as long as the table's files are, found without reading them; ``None`` if the
+        source has no such thing."""
+        return None
+
     def visible_columns(self) -> list[RemoteColumn]:
         return visible(self.columns(), self.internal_prefix)
 

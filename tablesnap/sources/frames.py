@@ -12,6 +12,8 @@ from tablesnap.functions.coerce import json_column
 from tablesnap.functions.types import RemoteColumn, declared_type, stored_type, visible
 from tablesnap.sources.base import MODIFIED, Fetch, Source, max_text, quoted
 
+# Types whose text names a value exactly and whose filters reach the statistics of files.
+_PUSHED = (T.DateType, T.TimestampNTZType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType)
 _NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
 
 
@@ -70,11 +72,17 @@ class FrameSource(Source):
     def probe(self) -> DataFrame | None:
         return self._latest(self._load())
 
-    def _latest(self, df: DataFrame) -> DataFrame | None:
+    def probe_since(self, known: str) -> DataFrame | None:
+        # The filter reaches the scan: parts of files whose statistics say that all is older are not read.
+        return self._latest(self._load(), known)
+
+    def _latest(self, df: DataFrame, known: str | None = None) -> DataFrame | None:
         name = next((n for n in df.columns if n.lower() == self.modified.lower()), None)
         if name is None:
             return None
         field = df.schema[name]
+        if known is not None and isinstance(field.dataType, _PUSHED):
+            df = df.where(F.col(quoted(name)) >= F.lit(known).cast(field.dataType))
         stored = self._stored(RemoteColumn(name, declared_type(field.dataType)), field.dataType)
         return max_text(df.select(stored), name)
 
@@ -97,3 +105,14 @@ class FileSource(FrameSource):
             return (reader.schema(schema) if schema is not None else reader).load(path)
 
         super().__init__(load, **source)
+        self._spark, self._path = spark, path
+
+    def state(self) -> str:
+        """How many files there are, their bytes, the newest change, and a sum over path, size and time of each, by
+        Spark's listing; no file is opened for its content."""
+        files = self._spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(self._path)
+        each = F.pmod(F.xxhash64("path", "length", "modificationTime"), F.lit(1 << 31))
+        found = files.select("path", "length", "modificationTime").agg(
+            F.count("*"), F.sum("length"), F.max("modificationTime").cast("double"), F.sum(each)
+        )
+        return ":".join(map(str, found.first()))

@@ -6,6 +6,7 @@ import hashlib
 import json
 import logging
 import os
+import re
 import time
 import uuid
 from collections.abc import Callable, Iterable, Sequence
@@ -37,6 +38,8 @@ LOG_SCHEMA = (
 BROADCAST_TABLES = 10_000  # a fact per table is a few hundred bytes, so at most a few megabytes
 CATALOG_MARK = "tablesnap snapshot of "  # begins the description of the catalog tables that are ours
 PROBES_AT_ONCE = 64  # tables asked in one job
+LOG_FILES, LOG_LINES = 64, 100_000  # files of the log that are worth compacting; about the lines of one made of them
+VERSION = re.compile(r"/v=(\d+)-[0-9a-f]+\Z")  # ends the path of a snapshot's folder; when its sync began
 INFO_VIEW, PATH_VIEW, FRESHNESS_VIEW = "tablesnap_index", "tablesnap_paths", "tablesnap_freshness"
 
 
@@ -47,8 +50,8 @@ NOTHING_FOR = "No cached data found for {label}. Nothing to clear."
 NOTHING = "No cached tables to clear."
 MISSING = "No cached data for {label}"
 VACUUMED = "Removed {records} records that newer ones replaced."
-CLEARED_FOR, ROWS_AND = "Cleared cache for {label} (", " rows, "
-CLEARED, ONE_TABLE, TOTAL = "Cleared ", " cached table", " total)"
+CLEARED_FOR = "Cleared cache for %s (%d rows, %s)"
+CLEARED_ONE, CLEARED_ALL = "Cleared %d cached table (%s total)", "Cleared %d cached tables (%s total)"
 
 FUNCTIONS = ("cache_info", "snapshot_path", "is_stale")
 CALL_VIEW = "tablesnap_call_"  # begins the names of the views that stand for calls in SQL
@@ -195,9 +198,12 @@ class Store:
         relpath = f"{table.relpath}/v={Seq.next()}"
         path = self._data_path(relpath)
         try:
-            fetch = self._source(table).fetch()
+            source = self._source(table)
+            fetch = source.fetch()
             if not fetch.columns:
                 raise ValueError(f"{table.label} has no visible columns.")
+            # Before the rows are read: files that change meanwhile are looked into at the next read.
+            state = self._state(source) if fetch.tracked else None
             rows, modified = self._write(fetch, path)
         except Exception:
             self._storage.delete(path)
@@ -214,6 +220,7 @@ class Store:
             "container_path": table.container_path,
             "schema_name": table.schema_name,
             "query_name": table.query_name,
+            "source_state": state if modified is not None else None,
             "columns": [{"name": c.name, "json_type": c.json_type or None} for c in fetch.columns],
         }
         self.manifest.put(table.key, entry)
@@ -262,7 +269,7 @@ class Store:
     def sync_log(self) -> DataFrame:
         """Every sync so far with its duration and rate."""
         millis = F.col("elapsed_ms")
-        return self.spark.read.schema(LOG_SCHEMA).json(self._log_folder).select(
+        return self.spark.read.schema(LOG_SCHEMA).json(self._log_folder).distinct().select(
             "*",
             texts.format_elapsed(millis).alias("elapsed"),
             texts.rows_per_second(F.col("row_count"), millis).alias("rate"),
@@ -277,6 +284,17 @@ class Store:
         columns = [RemoteColumn(c["name"], c["json_type"]) for c in entry["columns"]]
         return self.spark.read.schema(snapshot_schema(columns)).parquet(self._data_path(entry["parquet_path"]))
 
+    def _all_present(self, entries: list[Row]) -> list[Row]:
+        """The entries whose data is there, by one listing per schema of a server, however many tables it has."""
+        schemas = sorted({entry.parquet_path.rsplit("/", 2)[0] for entry in entries})
+
+        def versions(schema: str) -> list[str]:
+            return self._storage.matches(self._data_path(f"{schema}/*/v=*"))
+
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            there = {path for paths in pool.map(versions, schemas) for path in paths}
+        return [entry for entry in entries if self._data_path(entry.parquet_path) in there]
+
     def _present(self, entry: Row | None) -> Row | None:
         return entry if entry is not None and self._storage.exists(self._data_path(entry.parquet_path)) else None
 
@@ -321,11 +339,25 @@ class Store:
         return entry
 
     def _outdated(self, table: TableId, entry: Row) -> bool:
+        """Whether the source has changed since the sync. Its files are asked first, if it has any: unless they
+        changed, no row is read. Then the rows as late as the latest one stored, then all."""
         if entry.server_modified is None:
             return False
-        latest = self._probe(self._source(table).probe)
+        source = self._source(table)
+        if entry.source_state is not None and self._state(source) == entry.source_state:
+            return False
+        latest = self._probe(lambda: source.probe_since(entry.server_modified))
+        if latest is None:
+            latest = self._probe(source.probe)
         return latest is not None and latest != entry.server_modified
 
+    def _state(self, source: Source) -> str | None:
+        try:
+            return source.state()
+        except Exception as error:  # noqa: BLE001 - then the rows are asked
+            log.warning("could not list the files of a source: %s", error)
+            return None
+
     # --- administration ----------------------------------------------------------------------
 
     def cache_info(self) -> DataFrame:
@@ -363,12 +395,56 @@ class Store:
         self._refresh_views()
         return self._status(message)
 
-    def vacuum(self, keep: int = 1) -> int:
+    def vacuum(self, keep: int = 1, grace: float = 24 * 3600.0) -> int:
         """Delete snapshots that newer ones replaced, but for the ``keep`` newest of each table, and
-        return how many records went. Not part of a sync, so that running readers keep their files."""
+        return how many records went. Not part of a sync, so that running readers keep their files.
+
+        Also removes folders that no record names, as a driver that was lost during a sync leaves them, once nothing
+        in them has been written for ``grace`` seconds; and makes one file of the many small ones that each part of the
+        index and the log of syncs have become.
+        """
         if keep < 1:
             raise ValueError("keep must be at least 1.")
-        return self._drop_all(self.manifest.superseded(keep))
+        gone = self._drop_all(self.manifest.superseded(keep))
+        self.manifest.compact(keep, grace)
+        self._sweep(grace)
+        self._compact_log()
+        return gone
+
+    def _sweep(self, grace: float) -> None:
+        """Delete the folders of snapshots that were never published. They are listed before the index is read,
+        so a sync that publishes meanwhile is seen."""
+        found, level = [], [f"{self.root}/data"]
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            while level:
+                below = [path for paths in pool.map(self._storage.children, level) for path in paths]
+                found += [path for path in below if VERSION.search(path)]
+                level = [path for path in below if not VERSION.search(path)]
+            begun = time.time() - grace
+            old = [path for path in found if int(VERSION.search(path)[1]) / 1e9 < begun]
+            if not old:
+                return
+            folders = self.spark.createDataFrame([(path,) for path in old], "path string")
+            named = self.manifest.records().select(F.concat(F.lit(self._data_path("")), "parquet_path").alias("path"))
+            unnamed = [r.path for r in folders.join(named, "path", "left_anti").collect()]
+            # A sync may run for longer than the grace; what it writes is younger than it is.
+            lost = [path for path in unnamed if self._storage.newest(path) < begun]
+            list(pool.map(self._storage.delete, lost))
+        log.info("removed %d folders without a record", len(lost))
+
+    def _compact_log(self) -> None:
+        """Make few files of the log's many. Lines that stand in two files meanwhile count once."""
+        files = self._storage.matches(f"{self._log_folder}/*.json")
+        if len(files) < LOG_FILES:
+            return
+        scratch = f"{self.root}/tmp/{uuid.uuid4().hex}"
+        lines = self.spark.read.schema(LOG_SCHEMA).json(files).distinct()
+        lines.coalesce(max(1, len(files) // LOG_LINES)).write.json(scratch)
+        for part in self._storage.matches(f"{scratch}/*.json"):
+            self._storage.move(part, f"{self._log_folder}/{Seq.next()}.json")
+        self._storage.delete(scratch)
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            list(pool.map(self._storage.delete, files))
 
     def _drop_all(self, records: DataFrame) -> int:
         """Delete these records and their data, some at a time; they may be many more than tables."""
@@ -394,7 +470,7 @@ class Store:
     def _own_paths(self, entries: list[Row]) -> list[tuple[str, str, str]]:
         """Schema, query and folder of the tables whose data is there."""
         return [
-            (e.schema_name, e.query_name, self._data_path(e.parquet_path)) for e in entries if self._present(e)
+            (e.schema_name, e.query_name, self._data_path(e.parquet_path)) for e in self._all_present(entries)
         ]
 
     def _entry_source(self, entry: Row) -> Source:
@@ -438,10 +514,20 @@ class Store:
                 log.warning("probing one by one, as probing together failed: %s", error)
             return [(schema, query, self._probe(lambda probe=probe: probe)) for schema, query, probe in probes]
 
-        probes = self._probes(entries)
+        def unchanged(e: Row) -> bool:
+            try:
+                return e.source_state is not None and self._state(self._entry_source(e)) == e.source_state
+            except LookupError:
+                return False
+
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            same = list(pool.map(inheritable_thread_target(self.spark)(unchanged), entries))
+        known = [(e.schema_name, e.query_name, e.server_modified) for e, u in zip(entries, same, strict=True) if u]
+        probes = self._probes([e for e, u in zip(entries, same, strict=True) if not u])
         groups = [probes[i : i + PROBES_AT_ONCE] for i in range(0, len(probes), PROBES_AT_ONCE)]
         with ThreadPoolExecutor(max_workers=4) as pool:
             found = [row for rows in pool.map(inheritable_thread_target(self.spark)(latest), groups) for row in rows]
+        found += known
         return self._compared(entries, self.spark.createDataFrame(found, freshness.PROBE_SCHEMA)).collect()
 
     def _asked_entries(self, df: DataFrame, schema_col: str, query_col: str) -> list[Row]:
@@ -484,7 +570,7 @@ class Store:
     def _resolve(self, name: str) -> Row | None:
         """The entry a bare table name means: any schema and server, the latest fetch first."""
         named = self.manifest.entries().where(F.lower("query_name") == name.lower())
-        return next(filter(self._present, named.orderBy(F.desc("fetched_at"), "key").collect()), None)
+        return next(iter(self._all_present(named.orderBy(F.desc("fetched_at"), "key").collect())), None)
 
     def table(self, name: str) -> DataFrame:
         """The snapshot of a table by its bare name, in any letter case; never syncs."""
@@ -514,7 +600,7 @@ class Store:
         """Make every stored table a temporary view under its bare name. With ``qualified``, also a
         catalog table ``schema.query`` over the snapshot's files."""
         self._take_names()
-        entries = [e for e in self.manifest.entries().orderBy("fetched_at", F.desc("key")).collect() if self._present(e)]
+        entries = self._all_present(self.manifest.entries().orderBy("fetched_at", F.desc("key")).collect())
         names = []
         for entry in entries:
             self._show(entry.query_name, entry)
@@ -550,10 +636,11 @@ class Store:
         for entry in self.manifest.entries().orderBy(F.desc("fetched_at"), "key").collect():
             current[entry.key] = entry
             self._index.setdefault(entry.query_name.lower(), []).append(entry)
+        shown = [current[key] for key, _ in self._views.values() if key in current]
+        there = {entry.key: entry for entry in self._all_present(shown)}
         for view, (key, _) in list(self._views.items()):
-            entry = self._present(current.get(key))
-            if entry is not None:
-                self._show(view, entry)
+            if key in there:
+                self._show(view, there[key])
             else:
                 self.spark.catalog.dropTempView(view)
                 del self._views[view]
@@ -692,9 +779,9 @@ def clear_message(cleared: DataFrame, schema: str | None, query: str | None) ->
     if schema is not None:
         label = f"{schema}.{query}"
         nothing = F.lit(NOTHING_FOR.format(label=label))
-        done = F.concat(F.lit(CLEARED_FOR.format(label=label)), "rows", F.lit(ROWS_AND), size, F.lit(")"))
+        done = F.format_string(CLEARED_FOR, F.lit(label), F.col("rows"), size)
     else:
         nothing = F.lit(NOTHING)
-        plural = F.when(F.col("n") == 1, "").otherwise("s")
-        done = F.concat(F.lit(CLEARED), "n", F.lit(ONE_TABLE), plural, F.lit(" ("), size, F.lit(TOTAL))
+        one, all_of = (F.format_string(text, F.col("n"), size) for text in (CLEARED_ONE, CLEARED_ALL))
+        done = F.when(F.col("n") == 1, one).otherwise(all_of)
     return totals.select(F.when(F.col("n") == 0, nothing).otherwise(done).alias("status"))
