@@ -20,8 +20,9 @@ import base64
 import hashlib
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +31,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesnap.llm.common import ROWS_AT_ONCE, importable, ready_checkpoints, small_batches, table
-from tablesnap.llm.tokens import Recent
+from tablesnap.llm.packing import SETTLED
 
 # No token of either side reaches over a single space between visible characters.
 CUT = re.compile(r"(?<=\S) (?=\S)")
+LOOSE = re.compile(r"\s | \s|\A | \Z")  # a space of another kind
 SPACE = "▁"  # stands for a space in the pieces
 
 LETTERS_AT_ONCE = 1_000_000
+WORDS_KNOWN, WORDS_AT_ONCE = 250_000, 256  # remembered by a worker; encoded in one text
 BLOCK_PAIRS = 1_000_000  # distinct pairs of texts, summed over the texts of a block
 END_BITS, ID_BITS = 32, 32
 
@@ -56,12 +59,13 @@ class Sides:
         self.a.no_truncation()
         self.a.no_padding()
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        self.bytes_a = self.level_bytes()
-        self.bytes_b = [self.piece_bytes(i) for i in range(self.b.get_piece_size())]
-        self.sizes_a = np.array([len(t) for t in self.bytes_a], np.int64)
-        self.sizes_b = np.array([len(t) for t in self.bytes_b], np.int64)
+        self.bytes_a = pa.array(self.level_bytes(), pa.binary())
+        self.bytes_b = pa.array([self.piece_bytes(i) for i in range(self.b.get_piece_size())], pa.binary())
+        self.sizes_a, self.sizes_b = (
+            pc.binary_length(t).to_numpy().astype(np.int64) for t in (self.bytes_a, self.bytes_b)
+        )
         self.fast = self.rank_encoding(ranks_a) if ranks_a else None
-        self.known = Recent(self.encoded, 120_000)
+        self.forget()
 
     def level_bytes(self) -> list[bytes]:
         """The byte-level entries decoded: printable bytes stand for themselves, the others follow from 256 on."""
@@ -78,7 +82,7 @@ class Sides:
 
     @staticmethod
     def rank_encoding(ranks: str):
-        """The same vocabulary in a library that is faster on the words it is used for, plain ASCII."""
+        """The same vocabulary in a library that is faster, for words on which the two cannot differ."""
         import public_tokenizers
         import tiktoken
 
@@ -86,55 +90,107 @@ class Sides:
             known = {base64.b64decode(t): int(r) for t, r in map(bytes.split, file)}
         return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=known, special_tokens={})
 
-    def encoded(self, chunks: list[str]) -> list[tuple[list[int], list[int], bool]]:
-        """For each chunk the ids of both sides, and whether both give its bytes. A chunk begins with the space that
-        the second side adds itself."""
-        ids_a: list = [None] * len(chunks)
-        rest = []
-        for i, chunk in enumerate(chunks):
-            if self.fast is not None and len(chunk) < 100 and chunk.isascii() and chunk.isprintable():
-                ids_a[i] = self.fast.encode_ordinary(chunk)
+    def encoded(self, words: list[str]) -> tuple[pa.ListArray, pa.ListArray, np.ndarray]:
+        """For each word, with a space before it, the ids of both sides, and whether both give its bytes."""
+        texts = [" ".join(words[i : i + WORDS_AT_ONCE]) for i in range(0, len(words), WORDS_AT_ONCE)]
+        wanted = [b" " + word.encode() for word in words]
+        ends = np.cumsum([len(w) for w in wanted])
+        ids_b = self.b.encode(texts, num_threads=1)
+        a = cut_at(as_flat(map(self.ids_of, texts)), self.sizes_a, ends)
+        b = cut_at(as_flat(ids_b), self.sizes_b, ends)
+        if a is None or b is None:
+            # Some word has other bytes, so where one ends is not known.
+            a = as_lists([self.ids_of(word) for word in words])
+            b = as_lists(self.b.encode(words, num_threads=1))
+        return a, b, gives(a, self.bytes_a, self.sizes_a, wanted) & gives(b, self.bytes_b, self.sizes_b, wanted)
+
+    def ids_of(self, text: str) -> Sequence[int]:
+        if self.fast is not None and SETTLED.match(text):
+            return self.fast.encode_to_numpy(" " + text)
+        return self.a.encode(" " + text, add_special_tokens=False).ids
+
+    def slots(self, words: list[str]) -> np.ndarray:
+        """The place of each of the distinct words in what is remembered; unknown ones are encoded together."""
+        missing = [w for w in words if w not in self.slot_of]
+        if len(self.slot_of) + len(missing) > WORDS_KNOWN:
+            self.forget()
+            missing = words
+        # Joined by spaces, words without white space at their ends keep their tokens; the others, and those that the
+        # faster library may see otherwise, are encoded apart.
+        kinds: dict[object, list[str]] = {True: [], False: []}
+        for word in missing:
+            if word and word.strip() == word:
+                kinds[SETTLED.match(word) is not None].append(word)
             else:
-                rest.append(i)
-        if rest:
-            found = self.a.encode_batch([chunks[i] for i in rest], add_special_tokens=False)
-            for i, encoding in zip(rest, found, strict=True):
-                ids_a[i] = encoding.ids
-        ids_b = self.b.encode([c[1:] for c in chunks], num_threads=1) if chunks else []
-        out = []
-        for chunk, a, b in zip(chunks, ids_a, ids_b, strict=True):
-            raw = chunk.encode()
-            same = b"".join([self.bytes_a[i] for i in a]) == raw == b"".join([self.bytes_b[i] for i in b])
-            out.append((a, b, same))
-        return out
-
-    def ids(self, texts: list[str]) -> tuple[np.ndarray, pa.ListArray, pa.ListArray]:
+                kinds[word] = [word]
+        for group in filter(None, kinds.values()):
+            a, b, same = self.encoded(group)
+            self.slot_of.update(zip(group, range(len(self.same), len(self.same) + len(group)), strict=True))
+            self.ids_a, self.ids_b = pa.concat_arrays([self.ids_a, a]), pa.concat_arrays([self.ids_b, b])
+            self.same = np.concatenate([self.same, same])
+        return np.fromiter(map(self.slot_of.__getitem__, words), np.int64, len(words))
+
+    def forget(self) -> None:
+        self.slot_of: dict[str, int] = {}
+        self.ids_a = self.ids_b = as_lists([])
+        self.same = np.zeros(0, bool)
+
+    def ids(self, texts: list[str | None]) -> tuple[np.ndarray, pa.ListArray, pa.ListArray]:
         """Which texts both sides can tell, and the ids of these by each side, a list per text. A text that they
         cannot tell has no ids."""
-        chunks, ends = [], [0]
-        for text in texts:
-            if text:
-                parts = CUT.split(" " + text)
-                chunks.append(parts[0])
-                chunks.extend([" " + p for p in parts[1:]])
-            ends.append(len(chunks))
-        words = pa.array(chunks, pa.string()).dictionary_encode()
-        distinct = words.dictionary.to_pylist()
-        self.known.load({c for c in distinct if c not in self.known}, [distinct])
-        values = [self.known[c] for c in distinct]
-        of_chunk = words.indices.to_numpy()
-        ends = np.array(ends)
-        failed = np.concatenate([[0], np.cumsum(~np.array([v[2] for v in values], bool)[of_chunk])])
+        parts = [words_of(text) if text else [] for text in texts]
+        ends = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
+        words = pa.array(chain.from_iterable(parts), pa.string()).dictionary_encode()
+        of_word = self.slots(words.dictionary.to_pylist())[words.indices.to_numpy()]
+        failed = np.concatenate([[0], np.cumsum(~self.same[of_word])])
         whole = (failed[ends[1:]] == failed[ends[:-1]]) & (ends[1:] > ends[:-1])
-        of_chunk = of_chunk[np.repeat(whole, np.diff(ends))]
-        counts = np.where(whole, np.diff(ends), 0)
+        of_word = pa.array(of_word[np.repeat(whole, np.diff(ends))])
+        at = np.concatenate([[0], np.cumsum(np.where(whole, np.diff(ends), 0))])
 
-        def side(n: int) -> pa.ListArray:
-            lists = pa.array([v[n] for v in values], pa.list_(pa.int32())).take(pa.array(of_chunk))
-            at = np.concatenate([[0], np.cumsum(counts)])
+        def side(known: pa.ListArray) -> pa.ListArray:
+            lists = known.take(of_word)
             return pa.ListArray.from_arrays(pa.array(lists.offsets.to_numpy()[at], pa.int32()), lists.flatten())
 
-        return whole, side(0), side(1)
+        return whole, side(self.ids_a), side(self.ids_b)
+
+
+def words_of(text: str) -> list[str]:
+    """The text in words: with a space before each they are the text with a space before it, and no token of either
+    side reaches over a word's end."""
+    if not LOOSE.search(text):
+        return text.split(" ")
+    parts = CUT.split(" " + text)
+    return [parts[0][1:], *parts[1:]]
+
+
+def as_flat(ids: Iterable[Sequence[int]]) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int32), *[np.asarray(i, np.int32) for i in ids]])
+
+
+def cut_at(ids: np.ndarray, sizes: np.ndarray, ends: np.ndarray) -> pa.ListArray | None:
+    """The ids in lists that end after these numbers of bytes; None if no id ends at one of them."""
+    total = np.cumsum(sizes[ids])
+    at = np.searchsorted(total, ends)
+    if not len(total) or total[-1] != ends[-1] or not np.array_equal(total[at], ends):
+        return None
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], at + 1]), pa.int32()), pa.array(ids))
+
+
+def as_lists(ids: list[Sequence[int]]) -> pa.ListArray:
+    ends = np.concatenate([[0], np.cumsum([len(i) for i in ids])])
+    flat = np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1]))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+
+
+def gives(lists: pa.ListArray, tokens: pa.Array, sizes: np.ndarray, wanted: list[bytes]) -> np.ndarray:
+    """Whether the tokens of each list, one after the other, are the wanted bytes."""
+    ids, ends = lists.flatten(), lists.offsets.to_numpy()
+    total = np.concatenate([[0], np.cumsum(sizes[ids.to_numpy()])])[ends]
+    same = np.diff(total) == np.array([len(w) for w in wanted], np.int64)
+    found = memoryview(tokens.take(ids).buffers()[2] or b"")[: total[-1]]
+    if same.all() and found == b"".join(wanted):
+        return same
+    return same & np.array([bytes(found[a:b]) == w for a, b, w in zip(total, total[1:], wanted, strict=False)], bool)
 
 
 @lru_cache(maxsize=2)

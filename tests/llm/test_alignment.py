@@ -2,6 +2,7 @@
 
 import hashlib
 from collections import Counter, defaultdict
+from functools import cache
 
 import public_tokenizers
 import sentencepiece
@@ -13,6 +14,7 @@ from tablesnap.llm import alignment
 NAMES = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
 
+@cache
 def level_bytes(entry):
     visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
     byte_of = {chr(b): b for b in visible}
