@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesnap.llm.common import ROWS_AT_ONCE, importable, ready_checkpoints, small_batches, table
-from tablesnap.llm.packing import SETTLED
+from tablesnap.llm.packing import settled
 
 # No token of either side reaches over a single space between visible characters.
 CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -105,7 +105,7 @@ class Sides:
         return a, b, gives(a, self.bytes_a, self.sizes_a, wanted) & gives(b, self.bytes_b, self.sizes_b, wanted)
 
     def ids_of(self, text: str) -> Sequence[int]:
-        if self.fast is not None and SETTLED.match(text):
+        if self.fast is not None and settled(text):
             return self.fast.encode_to_numpy(" " + text)
         return self.a.encode(" " + text, add_special_tokens=False).ids
 
@@ -120,7 +120,7 @@ class Sides:
         kinds: dict[object, list[str]] = {True: [], False: []}
         for word in missing:
             if word and word.strip() == word:
-                kinds[SETTLED.match(word) is not None].append(word)
+                kinds[settled(word)].append(word)
             else:
                 kinds[word] = [word]
         for group in filter(None, kinds.values()):

@@ -1,7 +1,7 @@
 """Packing token sequences into as few sequences of bounded length as possible, by swap-based local search.
 
 Texts are encoded; those longer than a sequence are cut so that all pieces but the first fill a sequence.
-Full pieces need no packing. The others are dealt by hash into shards of about ``shard_rows`` pieces, whatever
+Full pieces need no packing. The others are dealt by number into shards of about ``shard_rows`` pieces, whatever
 their source or length, and each shard is packed on its own: pieces go, largest first, into the bin they fit
 best, and then a local search works on the bins that are not full. It moves a piece into a fuller bin, exchanges one
 piece for another, or two for one, whenever that raises the sum of squared fills; so fuller bins get fuller, and
@@ -26,6 +26,14 @@ from tablesnap.llm.common import cut, importable, map_rows, table
 
 # Characters that every version of Unicode classes alike: texts of these alone take the faster library.
 SETTLED = re.compile(r"[\t\n\r\x20-\x7e\xa0-ɏ‐-‧€]*\Z")
+# White space beyond this is too much for the faster library, whose pattern tries all ways to end it.
+LONG_BLANK = re.compile(r"\s{2000}")
+
+
+def settled(text: str) -> bool:
+    """Whether the faster library may take this text."""
+    return SETTLED.match(text) is not None and LONG_BLANK.search(text) is None
+
 
 # The ids of these two files are the same, and this is the only special token.
 END_OF_TEXT = "<|endoftext|>"
@@ -64,7 +72,7 @@ class Ids:
         return tokenizer
 
     def __call__(self, text: str) -> np.ndarray:
-        if self.fast is not None and END_OF_TEXT not in text and SETTLED.match(text):
+        if self.fast is not None and END_OF_TEXT not in text and settled(text):
             return self.fast.encode_to_numpy(text).astype("<u4", copy=False)
         return np.array(self.slow.encode(text, add_special_tokens=False).ids, "<u4")
 
@@ -167,17 +175,16 @@ class Bins:
         self.shift(source, best[1], target, best[2])
         return True
 
-    def search(self, rounds: int, reach: int | None = None) -> None:
-        """Work on the emptiest bins against the fuller underfull ones, until nothing changes or ``rounds`` are
-        over. ``reach`` bounds how many bins are tried for each, None tries all; all bins stay valid at any time."""
+    def search(self) -> None:
+        """Work on the emptiest bins against the fuller underfull ones, until nothing changes. All are tried. It
+        ends, as each exchange raises the sum of squared fills; all bins stay valid at any time."""
         least = -(-int(self.lengths.sum()) // self.limit)
-        for _ in range(rounds):
-            if sum(f > 0 for f in self.fill) <= least:
-                break
+        changed = True
+        while changed and sum(f > 0 for f in self.fill) > least:
             under = sorted((b for b, f in enumerate(self.fill) if 0 < f < self.limit), key=self.fill.__getitem__)
             changed = False
-            for source in under[:reach]:
-                for target in reversed(under if reach is None else under[-reach:]):
+            for source in under:
+                for target in reversed(under):
                     if not self.fill[source]:
                         break
                     if source == target or self.fill[target] == self.limit or self.fill[target] < self.fill[source]:
@@ -186,15 +193,13 @@ class Bins:
                         changed = True
                         if self.fill[target] < self.fill[source]:
                             break
-            if not changed:
-                break
 
 
-def pack(lengths: np.ndarray, limit: int, rounds: int = 8, reach: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+def pack(lengths: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """The bin of each piece, and its offset there."""
     bins = Bins(lengths, limit)
     bins.best_fit()
-    bins.search(rounds, reach)
+    bins.search()
     of, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
     for b, content in enumerate(bins.bins):
         at = 0
@@ -247,14 +252,16 @@ def pack_texts(
         return work
 
     schema = f"{columns}, sequence_id bigint, offset bigint, open boolean"
-    shard = F.pmod(F.xxhash64("key", "piece", "ids_crc32"), F.lit(shards))
+    # By number, which tells even equal rows apart; the rows are stored, so it is the same whenever it is asked for.
+    number = F.xxhash64(F.monotonically_increasing_id())
+    shard = F.pmod(number, F.lit(shards))
     # Each shard is packed once: what its bins give decides which rows are packed again.
     once = cut(partial.withColumn("shard", shard).groupBy("shard").applyInPandas(packed(0), schema))
     kept = once.where("NOT open").drop("open")
     left = once.where("open").select(*all_pieces.columns)
     # The search tries all bins of a group with each other, so its groups are no larger than the shards.
     groups = max(-(-shards // regroup), -(-left.count() // shard_rows))
-    again = left.withColumn("shard", F.pmod(F.xxhash64("ids_crc32", "key", "piece"), F.lit(groups)))
+    again = left.withColumn("shard", F.pmod(number, F.lit(groups)))
     again = again.groupBy("shard").applyInPandas(packed(1 << 60), schema).drop("open")
     return full.unionByName(kept).unionByName(again).withColumnRenamed("key", key)
 
