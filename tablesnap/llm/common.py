@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import pyarrow as pa
@@ -90,3 +90,17 @@ def map_rows(
         pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(work, spark_schema)
+
+
+SALTS = 8  # tasks that the rows of one key are dealt to
+
+
+def salted(
+    rows: DataFrame, facts: DataFrame, keys: str | Sequence[str], of: str | Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Rows joined with what is told about their ``keys``, once for each. Rows that share their keys are dealt by
+    ``of``, so a frequent key is not one task's work; null keys meet nothing."""
+    keys, of = ([c] if isinstance(c, str) else list(c) for c in (keys, of))
+    salt = F.pmod(F.xxhash64(*of), F.lit(SALTS)).cast("int")
+    every = facts.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+    return rows.withColumn("salt", salt).join(every, [*keys, "salt"], how).drop("salt")

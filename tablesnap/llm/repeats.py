@@ -26,12 +26,13 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesnap.llm.common import cut, map_rows, table
+from tablesnap.llm.common import cut, map_rows, salted, table
 
 LENGTH, GRAM = 400, 64
 LEVELS = (64, 8, 1)
-MAP_BITS = 1 << 22  # of the map that rules rows out before they are moved
-PART = 1 << 22  # bytes of a text whose q-grams are looked at in one go
+MAP_BITS = (1 << 16, 1 << 24)  # least and most of the map that rules rows out before they are moved
+BITS_PER_KEY = 32
+PART, SLICE = 1 << 22, 1 << 14  # bytes of a text whose q-grams, and runs that, are looked at in one go
 
 # Odd multipliers and one random word per byte value, the same everywhere.
 _draw = np.random.default_rng(400)
@@ -61,10 +62,9 @@ def least_in_windows(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[:-rest], values[rest:]) if rest else values
 
 
-def runs_of(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First and last position of each run, and the place of the q-gram that its strings own."""
+def runs_of(data: np.ndarray, length: int, gram: int) -> Iterator[tuple[int, int, int]]:
+    """First and last position of each run in order, and the place of the q-gram that its strings own."""
     count, width = len(data) - length + 1, length - gram + 1
-    firsts, lasts, owned = [], [], []
     for at in range(0, count, PART):
         stop = min(count, at + PART)
         h = gram_hashes(data[at : stop + length - 1], gram)
@@ -73,25 +73,30 @@ def runs_of(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.nd
         place = (least_in_windows(places, width) & np.uint64((1 << 24) - 1)).astype(np.int64) + at
         change = np.flatnonzero(np.diff(place)) + 1
         begin = np.concatenate([[0], change])
-        firsts.append(begin + at)
-        lasts.append(np.concatenate([change, [len(place)]]) - 1 + at)
-        owned.append(place[begin])
-    return np.concatenate(firsts), np.concatenate(lasts), np.concatenate(owned)
+        last = np.concatenate([change, [len(place)]]) - 1
+        # A periodic text has a run for each position: few of them are objects at a time.
+        for i in range(0, len(begin), SLICE):
+            some = slice(i, i + SLICE)
+            yield from zip((begin[some] + at).tolist(), (last[some] + at).tolist(), place[begin[some]].tolist(), strict=True)
 
 
 def halves(digest: bytes) -> tuple[int, int]:
     return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
 
 
+def add_span(spans: list[tuple[int, int]], first: int, end: int) -> None:
+    """Add a span to joined ones, none of which begins later."""
+    if spans and first <= spans[-1][1]:
+        spans[-1] = (spans[-1][0], max(end, spans[-1][1]))
+    else:
+        spans.append((first, end))
+
+
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Overlapping or touching spans joined."""
     out: list[tuple[int, int]] = []
     for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            if b > out[-1][1]:
-                out[-1] = (out[-1][0], b)
-        else:
-            out.append((a, b))
+        add_span(out, a, b)
     return out
 
 
@@ -113,10 +118,9 @@ def first_runs(texts: DataFrame, length: int, gram: int) -> DataFrame:
                 raw = (text or "").encode()
                 if len(raw) < length:
                     continue
-                firsts, lasts, owned = (a.tolist() for a in runs_of(np.frombuffer(raw, np.uint8), length, gram))
                 seen: dict[bytes, list] = {}
-                spans = []
-                for a, b, o in zip(firsts, lasts, owned, strict=True):
+                spans: list[tuple[int, int]] = []
+                for a, b, o in runs_of(np.frombuffer(raw, np.uint8), length, gram):
                     hull = digest(raw[a : b + length])
                     known = seen.get(hull)
                     if known is None:
@@ -124,11 +128,11 @@ def first_runs(texts: DataFrame, length: int, gram: int) -> DataFrame:
                         seen[hull] = [row, a, b, o, *core, *halves(hull), 1]
                     else:
                         known[-1] += 1
-                        spans.append((a, b + length))
+                        add_span(spans, a, b + length)
                 for values in seen.values():
                     for n, v in zip(names, values, strict=True):
                         out[n].append(v)
-                for a, b in merged(spans):
+                for a, b in spans:
                     for n, v in zip(names, (row, a, b - length, None, None, None, None, None, 0), strict=True):
                         out[n].append(v)
             yield out
@@ -144,19 +148,23 @@ def settle(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # Which of the equal runs stands for them does not matter; all its columns come from the same row.
     hulls = runs.groupBy(*core, *hull).agg(F.sum("times").alias("times"), *[F.first(n).alias(n) for n in place])
     twice = hulls.where("times > 1").select(*core, *hull)
-    repeated = runs.join(twice, [*core, *hull], "left_semi").select("row", "first", "last")
+    # A passage that many texts share has as many runs of one hull; they are dealt by their texts.
+    repeated = salted(runs, twice, [*core, *hull], "row").select("row", "first", "last")
     mixed = hulls.groupBy(*core).agg(F.count("*").alias("n")).where("n > 1").select(*core)
-    open_runs = hulls.join(mixed, core, "left_semi").select(*place)
+    open_runs = salted(hulls, mixed, core, hull).select(*place)
     return repeated, open_runs
 
 
 def marked(rows: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:
     """``rows`` with ``maybe``: false only if the key ``columns`` of a row are certainly not among ``keys``.
 
-    The keys set bits of a map of fixed size, so what is broadcast is bounded however many keys there are; a full
-    map only means that nothing is ruled out.
+    The keys set bits of a map, whose size goes with their number up to a bound, so what is broadcast is bounded
+    however many keys there are; a map that is full rules nothing out, which moves more rows and changes no result.
+    ``keys`` are counted, so they should be at hand.
     """
-    slot = F.pmod(F.xxhash64(*columns), F.lit(MAP_BITS))
+    least, most = MAP_BITS
+    bits = min(most, max(least, 1 << (BITS_PER_KEY * keys.count()).bit_length()))
+    slot = F.pmod(F.xxhash64(*columns), F.lit(bits))
     word, bit = F.shiftright(slot, 6), F.lit(1).cast("long")
     of = keys.select(word.alias("word"), F.call_function("shiftleft", bit, slot.bitwiseAND(63).cast("int")).alias("bit"))
     words = of.groupBy("word").agg(F.bit_or("bit").alias("bits"))
@@ -276,5 +284,14 @@ def without_repeats(
 def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts of ``documents`` without the passages of 400 bytes that occur elsewhere."""
     found = without_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text")
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        "n_spans",
+        F.sha2("kept", 256).alias("kept_sha256"),
+        (F.col("n_bytes") - F.col("n_removed")).alias("n_kept"),
+        # What is left as text, with U+FFFD for what is left of a letter that was cut in two.
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
+    )
 
