@@ -1,13 +1,16 @@
 """Document fingerprints that add up: a homomorphic hash of the multiset of a text's paragraphs.
 
-Each three words that follow each other in a paragraph (a line) are a group, those that overlap included; a shorter
-paragraph is one group. Each group is hashed to 64 bits, and the paragraph's vector is the sum of its groups' vectors: 63 counters that say how often each of 63 hash bits is set, two sums of 32-bit
-halves of the hash, and the number of groups. The fingerprint of a text is the sum of the vectors of its paragraphs,
-modulo powers of two. So it does not depend on the order of paragraphs, and a paragraph can be added to or taken out of a
-fingerprint without the rest of the text. Counters of unlike texts are independent, so the cosine of two centred
-counter vectors tells how much the texts share.
-
-All of it is DataFrame functions; no Python runs on the executors.
+A paragraph is a line. Its vector has two parts, and the fingerprint of a text is the sum of the vectors of its paragraphs,
+modulo a power of two. So it does not depend on the order of paragraphs, and a paragraph can be added to or taken out of a
+fingerprint without the rest of the text.
+
+* ``WIDE`` hashes of the whole paragraph, 62 bits each. Their sums tell multisets of paragraphs apart.
+* ``COUNTERS`` counters that say how often each of so many bits is set in the hashes of the paragraph's word groups, and
+  the number of groups. Each three words that follow each other are a group, those that overlap included; a shorter
+  paragraph is one group. Counters of unlike texts are independent, so the cosine of two centred counter vectors
+  tells how much the texts share.
+
+A counter has 31 bits, enough for two billion groups. All of it is DataFrame functions; no Python runs on the executors.
 """
 
 from __future__ import annotations
@@ -18,28 +21,63 @@ from pyspark.sql.window import Window
 
 from tablesnap.llm.common import cut, parallelism, table
 
-# Three counters of 21, 21 and 20 bits share a long: bits k, k + 21 and k + 42 of a hash.
-STEP, WORDS = 21, 21
-THREE_BITS = 1 | 1 << STEP | 1 << 2 * STEP
 MODULUS = 1 << 62
-HALF = 0xFFFFFFFF
+WIDE = 4
+
+# Three counters of 21, 21 and 20 bits share a long while they are counted: bits k, k + 21 and k + 42 of a hash. So many
+# groups at a time fit any of them.
+STEP, WORDS, AT_ONCE = 21, 21, (1 << 20) - 1
+COUNTERS = 3 * WORDS
+THREE_BITS = 1 | 1 << STEP | 1 << 2 * STEP
+# In a fingerprint two share a long.
+WIDTH, LONGS = 31, (COUNTERS + 1) // 2
 
 GROUP_WORDS = 3
 WORD = r"[^\s]+"
 
 
-def fingerprint_of(hashes: Column) -> Column:
-    """The fingerprint, as an array of longs, of an array of group hashes."""
+def zero() -> Column:
+    return F.lit(0).cast("long")
+
+
+def bound(value: Column, use) -> Column:
+    """What ``use`` makes of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def counted(hashes: Column) -> Column:
+    """How often each bit is set, for at most ``AT_ONCE`` hashes."""
 
-    def total(part, modulus: int) -> Column:
-        # Reduced at every step, so that sums never leave a long, however many groups there are.
-        return F.aggregate(hashes, F.lit(0).cast("long"), lambda a, h: (a + part(h)).bitwiseAND(F.lit(modulus - 1)))
+    def of_bits(k: int) -> Column:
+        return F.aggregate(hashes, zero(), lambda a, h: a + F.shiftright(h, k).bitwiseAND(F.lit(THREE_BITS)))
 
-    counters = [
-        total(lambda h, k=k: F.shiftright(h, k).bitwiseAND(F.lit(THREE_BITS)), MODULUS) for k in range(WORDS)
-    ]
-    halves = [total(lambda h, n=n: F.shiftright(h, n).bitwiseAND(F.lit(HALF)), HALF + 1) for n in (0, 32)]
-    return F.array(*counters, *halves, F.size(hashes).cast("long"))
+    sums = map(of_bits, range(WORDS))
+    field = F.lit((1 << STEP) - 1)
+    three = lambda p: F.array(*[F.shiftright(p, n * STEP).bitwiseAND(field) for n in range(3)])
+    return F.flatten(F.transform(F.array(*sums), three))
+
+
+def fingerprint_of(text: Column, hashes: Column) -> Column:
+    """The fingerprint, as an array of longs, of a text and its group hashes."""
+    last = F.floor(F.greatest(F.size(hashes) - 1, F.lit(0)) / AT_ONCE).cast("int")
+    parts = F.transform(F.sequence(F.lit(0), last), lambda i: counted(F.slice(hashes, i * AT_ONCE + 1, F.lit(AT_ONCE))))
+    none = F.array_repeat(zero(), COUNTERS)
+    counts = F.aggregate(parts, none, lambda a, part: F.zip_with(a, part, lambda x, y: x + y))
+
+    def packed(counts: Column) -> Column:
+        pair = lambda j: F.get(counts, j * 2) + F.call_function("shiftleft", F.coalesce(F.get(counts, j * 2 + 1), zero()), F.lit(WIDTH))
+        return F.transform(F.sequence(F.lit(0), F.lit(LONGS - 1)), pair)
+
+    mask = F.lit(MODULUS - 1)
+    lines = F.split(text, "\n")
+
+    def wide(k: int) -> Column:
+        # Reduced at every step, so that sums never leave a long, however many paragraphs there are.
+        return F.aggregate(
+            lines, zero(), lambda a, line: (a + F.xxhash64(F.lit(k), line).bitwiseAND(mask)).bitwiseAND(mask)
+        )
+
+    return F.concat(bound(counts, packed), F.array(*map(wide, range(WIDE)), F.size(hashes).cast("long")))
 
 
 def group_hashes(text: Column) -> Column:
@@ -62,21 +100,14 @@ def group_hashes(text: Column) -> Column:
 def combined(one: Column, other: Column, sign: int = 1) -> Column:
     """The fingerprint of two texts' paragraphs together; with ``sign`` -1 what is left after taking the
     paragraphs of ``other`` out of ``one``."""
-    moduli = F.array(*[F.lit(m - 1) for m in [MODULUS] * WORDS + [HALF + 1] * 2 + [MODULUS]])
-    sums = F.zip_with(one, other, lambda a, b: a + b if sign > 0 else a - b)
-    return F.zip_with(sums, moduli, lambda s, m: s.bitwiseAND(m))
+    return F.zip_with(one, other, lambda a, b: (a + b if sign > 0 else a - b).bitwiseAND(F.lit(MODULUS - 1)))
 
 
 def counters(fingerprint: Column) -> Column:
-    """The 63 counters, centred: how often a bit was set more than not."""
-    packed = F.slice(fingerprint, 1, WORDS)
-    mask = F.lit((1 << STEP) - 1)
-    spread = F.flatten(
-        F.transform(
-            packed,
-            lambda p: F.array(*[F.shiftright(p, n * STEP).bitwiseAND(mask) for n in range(3)]),
-        )
-    )
+    """The counters, centred: how often a bit was set more than not."""
+    mask = F.lit((1 << WIDTH) - 1)
+    two = lambda p: F.array(p.bitwiseAND(mask), F.shiftright(p, WIDTH).bitwiseAND(mask))
+    spread = F.slice(F.flatten(F.transform(F.slice(fingerprint, 1, LONGS), two)), 1, COUNTERS)
     groups = F.element_at(fingerprint, -1)
     return F.transform(spread, lambda c: (c * 2 - groups).cast("double"))
 
@@ -135,7 +166,7 @@ def edited_likeness(texts: DataFrame, key: str, text: str) -> DataFrame:
     pairs = successors(ids, parallelism(spark))
 
     prints = rows.withColumn("hashes", group_hashes(F.col("text"))).select(
-        "id", "mark", "text", fingerprint_of(F.col("hashes")).alias("fp")
+        "id", "mark", "text", fingerprint_of(F.col("text"), F.col("hashes")).alias("fp")
     )
     # What each text hands to the one before it: the letters needed there, and its fingerprint.
     quarter = F.floor(F.col("size") / 4).cast("int")
@@ -170,7 +201,7 @@ def edited_likeness(texts: DataFrame, key: str, text: str) -> DataFrame:
         "fp",
         "next_fp",
         F.sha2("edited", 256).alias("edited_sha256"),
-        fingerprint_of(F.col("hashes")).alias("edited_fp"),
+        fingerprint_of(F.col("edited"), F.col("hashes")).alias("edited_fp"),
     )
     both = both.select(
         "*",

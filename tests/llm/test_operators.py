@@ -36,7 +36,7 @@ def packed(ids):
 
 def test_all_are_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(contract.queries())
 
 
@@ -80,7 +80,7 @@ def test_op1_search_improves_on_best_fit():
         bins.best_fit()
         before = sum(f > 0 for f in bins.fill)
         squares = sum(f * f for f in bins.fill)
-        bins.search(8, 64)
+        bins.search()
         assert sorted(p for b in bins.bins for _, p in b) == list(range(60))
         assert all(sum(length for length, _ in b) == f <= 1024 for b, f in zip(bins.bins, bins.fill, strict=True))
         assert sum(f * f for f in bins.fill) >= squares
@@ -88,6 +88,31 @@ def test_op1_search_improves_on_best_fit():
     assert better
 
 
+def test_op1_long_runs_of_white_space(spark):
+    blanks = [blank * 1_000_000 for blank in (" ", "\n", "\t", "\xa0", "\r\n")]
+    texts = list(enumerate([*blanks, f"a{blanks[0]}b c{blanks[1]}", f"{' ' * 300_000}x"]))
+    frame = spark.createDataFrame(texts, "doc_id bigint, text string")
+    found = packing.pack_texts(frame, "doc_id", "text", BYTE_BPE, public_tokenizers.path("byte_bpe_50k.tiktoken")).collect()
+    slow = packing.Ids(BYTE_BPE, None)
+    for doc_id, text in texts:
+        ids = np.append(slow(text), 2).astype("<u4")
+        mine = sorted((r.start, r.length, r.ids_crc32) for r in found if r.doc_id == doc_id)
+        assert mine == [(a, n, zlib.crc32(ids[a : a + n].tobytes())) for a, n, _ in mine]
+        assert mine[-1][0] + mine[-1][1] == len(ids)
+
+
+def test_op1_equal_rows_are_dealt_to_all_shards(spark):
+    frame = spark.range(50_000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "'some words that all have' AS text")
+    found = packing.pack_texts(frame, "doc_id", "text", BYTE_BPE).collect()
+    shards = Counter(r.sequence_id >> 32 for r in found if r.sequence_id < 1 << 60)
+    assert max(shards.values()) < 2 * 4096 and len(shards) > 8
+    fills = Counter()
+    for r in found:
+        fills[r.sequence_id] += r.length
+    assert len(found) == 50_000 and max(fills.values()) <= 1024
+    assert len(fills) <= math.ceil(sum(fills.values()) / 1020) + 1
+
+
 def test_op1_search_tries_all_bins_of_a_shard():
     lengths = np.random.default_rng(5).integers(257, 512, 4096)
     bins = packing.Bins(lengths, 1024)
@@ -333,16 +358,49 @@ def test_op8_random_overlaps(spark, monkeypatch):
         i, j = draw.randrange(400), draw.randrange(400)
         texts.append((n, a[i : i + draw.randrange(300, 520)] + draw.choice(["", "x", "yy"]) + b[j : j + draw.randrange(300, 520)]))
     texts += [(60, "z" * 1500), (61, "z" * 410), (62, "xyz" * 300)]
-    monkeypatch.setattr(repeats, "MAP_BITS", 64)  # a full map rules nothing out and changes nothing
+    monkeypatch.setattr(repeats, "MAP_BITS", (64, 64))  # a full map rules nothing out and changes nothing
     frame = spark.createDataFrame(texts, "doc_id bigint, text string").coalesce(1)
     found = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, sha(bytes(r.kept))) for r in repeats.without_repeats(frame, "doc_id", "text").collect())
     assert found == [(i, *w) for (i, _), w in zip(texts, repeats_by_hand([t.encode() for _, t in texts], 400), strict=True)]
 
 
+def test_op8_long_periodic_texts(spark):
+    texts = [(1, "z" * 2_000_000), (2, "ab é" * 300_000), (3, "z" * 399), (4, "y" * 400)]
+    frame = spark.createDataFrame(texts, "doc_id bigint, text string").coalesce(1)
+    found = {r.doc_id: r for r in repeats.without_repeats(frame, "doc_id", "text").collect()}
+    assert [(found[i].n_bytes, found[i].n_removed, found[i].n_spans) for i in (1, 2, 3, 4)] == [
+        (2_000_000, 2_000_000, 1), (1_500_000, 1_500_000, 1), (399, 0, 0), (400, 0, 0)
+    ]
+    # Runs come a few at a time, and the spans of equal ones are joined as they come.
+    runs = repeats.runs_of(np.frombuffer(texts[0][1].encode(), np.uint8), 400, 64)
+    spans = []
+    for first, last, _ in runs:
+        repeats.add_span(spans, first, last + 400)
+        assert len(spans) == 1
+    assert spans == [(0, 2_000_000)]
+
+
+def test_op8_passage_of_many_texts(spark):
+    passage = "".join(random.Random(3).choice("abcdefgh ") for _ in range(500))
+    rows = [(i, f"{sha(str(i)) * 5}{passage}{sha(str(-i - 1)) * 5}") for i in range(3000)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    found = repeats.without_repeats(frame, "doc_id", "text").collect()
+    # Some letters beside the passage are the same in other texts by chance.
+    assert len(found) == 3000 and all(500 <= r.n_removed <= 520 and r.n_spans == 1 for r in found)
+
+
+def test_op8_what_is_left(spark, corpus, texts):
+    found = QUERIES["op8_repeated_passages"](spark, corpus)
+    assert found.columns[:5] == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    for r in found.collect():
+        assert r.n_kept == r.n_bytes - r.n_removed and (r.n_removed or sha(r.text) == r.kept_sha256)
+        assert "\ufffd" in r.text or len(r.text.encode()) == r.n_kept
+
+
 def test_op8_texts_longer_than_a_part(monkeypatch):
     monkeypatch.setattr(repeats, "PART", 700)
     data = np.frombuffer(random.Random(9).randbytes(5000), np.uint8)
-    firsts, lasts, owned = repeats.runs_of(data, 400, 64)
+    firsts, lasts, owned = map(np.array, zip(*repeats.runs_of(data, 400, 64), strict=True))
     assert firsts[0] == 0 and lasts[-1] == 4600 and (firsts[1:] == lasts[:-1] + 1).all()
     assert ((owned >= lasts) & (owned <= firsts + 336)).all()
 
@@ -364,31 +422,59 @@ def test_op9_same_as_by_hand(spark, corpus, texts):
     assert sum(r.near_edited for r in ordinary) > sum(r.near_next for r in ordinary) + 5
 
 
+def fingerprints(spark, texts):
+    """Frame of a fingerprint per named text."""
+    frame = spark.createDataFrame([tuple(texts.values())], ", ".join(f"{n} string" for n in texts))
+    hashes = frame.select("*", *[multiset.group_hashes(multiset.F.col(n)).alias(f"{n}_h") for n in texts])
+    col = multiset.F.col
+    return hashes.select(*[multiset.fingerprint_of(col(n), col(f"{n}_h")).alias(n) for n in texts])
+
+
 def test_op9_adds_up(spark):
     one, other = "a b c d\ne f g", "h i j\nk l"
-    prints = {
-        name: [r.v for r in spark.createDataFrame([(t,)], "t string").select(multiset.fingerprint_of(multiset.group_hashes(multiset.F.col("t"))).alias("v")).collect()][0]
-        for name, t in {"one": one, "other": other, "both": f"{one}\n{other}", "turned": f"{other}\n{one}"}.items()
-    }
-    assert prints["both"] == prints["turned"] != prints["one"]
-    frame = spark.createDataFrame([(prints["one"], prints["other"], prints["both"])], "a array<bigint>, b array<bigint>, c array<bigint>")
+    frame = fingerprints(spark, {"one": one, "other": other, "both": f"{one}\n{other}", "turned": f"{other}\n{one}"})
+    prints, col = frame.first(), multiset.F.col
+    assert prints.both == prints.turned != prints.one
+    row = frame.select(multiset.combined(col("one"), col("other")).alias("sum"), multiset.combined(col("both"), col("other"), -1).alias("rest")).first()
+    assert row["sum"] == prints.both and row["rest"] == prints.one
+
+
+def test_op9_tells_multisets_of_paragraphs_apart(spark):
+    texts = {
+        "a": "a b c d", "b": "a b c\nb c d", "c": "a b c\nb c d\n", "d": "a b c\na b c", "e": "a b c", "f": "", "g": "\n", "h": "a  b c", "i": "d c b a",
+    }
+    prints = fingerprints(spark, texts).first()
+    assert len({tuple(p) for p in prints}) == len(texts)
+
+
+def test_op9_paragraphs_go_in_and_out(spark):
+    lines = [prose(n, 5 + n) for n in range(12)]
+    frame = fingerprints(spark, {"whole": "\n".join(lines), "less": "\n".join([*lines[7:], *lines[:6]]), "line": lines[6]})
     col = multiset.F.col
-    row = frame.select(multiset.combined(col("a"), col("b")).alias("sum"), multiset.combined(col("c"), col("b"), -1).alias("rest")).first()
-    assert row["sum"] == prints["both"] and row["rest"] == prints["one"]
+    row = frame.select("*", multiset.combined(col("whole"), col("line"), -1).alias("out"), multiset.combined(col("less"), col("line")).alias("back")).first()
+    assert row.out == row.less and row.back == row.whole
+
+
+def likeness_of(one, other):
+    col = multiset.F.col
+    return multiset.likeness(col(one), col(other), multiset.counters(col(one)), multiset.counters(col(other)))
 
 
 def test_op9_one_word_more_or_less_at_the_begin(spark):
     draw = random.Random(9)
     words = [f"w{draw.randrange(5000)}" for _ in range(150)]
-    texts = {"text": " ".join(words), "more": " ".join(["new", *words]), "less": " ".join(words[1:])}
-    col, prints = multiset.F.col, multiset.fingerprint_of
-    frame = spark.createDataFrame([tuple(texts.values())], "text string, more string, less string")
-    frame = frame.select(*[prints(multiset.group_hashes(col(n))).alias(n) for n in texts])
-    near = lambda n: multiset.likeness(col("text"), col(n), multiset.counters(col("text")), multiset.counters(col(n)))
-    row = frame.select(near("more").alias("more"), near("less").alias("less"), (col("text")[multiset.WORDS + 2]).alias("groups")).first()
+    frame = fingerprints(spark, {"text": " ".join(words), "more": " ".join(["new", *words]), "less": " ".join(words[1:])})
+    row = frame.select(likeness_of("text", "more").alias("more"), likeness_of("text", "less").alias("less"), multiset.F.element_at("text", -1).alias("groups")).first()
     assert row.groups == 148 and row.more > 0.95 and row.less > 0.95
 
 
+def test_op9_counters_of_very_long_texts(spark):
+    words = " ".join(f"w{n % 1999}x{n % 977}" for n in range(2_200_000))
+    row_of = fingerprints(spark, {"long": words, "like": words + " and some more", "unlike": " ".join(f"v{n % 1709}" for n in range(5000))})
+    row = row_of.select(likeness_of("long", "like").alias("like"), likeness_of("long", "unlike").alias("unlike")).first()
+    assert row.like > 0.99 and row.unlike < 0.7
+
+
 def test_op9_is_native(spark, corpus):
     plan = QUERIES["op9_multiset_fingerprints"](spark, corpus)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
