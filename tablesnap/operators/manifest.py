@@ -30,6 +30,7 @@ COMPACTED = "compacted"  # begins the names of files that hold records of many t
 ENTRY_SCHEMA = (
     "parquet_path string, fetched_at string, server_modified string, row_count bigint, size_bytes bigint, "
     "base_url string, container_path string, schema_name string, query_name string, source_state string, "
+    "cluster_by array<string>, "
     "columns array<struct<name:string,json_type:string>>"
 )
 RECORD_SCHEMA = f"key string, seq struct<t:bigint,u:string>, op string, format_version int, {ENTRY_SCHEMA}"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Iterator, Sequence
+from typing import Any
 from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
@@ -211,17 +212,24 @@ class FolderPages:
         prefix = self.folder.rstrip("/")
         return sorted(f"{prefix}/{f.base_name}" for f in found if f.base_name.startswith("part-"))
 
-    def fetch(self, page: str, columns: Sequence[str]) -> Iterator[str]:
+    def fetch(self, page: str, columns: Sequence[str]) -> Iterator[Any]:
         import io
 
+        import pyarrow as pa
+
         place = {c.name: i for i, c in enumerate(self._fields) if not c.hidden}
         wanted = [place[name] for name in columns]
         every = wanted == list(range(len(self._fields)))
         system, path = self._open(page)
-        with system.open_input_stream(path) as stream, io.TextIOWrapper(stream, "utf-8", newline="\n") as lines:
-            for line in lines:
-                row = line.rstrip("\n")
-                yield row if every else [json.loads(row)[i] for i in wanted]
+        with system.open_input_stream(path) as stream:
+            if every:
+                # Whole pages as they are.
+                text = stream.read().decode().removesuffix("\n")
+                yield pa.array(text.split("\n") if text else [], pa.string())
+                return
+            for line in io.TextIOWrapper(stream, "utf-8", newline="\n"):
+                row = json.loads(line)
+                yield [row[i] for i in wanted]
 
     def max_modified(self) -> str | None:
         return None
@@ -245,6 +253,15 @@ def projection_sent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.attach("lists", "orders", source).query("lists", "orders")
 
 
+def clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table stored in the order of a column, filtered by it."""
+    store = new_store(spark, sf_dir)
+    store.sync("lists", "lineitem", cluster_by=["l_shipdate"])
+    lineitem = store.query("lists", "lineitem", offline=True)
+    days = F.col("l_shipdate").between(F.lit("1995-03-01").cast("timestamp_ntz"), F.lit("1995-04-01").cast("timestamp_ntz"))
+    return lineitem.where(days).groupBy("l_returnflag").agg(F.count("*").alias("n"), F.min("l_shipdate").alias("first"))
+
+
 def lost_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A snapshot whose files are gone is read through again."""
     store = new_store(spark, sf_dir)
@@ -346,6 +363,11 @@ CHECKS = {
         projection_sent,
         'SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate AS "Order ""Date""", o_orderpriority FROM orders',
     ),
+    "q_clustered": Check(
+        clustered,
+        "SELECT l_returnflag, count(*) AS n, min(l_shipdate) AS first FROM lineitem "
+        "WHERE l_shipdate BETWEEN TIMESTAMP '1995-03-01' AND TIMESTAMP '1995-04-01' GROUP BY l_returnflag",
+    ),
     "q_lost_snapshot": Check(lost_snapshot, ORDERS),
     "q_empty_table": Check(empty_table, "SELECT * FROM orders WHERE o_totalprice < 0"),
     "q_csv_roundtrip": Check(csv_roundtrip, CUSTOMER),

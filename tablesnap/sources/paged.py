@@ -33,17 +33,20 @@ class PageTransport(Protocol):
         """Column metadata: dicts with ``name`` and optionally ``jsonType`` and ``hidden``."""
 
     def pages(self, columns: Sequence[str]) -> Iterable[Any]:
-        """The pages that make up the whole table."""
+        """The pages that make up the whole table. A sequence is cut into parts without going through it: a
+        ``range`` of page numbers, or a sequence of one's own whose slices are small, stays small on the driver and on its
+        way to the executors, however many pages it names."""
 
     def fetch(self, page: Any, columns: Sequence[str]) -> Iterable[Any]:
-        """The rows of one page: lists of JSON values, or their JSON text."""
+        """The rows of one page: lists of JSON values, or their JSON text, or Arrow string arrays of many texts, which
+        go to Spark as they are."""
 
     def max_modified(self) -> str | None:
         """The server's latest change, or None if it has no such column."""
 
 
 class _Pages(InputPartition):
-    def __init__(self, pages: list[Any]):
+    def __init__(self, pages: Sequence[Any]):
         self.pages = pages
 
 
@@ -54,17 +57,26 @@ class _PageReader(DataSourceReader):
         self._transport, self._columns, self._step, self._tasks = transport, list(columns), step, tasks
 
     def partitions(self) -> Sequence[InputPartition]:
-        pages = list(self._transport.pages(self._columns))
+        pages = self._transport.pages(self._columns)
+        if not isinstance(pages, Sequence):
+            pages = list(pages)
         step = self._step or max(1, -(-len(pages) // self._tasks))
         return [_Pages(pages[i : i + step]) for i in range(0, len(pages), step)] or [_Pages([])]
 
     def read(self, partition: InputPartition) -> Iterator[Any]:
         import pyarrow as pa
 
+        encode = json.JSONEncoder(separators=(",", ":")).encode
         batch: list[str] = []
         for page in partition.pages:
             for row in self._transport.fetch(page, self._columns):
-                batch.append(row if isinstance(row, str) else json.dumps(row, separators=(",", ":")))
+                if isinstance(row, (pa.Array, pa.ChunkedArray)):
+                    for texts in row.chunks if isinstance(row, pa.ChunkedArray) else [row]:
+                        for at in range(0, len(texts), BATCH_ROWS):
+                            some = texts.slice(at, BATCH_ROWS).cast(pa.string())
+                            yield pa.RecordBatch.from_arrays([some], names=["value"])
+                    continue
+                batch.append(row if isinstance(row, str) else encode(row))
                 if len(batch) == BATCH_ROWS:
                     yield pa.RecordBatch.from_pydict({"value": pa.array(batch, pa.string())})
                     batch = []

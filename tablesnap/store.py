@@ -159,10 +159,21 @@ class Store:
     # --- sync --------------------------------------------------------------------------------
 
     def sync(
-        self, schema: str, query: str, *, base_url: str | None = None, container_path: str | None = None
+        self,
+        schema: str,
+        query: str,
+        *,
+        base_url: str | None = None,
+        container_path: str | None = None,
+        cluster_by: Sequence[str] | None = None,
     ) -> DataFrame:
-        """Fetch the whole table again and publish it. Runs now; returns one ``status`` row."""
-        return self._status(self._synced(self.table_id(schema, query, base_url, container_path)))
+        """Fetch the whole table again and publish it. Runs now; returns one ``status`` row.
+
+        ``cluster_by`` names columns in whose order the snapshot is stored, range by range, so that filters on them
+        skip most files and row groups; the size of a file follows ``spark.sql.adaptive.advisoryPartitionSizeInBytes``. It
+        costs a shuffle, and holds for later syncs, refreshes included, until another one names columns, or none (``[]``).
+        """
+        return self._status(self._synced(self.table_id(schema, query, base_url, container_path), cluster_by))
 
     def sync_many(self, tables: Iterable[Sequence[str]], parallel: int = 4, strict: bool = False) -> DataFrame:
         """Sync several tables, ``parallel`` at a time, so that small ones fill the gaps that the
@@ -184,15 +195,15 @@ class Store:
             raise failed
         return self._status(*(message for message, _ in done))
 
-    def _synced(self, table: TableId) -> str:
-        entry = self._sync(table)
+    def _synced(self, table: TableId, cluster_by: Sequence[str] | None = None) -> str:
+        entry = self._sync(table, cluster_by)
         path = self._data_path(entry["parquet_path"])
         return SYNCED.format(label=table.label, rows=entry["row_count"], path=path)
 
     def _status(self, *messages: str) -> DataFrame:
         return self.spark.createDataFrame([(m,) for m in messages], "status string")
 
-    def _sync(self, table: TableId) -> dict:
+    def _sync(self, table: TableId, cluster_by: Sequence[str] | None = None) -> dict:
         started, clock = datetime.now(UTC), time.monotonic()
         log.info("sync of %s started", table.label)
         relpath = f"{table.relpath}/v={Seq.next()}"
@@ -204,7 +215,11 @@ class Store:
                 raise ValueError(f"{table.label} has no visible columns.")
             # Before the rows are read: files that change meanwhile are looked into at the next read.
             state = self._state(source) if fetch.tracked else None
-            rows, modified = self._write(fetch, path)
+            order = self._known_columns(fetch, cluster_by or (), strict=True)
+            if cluster_by is None:
+                before = self.manifest.lookup(table.key)
+                order = self._known_columns(fetch, (before and before.cluster_by) or (), strict=False)
+            rows, modified = self._write(fetch, path, order)
         except Exception:
             self._storage.delete(path)
             self._log_sync(table, started, clock, None, None, "failed")
@@ -221,22 +236,36 @@ class Store:
             "schema_name": table.schema_name,
             "query_name": table.query_name,
             "source_state": state if modified is not None else None,
+            "cluster_by": order or None,
             "columns": [{"name": c.name, "json_type": c.json_type or None} for c in fetch.columns],
         }
         self.manifest.put(table.key, entry)
         self._log_sync(table, started, clock, rows, size, "finished")
         return entry
 
-    def _write(self, fetch: Fetch, path: str) -> tuple[int, str | None]:
-        """Write the table in one pass, without a shuffle; the row count and, where the source
-        allows, the latest change are taken from the very rows being written."""
+    def _known_columns(self, fetch: Fetch, names: Sequence[str], strict: bool) -> list[str]:
+        """The columns to cluster by, as they are written in the table. A later sync goes on without one that is gone."""
+        there = {c.name.lower(): c.name for c in fetch.columns}
+        missing = [name for name in names if name.lower() not in there]
+        if missing and strict:
+            raise ValueError(f"There is no column {missing[0]} to cluster by.")
+        return [] if missing else [there[name.lower()] for name in names]
+
+    def _write(self, fetch: Fetch, path: str, order: Sequence[str] = ()) -> tuple[int, str | None]:
+        """Write the table in one pass, without a shuffle unless an ``order`` is asked for; the row count and, where
+        the source allows, the latest change are taken from the very rows being written."""
         # Otherwise ask before reading: a change during the read then shows as stale, not as fresh.
         probed = None if fetch.tracked else self._probe(fetch.probe)
         metrics = [F.count(F.lit(1)).alias("rows")]
         if fetch.tracked:
             metrics.append(F.max(quoted(fetch.tracked)).cast("string").alias("modified"))
         seen = Observation()
-        fetch.rows.observe(seen, *metrics).write.mode("errorifexists").parquet(path)
+        rows = fetch.rows
+        if order:
+            columns = [F.col(quoted(name)) for name in order]
+            rows = rows.repartitionByRange(*columns).sortWithinPartitions(*columns)
+        # Above the shuffle: ranges are found by a job of its own, whose rows must not count.
+        rows.observe(seen, *metrics).write.mode("errorifexists").parquet(path)
         found = seen.get
         return found.get("rows") or 0, found.get("modified") if fetch.tracked else probed
 

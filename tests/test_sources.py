@@ -139,3 +139,48 @@ def test_change_column_is_found_in_any_case(spark):
     assert source.probe().first().server_modified == "v7"
     assert source.tracked([RemoteColumn("id", "int"), RemoteColumn("MODIFIED", "string")]) == "MODIFIED"
     assert FrameSource(lambda: spark.range(1)).probe() is None
+
+
+class Numbered:
+    """A server with a million numbered pages, some of which are fetched here."""
+
+    def __init__(self, pages, kind):
+        self.count, self.kind = pages, kind
+
+    def fields(self):
+        return [{"name": "n", "jsonType": "int"}, {"name": "text", "jsonType": "string"}]
+
+    def pages(self, columns):
+        return range(self.count)
+
+    def fetch(self, page, columns):
+        import pyarrow as pa
+
+        texts = [f'[{page * 3 + i}, "p{page}"]' for i in range(3)]
+        if self.kind == "array":
+            return [pa.array(texts)]
+        if self.kind == "chunked":
+            return [pa.chunked_array([texts[:1], [], texts[1:]], pa.large_string())]
+        return [texts[0], pa.array(texts[1:2]), [page * 3 + 2, f"p{page}"]]
+
+    def max_modified(self):
+        return None
+
+
+def test_a_million_pages_are_planned_at_once(spark):
+    import pickle
+    import time
+
+    from tablesnap.sources.paged import _PageReader
+
+    start = time.perf_counter()
+    parts = _PageReader(Numbered(1_000_000, "array"), ["n", "text"], 0, 128).partitions()
+    assert time.perf_counter() - start < 1 and len(parts) == 128
+    assert sum(len(p.pages) for p in parts) == 1_000_000 and len(pickle.dumps(parts)) < 100_000
+
+
+@pytest.mark.parametrize("kind", ["array", "chunked", "mixed"])
+def test_pages_of_arrow_texts(spark, kind):
+    source = PagedSource(spark, Numbered(50, kind), pages_per_task=7)
+    rows = sorted(map(tuple, source.read(source.columns()).collect()))
+    assert rows == [(n, f"p{n // 3}") for n in range(150)]

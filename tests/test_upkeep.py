@@ -295,3 +295,63 @@ def test_a_lost_snapshot_is_still_missing_offline(store):
         shutil.rmtree(path)
     with pytest.raises(SnapshotMissing):
         store.table("t")
+
+
+# --- layout --------------------------------------------------------------------------------------
+
+
+def parts(store):
+    """Smallest and largest value of a column in each file."""
+    import pyarrow.parquet as pq
+
+    found = glob.glob(f"{local(store.cache_info().first().parquet_path)}/*.parquet")
+    tables = [pq.read_table(f, columns=["a b"])["a b"].to_pylist() for f in found]
+    return sorted((min(t), max(t)) for t in tables if t)
+
+
+@pytest.fixture
+def uncoalesced(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_clustered_snapshots(spark, new_store, uncoalesced):
+    state = {"rows": 4000, "name": "a b"}
+
+    def load():
+        n = state["rows"]
+        return spark.range(n).select(((F.col("id") * 7919) % n).alias(state["name"]), F.col("id").alias("Modified")).repartition(4)
+
+    store = new_store(connector=lambda table: FrameSource(load))
+    store.sync("lists", "t", cluster_by=["A B"])
+    ranges = parts(store)
+    assert len(ranges) == 4 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+    assert store.cache_info().first().row_count == 4000 and store.query("lists", "t").count() == 4000
+    # A refresh keeps the layout, until another is named.
+    state["rows"] = 5000
+    assert store.query("lists", "t").count() == 5000
+    assert all(a[1] < b[0] for a, b in zip(parts(store), parts(store)[1:]))
+    with pytest.raises(ValueError, match="no column nope"):
+        store.sync("lists", "t", cluster_by=["nope"])
+    store.sync("lists", "t", cluster_by=[])
+    assert parts(store)[0][1] > parts(store)[1][0]
+    store.sync("lists", "t", cluster_by=["a b"])
+    state["name"] = "other"
+    assert store.sync("lists", "t").first().status.startswith("Synced lists.t (5000 rows)")
+
+
+def test_filters_skip_row_groups_of_a_clustered_snapshot(spark, new_store, uncoalesced):
+    frame = spark.range(8000).select(((F.col("id") * 7919) % 8000).alias("k"), F.lit("x" * 50).alias("text")).repartition(4)
+    store = new_store(connector=lambda table: FrameSource(lambda: frame))
+
+    def rows_read():
+        found = store.query("lists", "t", offline=True).where("k = 4321")
+        assert [r.k for r in found.collect()] == [4321]
+        scan = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+        return scan.metrics().apply("numOutputRows").value()
+
+    store.sync("lists", "t")
+    assert rows_read() == 8000
+    store.sync("lists", "t", cluster_by=["k"])
+    assert rows_read() <= 8000 // 2
