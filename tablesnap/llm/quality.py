@@ -1,9 +1,9 @@
 """Text quality by compression: which of two dictionaries helps a text more.
 
-A zstandard dictionary is built from labelled good texts and one from labelled bad texts. A text is compressed
-with each and without either; the sizes, divided by the text's own, and above all the difference of the first two,
-say which kind of text it resembles and how repetitive it is. A logistic curve over them, fitted on labelled texts
-that the dictionaries have not seen, makes a calibrated score of it.
+A zstandard dictionary is trained on labelled good texts and one on labelled bad texts. A text is compressed with
+each; the difference of the two sizes, divided by the text's own, says which kind of text it resembles. A logistic
+curve over that difference, bent by the text's length (a short text has less to save), makes a calibrated score of
+it. It is fitted on labelled texts that the dictionaries have not seen.
 """
 
 from __future__ import annotations
@@ -16,59 +16,54 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesnap.llm.common import map_rows, table
+from tablesnap.llm.common import map_rows, sparse, table
 
 FOLDS = 4
 
 
 @dataclass(frozen=True)
 class Fit:
-    """How much is learned from. At most ``rows`` labelled texts of each class are taken, those with the
-    smallest hash of their key, and of each a window of at most ``letters`` at a place given by that hash. A
-    dictionary has at most ``dictionary`` bytes."""
+    """How much is learned from. At most ``rows`` labelled texts of each class are taken, by the hash of their key, and
+    of each a window of at most ``letters`` at a place given by that hash. A dictionary has at most ``dictionary``
+    bytes and at most an eighth of what it is trained on."""
 
     rows: int = 3000
     letters: int = 4000
-    dictionary: int = 112_640
+    dictionary: int = 450_000
     level: int = 3
 
 
 class Compressors:
-    """Compressed sizes with the good dictionary, the bad one, and none."""
+    """Compressed sizes with the good dictionary and the bad one."""
 
     def __init__(self, good: bytes, bad: bytes, level: int):
         import zstandard as zstd
 
-        self.all = [
+        # A dictionary that could not be trained is used as plain content.
+        self.both = [
             zstd.ZstdCompressor(
                 level=level,
                 write_checksum=False,
                 write_content_size=False,
                 write_dict_id=False,
-                dict_data=zstd.ZstdCompressionDict(d, dict_type=zstd.DICT_TYPE_RAWCONTENT) if d else None,
+                dict_data=zstd.ZstdCompressionDict(d) if d else None,
             )
-            for d in (good, bad, b"")
+            for d in (good, bad)
         ]
 
-    def sizes(self, text: str) -> tuple[int, int, int, int]:
+    def sizes(self, text: str) -> tuple[int, int, int]:
         raw = text.encode("utf-8", "replace")
-        return len(raw), *(len(c.compress(raw)) for c in self.all)
+        return len(raw), *(len(c.compress(raw)) for c in self.both)
 
 
 def features(sizes: np.ndarray) -> np.ndarray:
-    """One row per text: 1, the normalised difference, the share that is left without a dictionary and its square,
-    what the better dictionary saves, the length, and the products that matter."""
+    """One row per text: 1, the powers of the normalised difference, and how the length bends them. Without a
+    difference only the length is left; an empty text has neither."""
     length = np.maximum(sizes[:, 0], 1).astype(float)
-    good, bad, alone = (sizes[:, i] / length for i in (1, 2, 3))
-    difference = (bad - good) / np.maximum(np.maximum(bad, good), 1e-9)
+    difference = (sizes[:, 2] - sizes[:, 1]) / length
     long = np.log1p(sizes[:, 0]) / 10
-    alone = np.minimum(alone, 2.0)
-    return np.column_stack(
-        [
-            np.ones_like(length), difference, difference**2, alone, alone**2, alone**3, difference * alone,
-            np.minimum(alone - np.minimum(good, bad), 2.0), long, long * alone, long * difference, long**2,
-        ]
-    )
+    powers = np.column_stack([difference, difference**2, difference**3])
+    return np.column_stack([np.ones_like(length), powers, powers * long[:, None], powers * long[:, None] ** 2, long, long**2])
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> tuple[np.ndarray, ...]:
@@ -114,12 +109,15 @@ class Model:
 
 
 def dictionary(texts: list[str], size: int) -> bytes:
-    """Pieces of the texts, turn by turn, up to ``size`` bytes."""
+    """A dictionary trained on all the texts; if they are too few to train one, the begin of their content."""
+    import zstandard as zstd
+
     raws = [t.encode("utf-8", "replace") for t in texts if t]
-    if not raws:
-        return b""
-    share = max(256, size // len(raws))
-    return b"".join(r[:share] for r in raws)[:size]
+    total = sum(map(len, raws))
+    try:
+        return zstd.train_dictionary(min(size, total // 8), raws).as_bytes()
+    except (zstd.ZstdError, ValueError):
+        return b"".join(raws)[:size]
 
 
 def train(texts: list[str], labels: list[int], fit: Fit) -> Model:
@@ -133,7 +131,7 @@ def train(texts: list[str], labels: list[int], fit: Fit) -> Model:
             for want in (1, 0)
         )
 
-    sizes = np.zeros((len(texts), 4), np.int64)
+    sizes = np.zeros((len(texts), 3), np.int64)
     for f in range(FOLDS):
         apart = Compressors(*build(fold != f), fit.level)
         for i in np.flatnonzero(fold == f):
@@ -141,7 +139,7 @@ def train(texts: list[str], labels: list[int], fit: Fit) -> Model:
     if len(texts) and 0 < y.sum() < len(y):
         weights, centre, scale = logistic(features(sizes), y)
     else:  # nothing to tell apart: the share of good labels, or one half
-        x = features(np.zeros((1, 4)))
+        x = features(np.zeros((1, 3)))
         share = (y.sum() + 1) / (len(y) + 2)
         weights, centre, scale = np.zeros(x.shape[1]), np.zeros(x.shape[1]), np.ones(x.shape[1])
         weights[0] = np.log(share / (1 - share))
@@ -152,10 +150,13 @@ def labelled_sample(texts: DataFrame, labels: DataFrame, fit: Fit) -> tuple[list
     """The bounded sample of (key, text) by (key, label) that is learned from, in a fixed order."""
     known = labels.where("key IS NOT NULL AND label IN (0, 1)").groupBy("key").agg(F.min("label").alias("label"))
     mark = F.xxhash64(F.col("key").cast("string"))
-    # The keys are chosen before any text is moved.
+    # The keys are chosen before any text is moved, from some times as many that pass a threshold.
+    totals = {r.label: r["count"] for r in known.groupBy("label").count().collect()}  # two rows
     chosen = [
-        known.where(F.col("label") == want).orderBy(mark, "key").limit(fit.rows) for want in (0, 1)
-    ]
+        sparse(known.where(F.col("label") == want), mark, 2 * fit.rows, totals.get(want, 0))
+        .orderBy(mark, "key").limit(fit.rows)
+        for want in (0, 1)
+    ]
     chosen = chosen[0].unionByName(chosen[1])
     start = F.pmod(F.xxhash64(F.col("key").cast("string"), F.lit(1)), F.greatest(F.length("text") - fit.letters, F.lit(0)) + 1)
     window = F.col("text").substr((start + 1).cast("int"), F.lit(fit.letters))
