@@ -221,8 +221,14 @@ def train_on(rows: DataFrame, fit: Fit = Fit()) -> Model:
     chosen first, so only the texts learned from are moved."""
     known = rows.where(F.col("key").isNotNull() & learned_from(F.col("key")) & F.col("lang").isNotNull())
     known = known.withColumn("mark", F.xxhash64(F.col("key").cast("string")))
+    # Some times as many as are wanted pass a threshold on the mark, whatever the size of their language; so few are
+    # ranked, though one language may hold most rows. There is one total for each class of the model.
+    totals = known.groupBy("lang").agg(F.approx_count_distinct("mark").alias("total"))
+    share = F.least(F.lit(1.0), F.lit(4.0 * fit.rows) / F.col("total"))
+    thin = known.select("lang", "mark").join(F.broadcast(totals), "lang")
+    thin = thin.where(F.pmod("mark", F.lit(1 << 30)) <= share * (1 << 30)).select("lang", "mark").distinct()
     first = Window.partitionBy("lang").orderBy("mark")
-    chosen = known.select("lang", "mark").distinct().withColumn("n", F.row_number().over(first))
+    chosen = thin.withColumn("n", F.row_number().over(first))
     chosen = chosen.where(F.col("n") <= fit.rows).select("lang", "mark")  # bounded, and so is its broadcast
     start = F.pmod("mark", F.greatest(F.length("text") - fit.letters, F.lit(0)) + 1)
     window = F.col("text").substr((start + 1).cast("int"), F.lit(fit.letters))

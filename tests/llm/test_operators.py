@@ -196,6 +196,35 @@ def test_op3_rejects_what_was_not_learned():
         assert model.predict(text)[2], text
 
 
+def test_op3_prediction_by_hand():
+    marks = [("en", "fr")[n % 2] for n in range(200)]
+    model = language.train([prose(3000 + n, 20 + n % 60, mark) for n, mark in enumerate(marks)], marks, language.Fit())
+    for text in ("the house", "la maison", "É", "x1y2", "12 ab", prose(1, 4000), "日本語", "a b  c\nd", "qqqq zzzz"):
+        pieces = language.subwords(text, language.Fit().buckets).tolist()
+        # The mean of the pieces' rows through the softmax, and the mean of their log-probabilities.
+        logits = [sum(model.says[p][k] for p in pieces) / len(pieces) + model.bias[k] for k in range(2)]
+        powers = [math.exp((v - max(logits)) / model.temperature) for v in logits]
+        lang, score, rejected = model.predict(text)
+        best = int(np.argmax(logits))
+        assert lang == model.languages[best] and abs(score - powers[best] / sum(powers)) < 1e-6
+        usual = model.usual
+        value = sum(usual.logs[p][best] for p in pieces) / len(pieces)
+        spread = math.sqrt(usual.between[best] + usual.within[best] / len(pieces))
+        assert rejected == ((usual.mean[best] - value) / spread > usual.most)
+
+
+def test_op3_sample_of_a_hot_language(spark):
+    rows = spark.range(40_000).selectExpr("id AS key", "concat('the old house ', id) AS text", "if(id % 50 = 0, 'fr', 'en') AS lang")
+    seen = []
+    real = language.train
+    language.train = lambda texts, langs, fit: seen.append(langs) or real(texts, langs, fit)
+    try:
+        language.train_on(rows, language.Fit(rows=40))
+    finally:
+        language.train = real
+    assert Counter(seen[0]) == {"en": 40, "fr": 40}
+
+
 def test_op3_long_texts_in_parts(monkeypatch):
     text = "Été, the old river — 12 houses by it " * 50
     whole = sorted(language.subwords(text, 1 << 15).tolist())
@@ -329,6 +358,32 @@ def test_op7_tells_held_out_texts_apart():
     assert alone[0] == alone[1]
 
 
+def test_op7_scores_by_hand():
+    import zstandard
+
+    draw = random.Random(17)
+    texts = [prose(n, 40 + n % 90, ("en", "fr")[n % 2]) for n in range(300)] + ["!!".join(prose(n, 60).upper().split()) for n in range(200)]
+    order = draw.sample(range(500), 500)
+    model = quality.train([texts[i] for i in order], [int(i < 300) for i in order], quality.Fit())
+    good, bad = (
+        zstandard.ZstdCompressor(level=model.level, write_checksum=False, write_content_size=False, write_dict_id=False, dict_data=zstandard.ZstdCompressionDict(d))
+        for d in (model.good, model.bad)
+    )
+    odd = ["", "a", "\n", "é" * 3000, "日本語 " * 40, prose(5, 9000), "x" * 200_000, texts[0], texts[400]]
+    for text, score in zip(odd, model.scores(odd), strict=True):
+        raw = text.encode()
+        d = (len(bad.compress(raw)) - len(good.compress(raw))) / max(len(raw), 1)
+        n = math.log1p(len(raw)) / 10
+        values = [1, d, d**2, d**3, d * n, d**2 * n, d**3 * n, d * n**2, d**2 * n**2, d**3 * n**2, n, n**2]
+        z = sum(w * (v - c) / s for w, v, c, s in zip(model.weights, values, model.centre, model.scale, strict=True))
+        assert abs(score - 1 / (1 + math.exp(-max(-30, min(30, z))))) < 1e-9
+    # The dictionaries are trained ones, and the difference alone tells the classes apart.
+    assert model.good[:4] == model.bad[:4] == bytes.fromhex("37a430ec")
+    sizes = np.array([model.compressors.sizes(t) for t in texts])
+    difference = (sizes[:, 2] - sizes[:, 1]) / sizes[:, 0]
+    assert np.mean((difference > np.median(difference[[0, 1, 400, 401]])) == (np.arange(500) < 300)) > 0.9
+
+
 def repeats_by_hand(raws, length):
     starts = Counter(raw[i : i + length] for raw in raws for i in range(len(raw) - length + 1))
     out = []
