@@ -52,9 +52,12 @@ ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form
 
 PIECE = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
-    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""",
+    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""",
     re.DOTALL,
 )
+# The same where a quote that nothing closes has been met: a tag ends at the next sign that ends one.
+LOOSE_PIECE = re.compile(PIECE.pattern.replace("""(?:[^>"']|"[^"]*"|'[^']*')*+""", "[^>]*+"), re.DOTALL)
+START = re.compile(r"<(?:[!?]|/?[a-zA-Z])")
 ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -104,6 +107,23 @@ def part_of(tag: str, attributes: str, aside: bool, main: bool) -> tuple[bool, b
     return hidden, aside, main
 
 
+def pieces_of(page: str) -> Iterator[re.Match]:
+    """Tags, comments and the like, in order. What begins a tag that nothing ends is text."""
+    at, pattern, last = 0, PIECE, page.rfind(">")
+    while (start := START.search(page, at)) is not None:
+        place, at = start.start(), start.end()
+        if place > last and start[0] not in ("<!", "<?"):
+            continue
+        match = pattern.match(page, place)
+        if match is None and pattern is PIECE:
+            # Looked at to the end of the page once, not once for each tag.
+            pattern = LOOSE_PIECE
+            match = pattern.match(page, place)
+        if match is not None:
+            at = match.end()
+            yield match
+
+
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page in order, those without text left out. Tags need not match: an end closes what is open
     inside of it, and one that nothing opened is passed over."""
@@ -125,7 +145,7 @@ def blocks_of(page: str) -> list[Block]:
         words, linked = [], 0
 
     at = 0
-    for match in PIECE.finditer(page):
+    for match in pieces_of(page):
         if match.start() > at and not silent and not hidden:
             text = html.unescape(page[at : match.start()])
             words.append(text)
