@@ -13,8 +13,10 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -39,9 +41,12 @@ KINDS = [*PATTERNS, "crf"]
 # Without one of these a text has no match of the first pattern.
 ASSIGN_HINTS = ("passw", "secret", "token", "api")
 LONG_HEX = re.compile(r"[0-9a-f]{16,}")
+# A text without this has no match of any pattern.
+HINT = r"[0-9a-f]{16,}|AKIA[A-Z0-9]{14,}|(?i:passw|secret|token|api_?key)"
 
 TOKEN = re.compile(r"[\w+/-]+|[^\w\s]")
 OUT, BEGIN, INSIDE = 0, 1, 2
+LONG = 12  # letters and digits from which on a token may look drawn
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -76,24 +81,24 @@ class Fit:
 
 
 def shape(token: str) -> tuple[str, ...]:
-    """What a token looks like, as names of features."""
+    """What a token looks like, as names of features. They are coarse, so that a secret of another length or alphabet
+    than those learned from shares most of them."""
     size = len(token)
-    long = f"len{min(size, 16) if size < 16 else 16 + min(size // 8, 8)}"
+    long = f"len{min(size.bit_length(), 6)}"
     if token.isalpha():
         return (long, "lower" if token.islower() else "upper" if token.isupper() else "title" if token.istitle() else "mixed")
     if size == 1:
         return (long, f"sign{token}" if token.isascii() else "sign")
     digits = sum(c.isdigit() for c in token)
     letters = sum(c.isalpha() for c in token)
+    if not digits or not letters:
+        return (long, "no digits" if letters else "no letters", f"variety{min(len(set(token)) // 4, 3)}")
     changes = sum(a.isdigit() != b.isdigit() for a, b in zip(token, token[1:], strict=False))
-    return (
-        long,
-        f"digits{4 * digits // size}",
-        f"letters{4 * letters // size}",
-        f"changes{min(changes, 6)}",
-        f"variety{min(len(set(token)) // 3, 6)}",
-        "cased" if token.lower() != token and token.upper() != token else "plain",
-    )
+    names = [long, "digits and letters", f"changes{min(changes, 4)}", f"variety{min(len(set(token)) // 4, 3)}"]
+    # What drawn letters and digits look like, and hardly any word, number or date.
+    if size >= LONG and changes >= 3 and digits + letters >= 0.8 * size:
+        names += ["drawn", f"drawn {long}"]
+    return tuple(names)
 
 
 def file_features(digits: float, signs: float, count: int) -> tuple[str, ...]:
@@ -186,15 +191,26 @@ class Field:
 
     def viterbi(self, says: np.ndarray) -> list[int]:
         """The best tags of a stretch between two tokens that are outside."""
-        best = says[0] + self.steps[OUT]
+        steps = self.steps.tolist()
+        first, *rest = says.tolist()
+        best = [first[t] + steps[OUT][t] for t in range(3)]
         back = []
-        for row in says[1:]:
-            every = best[:, None] + self.steps
-            back.append(every.argmax(0))
-            best = every.max(0) + row
-        tags = [int((best + self.steps[:, OUT]).argmax())]
+        # Three numbers at a time: plain ones are faster than arrays.
+        for row in rest:
+            pointers, after = [], []
+            for t in range(3):
+                a, b, c = best[0] + steps[0][t], best[1] + steps[1][t], best[2] + steps[2][t]
+                at, most = (0, a) if a >= b else (1, b)
+                if c > most:
+                    at, most = 2, c
+                pointers.append(at)
+                after.append(most + row[t])
+            back.append(pointers)
+            best = after
+        ends = [best[t] + steps[t][OUT] for t in range(3)]
+        tags = [ends.index(max(ends))]
         for pointers in reversed(back):
-            tags.append(int(pointers[tags[-1]]))
+            tags.append(pointers[tags[-1]])
         return tags[::-1]
 
     def spans(self, text: str) -> list[tuple[int, int, str]]:
@@ -208,8 +224,25 @@ class Field:
         return [(places[a][0], places[b - 1][1], "crf") for a, b in found]
 
 
-def labelled(text: str, spans: list[tuple[int, int, str]], size: int) -> tuple[list[str], list[int], tuple[str, ...]] | None:
-    """A stretch of a text's tokens with their tags, and the features of the whole text."""
+@dataclass(frozen=True)
+class Sample:
+    """A text that is learned from, or a window of it, and the features of the whole."""
+
+    text: str
+    files: tuple[str, ...]
+
+
+def features_of(text: str) -> tuple[str, ...]:
+    """The features of a whole text, as tagging computes them."""
+    tokens = TOKEN.findall(text)
+    digits = sum(any(c.isdigit() for c in t) for t in tokens) / max(len(tokens), 1)
+    signs = sum(len(t) == 1 and not t.isalnum() for t in tokens) / max(len(tokens), 1)
+    return file_features(digits, signs, len(tokens))
+
+
+def labelled(sample: Sample, spans: list[tuple[int, int, str]], size: int) -> tuple[list[str], list[int], tuple[str, ...]] | None:
+    """A stretch of a sample's tokens with their tags, and the features of the whole text."""
+    text = sample.text
     places = [(m.start(), m.end(), m[0]) for m in TOKEN.finditer(text)]
     if not places:
         return None
@@ -226,15 +259,15 @@ def labelled(text: str, spans: list[tuple[int, int, str]], size: int) -> tuple[l
         last = inside
     at = next((i for i, t in enumerate(tags) if t), len(tags) // 2)
     start = max(0, at - size // 2)
-    digits = sum(any(c.isdigit() for c in t) for *_, t in places) / len(places)
-    signs = sum(len(t) == 1 and not t.isalnum() for *_, t in places) / len(places)
     tokens = [t for *_, t in places][start : start + size]
-    return tokens, tags[start : start + size], file_features(digits, signs, len(places))
+    return tokens, tags[start : start + size], sample.files
 
 
-def train(texts: list[str], fit: Fit = Fit()) -> Field:
-    """Fit the field by gradient steps on the log-likelihood of the patterns' tags."""
-    samples = [s for s in (labelled(t, base_spans(t), fit.tokens) for t in texts) if s]
+def train(texts: list[str | Sample], fit: Fit = Fit(), teach: Collection[str] = tuple(PATTERNS)) -> Field:
+    """Fit the field by gradient steps on the log-likelihood of the tags that the patterns to ``teach`` give."""
+    given = [t if isinstance(t, Sample) else Sample(t, features_of(t)) for t in texts]
+    spans = [[s for s in base_spans(g.text) if s[2] in teach] for g in given]
+    samples = [s for s in (labelled(g, b, fit.tokens) for g, b in zip(given, spans, strict=True)) if s]
     counts: dict[str, int] = {}
     for tokens, tags, _ in samples:
         for i, tag in enumerate(tags):
@@ -308,27 +341,43 @@ def train(texts: list[str], fit: Fit = Fit()) -> Field:
 
 def train_on(rows: DataFrame, fit: Fit = Fit()) -> Field:
     """A field from the texts of ``rows`` (``key``, ``text``)."""
-    low = F.lower("text")
-    hint = F.col("text").rlike("[0-9a-f]{16,}") | low.contains("token") | low.contains("secret") | low.contains("passw")
     known = rows.where(F.col("text").isNotNull()).select(
-        F.xxhash64(F.col("key").cast("string"), "text").alias("mark"), "text", hint.alias("hint")
+        F.xxhash64(F.col("key").cast("string"), "text").alias("mark"), "text", F.regexp_instr("text", F.lit(HINT)).alias("place")
     )
-    counts = known.agg(F.count_if("hint").alias("with"), F.count_if(~F.col("hint")).alias("without")).first()
-    # Around the first hint, as a whole text may be of any length.
-    place = F.regexp_instr(F.col("text"), F.lit("[0-9a-f]{16,}|(?i:token|secret|passw)"))
-    window = F.col("text").substr(F.greatest(place - 600, F.lit(1)), F.lit(1600))
-    found = []
-    for some, total in ((F.col("hint"), counts["with"]), (~F.col("hint"), counts["without"])):
-        few = sparse(known.where(some), F.col("mark"), fit.rows, total)
-        few = few.groupBy("mark").agg(F.min(window).alias("text")).collect()
-        found += sorted((r.mark, r.text) for r in few)[: fit.rows]
-    return train([text for _, text in found], fit)
+    hint = F.col("place") > 0
+    counts = known.agg(F.count_if(hint).alias("with"), F.count_if(~hint).alias("without")).first()
+    few = sparse(known.where(hint), F.col("mark"), fit.rows, counts["with"]).unionByName(
+        sparse(known.where(~hint), F.col("mark"), fit.rows, counts["without"])
+    )
+    few = few.groupBy("mark").agg(F.min_by(F.struct("text", "place"), "text").alias("of")).select("mark", "of.*")
+
+    def work(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
+        # Around the first hint, as a whole text may be of any length; what the features say is of the whole.
+        for batch in batches:
+            starts = [max(0, place - 600) for place in batch["place"]]
+            windows = [t[a : a + 1600] for t, a in zip(batch["text"], starts, strict=True)]
+            files = [list(features_of(t)) for t in batch["text"]]
+            yield {"mark": batch["mark"], "hint": [p > 0 for p in batch["place"]], "text": windows, "files": files}
+
+    found = map_rows(few, work, "mark bigint, hint boolean, text string, files array<string>").collect()
+    samples = []
+    for wanted in (True, False):
+        some = sorted(((r.mark, r.text, r.files) for r in found if r.hint == wanted))[: fit.rows]
+        samples += [Sample(text, tuple(files)) for _, text, files in some]
+    return train(samples, fit)
 
 
 def all_spans(field: Field, text: str) -> tuple[list, list]:
     """The patterns' spans, and those together with the field's that no pattern's span covers."""
     base = base_spans(text)
-    more = [s for s in field.spans(text) if not any(b[0] <= s[0] and s[1] <= b[1] for b in base)]
+    starts = [b[0] for b in base]
+    reach = list(accumulate((b[1] for b in base), max))  # the largest end up to each of them
+
+    def covered(span: tuple[int, int, str]) -> bool:
+        before = bisect_right(starts, span[0])
+        return before > 0 and reach[before - 1] >= span[1]
+
+    more = [s for s in field.spans(text) if not covered(s)]
     return base, sorted([*base, *more], key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
