@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -135,6 +136,51 @@ def test_op2_patterns_and_field(spark, corpus, texts):
     assert found == sorted(want)
 
 
+def drawn(draw, size, letters="ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"):
+    return "".join(draw.choice(letters) for _ in range(size))
+
+
+def test_op2_field_finds_a_kind_that_it_was_not_taught():
+    draw = random.Random(31)
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    kinds = [
+        lambda: f"key {drawn(draw, draw.choice([32, 40, 64]), '0123456789abcdef')}", lambda: f'token = "{drawn(draw, 24)}"',
+        lambda: f"password: {drawn(draw, 16)}",
+    ]
+    texts = [f"{prose(n, 20)} {kinds[n % 3]()} {prose(900 + n, 20)}" for n in range(200)]
+    plain = [f"{prose(2000 + n, 40)} 2024-03-{n % 28 + 1:02d} call 555-01{n % 90:02d} for order {n * 7919} in A4, v2.1" for n in range(200)]
+    field = secret_scan.train(texts + plain, teach=["hex", "assign"])
+    found = false = 0
+    for n in range(100):
+        secret = "AKIA" + drawn(draw, 16, upper)
+        text = f"{prose(5000 + n, 25)} {secret} {prose(6000 + n, 25)}"
+        at = text.index(secret)
+        found += any(a < at + len(secret) and at < b for a, b, _ in field.spans(text))
+        false += len(field.spans(f"{prose(7000 + n, 40)} on 2023-11-{n % 28 + 1:02d} for {n * 31} people in room B12"))
+    assert found >= 80 and false <= 2
+
+
+def test_op2_many_secrets_in_a_text():
+    draw = random.Random(32)
+    lines = [f"token = {drawn(draw, 20)} and {drawn(draw, 32, '0123456789abcdef')}" for _ in range(4000)]
+    texts = [f"{prose(n, 20)} {line}" for n, line in enumerate(lines[:150])] + [prose(3000 + n, 40) for n in range(150)]
+    field = secret_scan.train(texts)
+    start = time.perf_counter()
+    base, spans = secret_scan.all_spans(field, "\n".join(lines))
+    assert time.perf_counter() - start < 3 and len(base) == 8000
+    # What a pattern's span covers is not said again, by the plain rule.
+    more = [s for s in field.spans("\n".join(lines)) if not any(b[0] <= s[0] and s[1] <= b[1] for b in base[:400])]
+    assert set(base) <= set(spans) and {s for s in spans if s[2] == "crf" and s[0] < base[399][0]} == {s for s in more if s[0] < base[399][0]}
+
+
+def test_op2_hint_is_where_patterns_match():
+    draw = random.Random(33)
+    parts = ["AKIA", "api_key", "APIKEY", "Token", "passwd", "secret", " = ", ":", "x" * 12, "0123456789abcdef", "Q1" * 8, " ", "the"]
+    for _ in range(3000):
+        text = "".join(draw.choices(parts, k=draw.randint(1, 6)))
+        assert not secret_scan.base_spans(text) or re.search(secret_scan.HINT, text)
+
+
 def test_op2_viterbi_is_exact():
     draw = np.random.default_rng(2)
     field = secret_scan.Field({}, draw.normal(size=(3, 3)), frozenset())
@@ -165,6 +211,17 @@ def test_op2_field_finds_more_than_the_patterns():
     assert secret_scan.redacted("ab cd ef", [(0, 2, "hex"), (1, 5, "crf")]) == "[secret] ef"
 
 
+def test_op5_tags_that_nothing_ends():
+    words = " ".join(["the story of the house by the river and of the people in it"] * 8)
+    for junk in ("<a " * 350_000, '<a "' * 250_000, '<a "' * 200_000 + "'>", "<a '" * 100_001 + '">', "<p" * 400_000, "< <3 <" * 100_000):
+        start = time.perf_counter()
+        blocks = html_text.blocks_of(f"<article><p>{words}</p></article>{junk}")
+        assert time.perf_counter() - start < 3 and blocks[0].text == words
+    # Pages whose tags all end are read as ever, quotes or not.
+    page = """<p title="a > b">one</p><p title='c > "d'>two</p><img alt=">"><!-- <p>no</p> --><p>three</p><br/>x < y <3 <"""
+    assert [b.text for b in html_text.blocks_of(page)] == ["one", "two", "three", "x < y <3 <"]
+
+
 def test_op3_accuracy_and_rules(spark, corpus, texts):
     found = QUERIES["op3_language_id"](spark, corpus).collect()
     assert len(found) == len(texts)
