@@ -41,8 +41,9 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of the documents of a near-duplicate group the first by ``doc_id`` stays. Of repeated or null ids in a group
-    one row stays. Documents link if the Jaccard similarity of their five-word shingles is 0.8 or more; SimHashes of
-    such pairs are too far apart for the operator's cells, so candidates come from MinHash bands."""
+    one row stays. Documents whose SimHashes differ in two bits at most, found as the operator finds them, and further
+    ones that share a MinHash band link if the Jaccard similarity of their five-word shingles is 0.8 or more: SimHashes
+    of such pairs are often too far apart for the operator's cells."""
     rows = numbered(docs)
     found = near.near_duplicates(rows.select(F.struct("doc_id", "row").alias("at"), "row", "text"))
     kept = found.where(F.col("at").eqNullSafe(F.col("component"))).select(F.col("at.row").alias("row"))

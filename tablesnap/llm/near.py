@@ -1,15 +1,19 @@
-"""Near-duplicates by the exact Jaccard similarity of word shingles, found through MinHash bands.
+"""Near-duplicates by SimHash, linked by the exact Jaccard similarity of word shingles.
 
-Texts of the same words are one node. A node's shingles give ``BANDS`` band values of ``ROWS`` minima each; nodes that
-share a band value share a cell, and a pair links if the similarity of its whole shingle sets is high enough. A pair of
-similarity s shares no cell with probability (1 - s^ROWS)^BANDS, which is 4e-8 for 0.8.
+Texts of the same words are one node. Nodes whose SimHashes differ in two bits at most, which the cells and crowds of
+``simhash`` find, are compared first, and a pair links if the similarity of its whole shingle sets is high enough.
 
+Links whose SimHashes are farther apart are found through MinHash: a node's shingles give ``BANDS`` band values of
+``ROWS`` minima each, and nodes that share a band value share a cell. A pair of similarity s shares no cell with
+probability (1 - s^ROWS)^BANDS, which is 4e-8 for 0.8.
 No width of the segment-popcount grid of ``simhash`` does this: SimHashes of pairs with similarity 0.8 differ in up to
 some eleven of 64 bits, and cells that are exact for so many are either closed in a few bits only or thousands for each text.
 
-What is wanted is which nodes are connected, not all links. So every node is compared with the smallest node of each of
-its cells, its pivot, first. Of a cell's other pairs only those can still matter whose nodes are not known to be
-connected through pivots; they get different labels. The nodes of cells with several labels are looked at in one more step,
+What is wanted is which nodes are connected, not all links. So nodes are next compared with one node of each of their
+cells, the pivot, and only with one that they are not known to be connected with: at first with the node that
+shares most cells with others, as the origin of a group of copies does, then with others in turn. Connected nodes
+have one label, and what is left of a large group after that is few labels, not all its pairs. The nodes of
+cells with several labels are looked at in one more step,
 by the prefix filter: in any common order of all shingles, a pair of similarity t shares one of the first n - ceil(t n) + 1
 of a node's n shingles. In the order taken here those come first that only nodes of one label have, then the rarest. So a
 node of which more than a share 1 - t is its own, or its label's own, has no partner and is left out; the others meet
@@ -24,6 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablesnap.llm import simhash
 from tablesnap.llm.common import cut, map_rows, salted
 from tablesnap.llm.links import components
 from tablesnap.llm.repeats import marked
@@ -31,6 +36,7 @@ from tablesnap.llm.repeats import marked
 BANDS, ROWS = 24, 3
 PART = 512  # shingles that are multiplied at a time
 PEELS = 2  # times that nodes without a partner are left out by what only they have
+ROUNDS = 4  # times that nodes are compared with pivots
 TOGETHER = 1000  # pairs of a node that are compared in one task
 
 _draw = np.random.default_rng(11)
@@ -88,13 +94,31 @@ def scored(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return cut(both.select("u", "v", similarity(F.col("one"), F.col("other")).alias("similarity")))
 
 
-def connected(stars: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
-    """A ``label`` for each of the nodes; nodes of one label are connected, those of different ones may be."""
-    links = stars.where(F.col("similarity") >= least).groupBy(F.col("u").alias("node")).agg(F.min("v").alias("label"))
-    further = links.select(F.col("node").alias("label"), F.col("label").alias("further"))
-    for _ in range(2):
-        links = links.join(further, "label", "left").select("node", F.coalesce("further", "label").alias("label"))
-    return nodes.join(links, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
+def similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Those of the pairs that link."""
+    return scored(pairs, sets).where(F.col("similarity") >= least).select("u", "v")
+
+
+def connected(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """The labels of nodes after more links ``u``, ``v``; nodes of one label are connected, those of different ones
+    may be. A label is a node's number."""
+    ends = salted(links, labels.select(F.col("node").alias("u"), F.col("label").alias("one")), "u", "v")
+    ends = salted(ends, labels.select(F.col("node").alias("v"), F.col("label").alias("other")), "v", "u")
+    roots = components(ends.select(F.col("one").alias("u"), F.col("other").alias("v")))
+    roots = roots.select(F.col("node").alias("label"), "root")
+    named = salted(labels, roots, "label", "node", "left")
+    return cut(named.select("node", F.coalesce("root", "label").alias("label")))
+
+
+def with_pivots(placed: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """The pairs of nodes ``u`` with pivots ``v`` of their cells that have another label; the first turn's pivots are
+    those that share most cells with others, the next ones' are drawn."""
+    at = placed.join(labels, "node")
+    order = F.struct("weight" if turn == 0 else F.xxhash64("node", "cell", F.lit(turn)), "node")
+    pivots = at.groupBy("cell").agg(F.max_by(F.struct("node", "label"), order).alias("pivot"))
+    pivots = pivots.select("cell", F.col("pivot.node").alias("pivot"), F.col("pivot.label").alias("known"))
+    pairs = salted(at, pivots, "cell", "node").where("label <> known")
+    return pairs.groupBy(F.col("node").alias("u"), F.col("pivot").alias("v")).agg(F.max("many").alias("many"))
 
 
 def prefix(size: Column, least: float) -> Column:
@@ -140,13 +164,28 @@ def rare_pairs(nodes: DataFrame, sets: DataFrame, labels: DataFrame, least: floa
     return both.groupBy(F.col("node_u").alias("u"), F.col("node_v").alias("v")).agg(F.max("df").alias("many"))
 
 
-def linked(cells: DataFrame, texts: DataFrame, words_each: int, least: float) -> DataFrame:
-    """Edges ``u``, ``v`` that connect all nodes which share a cell and are at least ``least`` similar."""
-    sizes = cut(cells.groupBy("cell").agg(F.count("*").alias("many"), F.min("node").alias("pivot")).where("many > 1"))
+def simhash_pairs(nodes: DataFrame, bits: int) -> DataFrame:
+    """Pairs ``u``, ``v`` that connect all nodes (``row``, ``fp``) whose SimHashes differ in at most ``bits`` bits."""
+    prints = cut(nodes.groupBy("fp").agg(F.min("row").alias("first"), F.count("*").alias("n")))
+    same = salted(nodes, prints.where("n > 1").select("fp", "first"), "fp", "row").where("row <> first")
+    pairs = simhash.linked(prints.select("fp"), bits).withColumnsRenamed({"u": "fp_u", "v": "fp_v"})
+    for end in ("u", "v"):
+        ends = prints.select(F.col("fp").alias(f"fp_{end}"), F.col("first").alias(end))
+        pairs = salted(pairs, ends, f"fp_{end}", "fp_v" if end == "u" else "fp_u")
+    return same.select(F.col("row").alias("u"), F.col("first").alias("v")).unionByName(pairs.select("u", "v"))
+
+
+def linked(cells: DataFrame, near: DataFrame, texts: DataFrame, words_each: int, least: float) -> DataFrame:
+    """Edges ``u``, ``v`` that connect all nodes which share a cell or are a pair of ``near``, and are at least
+    ``least`` similar."""
+    sizes = cut(cells.groupBy("cell").agg(F.count("*").alias("many")).where("many > 1"))
     # Most cells have one node. They are left out where they arise, without moving them.
     placed = marked(cells, sizes.select("cell"), ["cell"]).where("maybe").drop("maybe")
     placed = cut(salted(placed, sizes, "cell", "node"))
-    named = cut(placed.select("node").distinct())
+    weights = cut(placed.groupBy("node").agg(F.sum("many").alias("weight")))
+    near = cut(near)
+    ends = near.select(F.explode(F.array("u", "v")).alias("node"))
+    named = cut(weights.select("node").unionByName(ends).distinct())
 
     def work(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
         for batch in batches:
@@ -156,23 +195,33 @@ def linked(cells: DataFrame, texts: DataFrame, words_each: int, least: float) ->
     wanted = marked(texts.withColumnRenamed("row", "node"), named, ["node"]).where("maybe").join(named, "node", "left_semi")
     sets = cut(map_rows(wanted.select("node", "text"), work, "node bigint, hashes array<bigint>"))
 
-    stars = placed.where("node > pivot").groupBy(F.col("node").alias("u"), F.col("pivot").alias("v"))
-    stars = scored(stars.agg(F.max("many").alias("many")), sets)
-    labels = cut(connected(stars, named, least))
+    times = near.groupBy("v").agg(F.count("*").alias("many"))
+    found = similar(salted(near, times, "v", "u"), sets, least)
+    labels = connected(found, named.select("node", F.col("node").alias("label")))
+    # A cell's pairs with its pivot are settled, so cells of two are after the first turn.
+    open_cells = placed.join(weights, "node")
+    for turn in range(ROUNDS):
+        pairs = cut(with_pivots(open_cells, labels, turn))
+        if pairs.isEmpty():
+            break
+        links = similar(pairs, sets, least)
+        labels = connected(links, labels)
+        found = found.unionByName(links)
+        open_cells = placed.where("many > 2")
 
-    # A cell's pairs with its pivot are settled, so cells of two are.
     at = placed.where("many > 2").join(labels, "node")
     mixed = at.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
     unsettled = cut(salted(at, mixed.select("cell"), "cell", "node").select("node").distinct())
     pairs = cut(rare_pairs(unsettled, sets, labels, least))
-    found = stars.unionByName(scored(pairs, sets))
-    return found.where(F.col("similarity") >= least).select("u", "v").distinct()
+    return found.unionByName(similar(pairs, sets, least)).distinct()
 
 
-def near_duplicates(texts: DataFrame, words_each: int = 5, least: float = 0.8) -> DataFrame:
+def near_duplicates(texts: DataFrame, words_each: int = 5, least: float = 0.8, bits: int = 2) -> DataFrame:
     """``at`` and ``component`` (the smallest ``at`` that can be reached over links, its own included) of each row of
     ``texts``, which has ``at``, ``row`` (a distinct number, the same at every reading) and ``text``.
 
+    Texts link if the Jaccard similarity of their shingles of ``words_each`` words is ``least`` or more. Those whose
+    SimHashes differ in at most ``bits`` bits are compared first.
     Null texts, empty ones and such without a word are one node. Texts shorter than a shingle are a shingle.
     """
 
@@ -184,19 +233,21 @@ def near_duplicates(texts: DataFrame, words_each: int = 5, least: float = 0.8) -
             yield {
                 "row": batch["row"],
                 "same": [xxhash.xxh3_128_digest(b" ".join(w)) for w in words],
+                "fp": [simhash.fingerprint_of(w) for w in words],
                 "bands": [bands_of(shingles(w, words_each)) for w in words],
             }
 
-    prints = cut(map_rows(texts.select("row", "text"), work, "row bigint, same binary, bands array<bigint>"))
+    prints = cut(map_rows(texts.select("row", "text"), work, "row bigint, same binary, fp bigint, bands array<bigint>"))
     # A node is the first row of its words. Most rows have words of their own, and are told nothing.
     copies = prints.groupBy("same").agg(F.min("row").alias("node"), F.count("*").alias("n")).where("n > 1")
     known = salted(prints.select("row", "same"), copies.select("same", "node"), "same", "row", "left")
     known = cut(known.select("row", F.coalesce("node", "row").alias("node")))
     later = known.where("row > node").select("row")
-    split = marked(prints.select("row", "bands"), later, ["row"])
+    split = marked(prints.select("row", "fp", "bands"), later, ["row"])
     firsts = split.where("NOT maybe").unionByName(split.where("maybe").join(later, "row", "left_anti"))
     cells = firsts.select(F.col("row").alias("node"), F.explode("bands").alias("cell"))
-    roots = components(linked(cells, texts.select("row", "text"), words_each, least))
+    near = simhash_pairs(firsts.select("row", "fp"), bits)
+    roots = components(linked(cells, near, texts.select("row", "text"), words_each, least))
     named = salted(known, roots, "node", "row", "left").select("row", F.coalesce("root", "node").alias("root"))
     rows = cut(texts.select("at", "row").join(named, "row"))
     groups = rows.groupBy("root").agg(F.min("at").alias("component"), F.count("*").alias("n")).where("n > 1")

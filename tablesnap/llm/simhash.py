@@ -32,9 +32,14 @@ BANDS, CLOSED = 5, 3
 
 def fingerprint(text: str, words_each: int = 3, seed: int = 42) -> int:
     """The SimHash of a text as a signed 64-bit integer."""
+    # Bytes: A-Z only, ASCII white space only.
+    return fingerprint_of(text.encode("utf-8", "replace").lower().split(), words_each, seed)
+
+
+def fingerprint_of(words: list[bytes], words_each: int = 3, seed: int = 42) -> int:
+    """The SimHash of a text's lower-cased words."""
     import xxhash
 
-    words = text.encode("utf-8", "replace").lower().split()  # bytes: A-Z only, ASCII white space only
     if not words:
         return 0
     size = min(words_each, len(words))

@@ -91,6 +91,57 @@ def test_near_dedup_links_from_four_fifths(spark, tmp_path):
     assert found == dict(enumerate(root))
 
 
+def documents(spark, folder, texts):
+    docs = spark.createDataFrame(
+        [(i, t, "en", "src0", len(t)) for i, t in enumerate(texts)],
+        "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    )
+    docs.repartition(3).write.parquet(f"{folder}/documents.parquet")
+    return docs_of(spark, folder)
+
+
+def test_near_dedup_links_by_simhash(spark, tmp_path, monkeypatch):
+    draw, texts = random.Random(5), []
+    for n in range(4):
+        base = [f"w{draw.randrange(4000)}" for _ in range(400)]
+        texts += [" ".join(base)] + [" ".join([*base, *(f"a{n}x{i}" for i in range(k))]) for k in range(1, 6)]
+    texts += [" ".join(f"v{draw.randrange(4000)}" for _ in range(80)) for _ in range(5)]
+    root = groups_by_hand(sorted({simhash_by_hand(t) for t in texts}))
+    want = {}
+    for i, t in enumerate(texts):
+        want.setdefault(root[simhash_by_hand(t)], i)
+    assert 9 <= len(want) < 20
+    linked = near.linked
+    monkeypatch.setattr(near, "linked", lambda cells, *more: linked(cells.limit(0), *more))  # no MinHash bands
+    kept = STAGES["SimHash near-dedup"](spark, documents(spark, tmp_path, texts), str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(want.values())
+
+
+def test_near_dedup_of_a_group_forms_few_pairs(spark, tmp_path, monkeypatch):
+    draw, texts = random.Random(13), []
+    for n in range(160):
+        words = [f"c{i}" for i in range(300)]
+        for at in draw.sample(range(300), 1 + n % 5):
+            words[at] = f"d{n}x{at}"
+        texts.append(" ".join(words))
+    sets = [shingles_by_hand(t) for t in texts]
+    links = {(i, j) for i in range(160) for j in range(i) if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8}
+    pairs, scored = [], near.scored
+
+    def counted(some, of):
+        pairs.append(some.count())
+        return scored(some, of)
+
+    monkeypatch.setattr(near, "scored", counted)
+    kept = STAGES["SimHash near-dedup"](spark, documents(spark, tmp_path, texts), str(tmp_path)).collect()
+    root = list(range(160))
+    for i, j in links:
+        low, high = sorted((root[i], root[j]))
+        root = [low if r == high else r for r in root]
+    assert sorted(r.doc_id for r in kept) == sorted(set(root))
+    assert sum(pairs) < 160 * 24 < len(links)
+
+
 def test_repeats_are_cut(spark, corpus, texts):
     kept = STAGES["suffix-array dedup"](spark, docs_of(spark, corpus), corpus).collect()
     want = [w for (_, t), w in zip(texts, repeats_by_hand([(t or "").encode() for _, t in texts], 400), strict=True)]
