@@ -16,6 +16,7 @@ from tablesnap.llm import language, near, packing, repeats, secret_scan
 from tablesnap.llm.common import map_rows, ready_checkpoints
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+PASSAGE_WORDS = 50  # many passages of so many words have fewer than 400 bytes
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -51,10 +52,10 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut every passage of 400 bytes or more that occurs elsewhere out of all texts; a letter that is cut in two
-    goes. Documents of which nothing remains go, too."""
+    """Cut every passage of 400 bytes or more, or of ``PASSAGE_WORDS`` words or more, that occurs elsewhere out of
+    all texts; a letter that is cut in two goes. Documents of which nothing remains go, too."""
     rows = numbered(docs)
-    changed = repeats.without_repeats(rows, "row", "text", as_text=True)
+    changed = repeats.without_repeats(rows, "row", "text", as_text=True, words=PASSAGE_WORDS)
     changed = changed.where("n_removed > 0").select("row", "kept")
     # Documents that certainly have no repeat pass without being moved.
     split = repeats.marked(rows, changed, ["row"])

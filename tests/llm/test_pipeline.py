@@ -142,6 +142,22 @@ def test_near_dedup_of_a_group_forms_few_pairs(spark, tmp_path, monkeypatch):
     assert sum(pairs) < 160 * 24 < len(links)
 
 
+def test_passages_of_fifty_words_are_cut(spark, tmp_path):
+    draw = random.Random(17)
+
+    def words(n):
+        return [draw.choice("abcdefgh") + str(draw.randrange(1000)) for _ in range(n)]
+
+    long, short = words(60), words(49)
+    assert len(" ".join(long)) < 400
+    parts = [(words(70), long, words(30)), (words(20), long, words(90)), (words(60), short, words(60)), (words(40), short, words(50))]
+    texts = [" ".join(a) + "\n" + (" " if n else "  ").join(p) + " " + " ".join(b) for n, (a, p, b) in enumerate(parts)]
+    kept = STAGES["suffix-array dedup"](spark, documents(spark, tmp_path, texts), str(tmp_path)).collect()
+    found = {r.doc_id: r.text.split() for r in kept}
+    assert found == {n: [*a, *(p if p is short else []), *b] for n, (a, p, b) in enumerate(parts)}
+    assert all(r.n_chars == len(r.text) for r in kept) and {r.text for r in kept} >= set(texts[2:])
+
+
 def test_repeats_are_cut(spark, corpus, texts):
     kept = STAGES["suffix-array dedup"](spark, docs_of(spark, corpus), corpus).collect()
     want = [w for (_, t), w in zip(texts, repeats_by_hand([(t or "").encode() for _, t in texts], 400), strict=True)]
