@@ -11,7 +11,7 @@ some eleven of 64 bits, and cells that are exact for so many are either closed i
 
 What is wanted is which nodes are connected, not all links. So nodes are next compared with one node of each of their
 cells, the pivot, and only with one that they are not known to be connected with: at first with the node that
-shares most cells with others, as the origin of a group of copies does, then with others in turn. Connected nodes
+shares cells most often, as the origin of a group of copies does, then with one that is drawn. Connected nodes
 have one label, and what is left of a large group after that is few labels, not all its pairs. The nodes of
 cells with several labels are looked at in one more step,
 by the prefix filter: in any common order of all shingles, a pair of similarity t shares one of the first n - ceil(t n) + 1
@@ -36,7 +36,7 @@ from tablesnap.llm.repeats import marked
 BANDS, ROWS = 24, 3
 PART = 512  # shingles that are multiplied at a time
 PEELS = 2  # times that nodes without a partner are left out by what only they have
-ROUNDS = 4  # times that nodes are compared with pivots
+ROUNDS = 2  # times that nodes are compared with pivots
 TOGETHER = 1000  # pairs of a node that are compared in one task
 
 _draw = np.random.default_rng(11)
@@ -100,21 +100,29 @@ def similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 
 
 def connected(links: DataFrame, labels: DataFrame) -> DataFrame:
-    """The labels of nodes after more links ``u``, ``v``; nodes of one label are connected, those of different ones
-    may be. A label is a node's number."""
-    ends = salted(links, labels.select(F.col("node").alias("u"), F.col("label").alias("one")), "u", "v")
-    ends = salted(ends, labels.select(F.col("node").alias("v"), F.col("label").alias("other")), "v", "u")
-    roots = components(ends.select(F.col("one").alias("u"), F.col("other").alias("v")))
-    roots = roots.select(F.col("node").alias("label"), "root")
-    named = salted(labels, roots, "label", "node", "left")
-    return cut(named.select("node", F.coalesce("root", "label").alias("label")))
+    """The labels of nodes after more links ``u``, ``v``, each with the number of its nodes as ``rank``. Nodes of one label
+    are connected, those of different ones may be. A label goes over to the one of highest rank that it is linked with."""
+
+    def ends(end: str) -> DataFrame:
+        return labels.select(F.col("node").alias(end), F.struct("rank", "label").alias(f"at_{end}"))
+
+    both = salted(salted(links, ends("u"), "u", "v"), ends("v"), "v", "u").where("at_u.label <> at_v.label")
+    both = both.select(F.least("at_u", "at_v").alias("low"), F.greatest("at_u", "at_v").alias("high"))
+    steps = both.groupBy(F.col("low.label").alias("label")).agg(F.max("high").alias("high"))
+    steps = cut(steps.select("label", F.col("high.label").alias("to")))
+    further = steps.select(F.col("label").alias("to"), F.col("to").alias("further"))
+    for _ in range(2):
+        steps = steps.join(further, "to", "left").select("label", F.coalesce("further", "to").alias("to"))
+    named = salted(labels, steps, "label", "node", "left").select("node", F.coalesce("to", "label").alias("label"))
+    named = cut(named)
+    return salted(named, named.groupBy("label").agg(F.count("*").alias("rank")), "label", "node")
 
 
 def with_pivots(placed: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
     """The pairs of nodes ``u`` with pivots ``v`` of their cells that have another label; the first turn's pivots are
-    those that share most cells with others, the next ones' are drawn."""
+    those of highest rank, the next ones' are drawn."""
     at = placed.join(labels, "node")
-    order = F.struct("weight" if turn == 0 else F.xxhash64("node", "cell", F.lit(turn)), "node")
+    order = F.struct("rank" if turn == 0 else F.xxhash64("node", "cell", F.lit(turn)), "node")
     pivots = at.groupBy("cell").agg(F.max_by(F.struct("node", "label"), order).alias("pivot"))
     pivots = pivots.select("cell", F.col("pivot.node").alias("pivot"), F.col("pivot.label").alias("known"))
     pairs = salted(at, pivots, "cell", "node").where("label <> known")
@@ -182,10 +190,12 @@ def linked(cells: DataFrame, near: DataFrame, texts: DataFrame, words_each: int,
     # Most cells have one node. They are left out where they arise, without moving them.
     placed = marked(cells, sizes.select("cell"), ["cell"]).where("maybe").drop("maybe")
     placed = cut(salted(placed, sizes, "cell", "node"))
-    weights = cut(placed.groupBy("node").agg(F.sum("many").alias("weight")))
     near = cut(near)
-    ends = near.select(F.explode(F.array("u", "v")).alias("node"))
-    named = cut(weights.select("node").unionByName(ends).distinct())
+    ends = near.select(F.explode(F.array("u", "v")).alias("node"), F.lit(0).cast("long").alias("many"))
+    # At first a node's rank is how often it shares a cell.
+    labels = placed.select("node", "many").unionByName(ends).groupBy("node").agg(F.sum("many").alias("rank"))
+    labels = cut(labels.withColumn("label", F.col("node")))
+    named = labels.select("node")
 
     def work(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
         for batch in batches:
@@ -196,19 +206,16 @@ def linked(cells: DataFrame, near: DataFrame, texts: DataFrame, words_each: int,
     sets = cut(map_rows(wanted.select("node", "text"), work, "node bigint, hashes array<bigint>"))
 
     times = near.groupBy("v").agg(F.count("*").alias("many"))
-    found = similar(salted(near, times, "v", "u"), sets, least)
-    labels = connected(found, named.select("node", F.col("node").alias("label")))
-    # A cell's pairs with its pivot are settled, so cells of two are after the first turn.
-    open_cells = placed.join(weights, "node")
-    for turn in range(ROUNDS):
-        pairs = cut(with_pivots(open_cells, labels, turn))
-        if pairs.isEmpty():
-            break
-        links = similar(pairs, sets, least)
-        labels = connected(links, labels)
+    pairs = salted(near, times, "v", "u").select("u", "v", "many").unionByName(with_pivots(placed, labels, 0))
+    found = similar(pairs.groupBy("u", "v").agg(F.max("many").alias("many")), sets, least)
+    labels = cut(connected(found, labels))
+    # A cell's pairs with its pivot are settled, so cells of two are.
+    for turn in range(1, ROUNDS):
+        links = similar(cut(with_pivots(placed.where("many > 2"), labels, turn)), sets, least)
+        labels = cut(connected(links, labels))
         found = found.unionByName(links)
-        open_cells = placed.where("many > 2")
 
+    labels = labels.select("node", "label")
     at = placed.where("many > 2").join(labels, "node")
     mixed = at.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
     unsettled = cut(salted(at, mixed.select("cell"), "cell", "node").select("node").distinct())
