@@ -30,6 +30,7 @@ from tablesnap.llm.common import map_rows, table
 from tablesnap.llm.tokens import ChunkCache, Recent, special_tokens
 
 PAIRS_KEPT = 1_000_000
+NO_RANK = 1 << 60  # of two letters or tokens that are not merged
 
 
 def byte_letters() -> list[str]:
@@ -72,17 +73,24 @@ class TrieEncoder:
 
     def merged(self, word: str) -> list[str]:
         """The tokens of a short word, merge by merge."""
-        parts = list(word)
-        while len(parts) > 1:
-            rank, at = min((self.rank.get(p, 1 << 60), i) for i, p in enumerate(zip(parts, parts[1:], strict=False)))
-            if rank == 1 << 60:
-                break
-            parts[at : at + 2] = ["".join(parts[at : at + 2])]
+        parts, rank = list(word), self.rank.get
+        # The ranks of neighbours go along with the parts: a merge changes those beside it only.
+        ranks = [rank(p, NO_RANK) for p in zip(parts, parts[1:], strict=False)]
+        while ranks and (least := min(ranks)) < NO_RANK:
+            at = ranks.index(least)
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank((parts[at - 1], parts[at]), NO_RANK)
+            if at < len(ranks):
+                ranks[at] = rank((parts[at], parts[at + 1]), NO_RANK)
         return parts
 
     def stays(self, before: str, token: str) -> bool:
         """Whether the two tokens stay as they are side by side; ``before`` may be empty."""
-        stays = token in self.ids and self.merged(before + token) == ([before, token] if before else [token])
+        # Tokens that merge side by side cannot stay, whatever else is merged first.
+        stays = token in self.ids and (before, token) not in self.rank
+        stays = stays and self.merged(before + token) == ([before, token] if before else [token])
         if self.kept >= PAIRS_KEPT:
             self.kept = 0
             for row in self.fits.values():
@@ -107,10 +115,7 @@ class TrieEncoder:
             shared = shared_prefix(before, word)
             del lasts[shared + 1 :], rows[shared + 1 :]
             for depth in range(shared + 1, size + 1):
-                start = depth
-                least = depth - longest if depth > longest else 0
-                while start > least:
-                    start -= 1
+                for start in range(depth - 1, depth - longest - 1 if depth > longest else -1, -1):
                     token = word[start:depth]
                     stays = rows[start].get(token)
                     if stays or stays is None and self.stays(lasts[start], token):
@@ -171,7 +176,8 @@ class TextCodec:
     def encode(self, texts: Iterable[str]) -> Iterator[tuple[bytes, str]]:
         """For each text its packed ids, and the text decoded from them."""
         for found in self.cache.values(texts):
-            yield b"".join([v[0] for v in found]), b"".join([v[1] for v in found]).decode("utf-8", "replace")
+            ids, raw = zip(*found, strict=True) if found else ((), ())
+            yield b"".join(ids), b"".join(raw).decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=2)

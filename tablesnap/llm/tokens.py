@@ -84,10 +84,11 @@ class ChunkCache:
 
     def looked_up(self, group: list[list[str]]) -> Iterator[list]:
         known, special = self.known, self.special
-        unknown = {c for parts in group for c in parts if c not in known}
-        known.load(unknown.difference(special) if special else unknown, group)
+        distinct = set().union(*group)
+        unknown = {c for c in distinct if c not in known}
+        known.load(unknown.difference(special) if special else unknown, [distinct])
         for parts in group:
             try:
-                yield [known[c] for c in parts]
+                yield list(map(known.__getitem__, parts))
             except KeyError:
                 yield [known[c] if c not in special else special[c] for c in parts]
