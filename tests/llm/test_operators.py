@@ -392,6 +392,29 @@ def test_op6_random_texts():
         assert fast(text).tolist() == want
 
 
+def merged_by_hand(rank, word):
+    parts = list(word)
+    while len(parts) > 1:
+        least, at = min((rank.get(p, 1 << 60), i) for i, p in enumerate(zip(parts, parts[1:], strict=False)))
+        if least == 1 << 60:
+            break
+        parts[at : at + 2] = ["".join(parts[at : at + 2])]
+    return parts
+
+
+def test_op6_merges_and_what_stays(monkeypatch):
+    encoder, draw = bpe.TrieEncoder(BYTE_BPE), random.Random(66)
+    short = sorted(t for t in encoder.ids if len(t) < 5)
+    words = ["", "a", "aaaaaaa", "".join(short[:9])] + ["".join(draw.choices(short, k=draw.randint(1, 6))) for _ in range(1500)]
+    assert [encoder.merged(w) for w in words] == [merged_by_hand(encoder.rank, w) for w in words]
+    pairs = list(encoder.rank)[:300] + [("", t) for t in short[:300]] + [tuple(draw.choices(short, k=2)) for _ in range(1500)]
+    want = [merged_by_hand(encoder.rank, a + b) == ([a, b] if a else [b]) for a, b in pairs]
+    assert [encoder.stays(a, b) for a, b in pairs] == want and 300 < sum(want) <= len(want) - 300
+    # Two tokens that merge with each other are told apart without merging anything.
+    monkeypatch.setattr(encoder, "merged", None)
+    assert not any(encoder.stays(a, b) for a, b in list(encoder.rank)[::500])
+
+
 def test_op7_rows(spark, corpus, texts):
     found = QUERIES["op7_quality_scores"](spark, corpus).collect()
     assert len(found) == len(texts)
@@ -501,6 +524,19 @@ def test_op8_passage_of_many_texts(spark):
     assert len(found) == 3000 and all(500 <= r.n_removed <= 520 and r.n_spans == 1 for r in found)
 
 
+def test_op8_runs_move_without_their_cores(spark):
+    names = ["core_hi", "core_lo", "hull_hi", "hull_lo"]
+    # Two equal hulls; a bucket whose hulls differ in one half only, and one that does so in the other; a lone run.
+    keys = [(1, 1, 5, 5), (1, 1, 5, 5), (2, 2, 6, 6), (2, 2, 6, 7), (3, 3, 8, 9), (3, 3, 9, 9), (4, 4, 1, 1)]
+    rows = [(i, 1, 10 * i, 10 * i + 3, 10 * i, *k, 1) for i, k in enumerate(keys)]
+    runs = spark.createDataFrame(rows, f"{repeats.RUN}, times bigint")
+    repeated, open_runs = repeats.settle(runs)
+    assert sorted(r.row for r in repeated.collect()) == [0, 1]
+    assert sorted(r.row for r in open_runs.collect()) == [2, 3, 4, 5]
+    moved = [x for x in repeated._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in x]
+    assert moved and not any(n in x for x in moved for n in names[:2])
+
+
 def test_op8_what_is_left(spark, corpus, texts):
     found = QUERIES["op8_repeated_passages"](spark, corpus)
     assert found.columns[:5] == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
