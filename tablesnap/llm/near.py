@@ -99,9 +99,10 @@ def similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return scored(pairs, sets).where(F.col("similarity") >= least).select("u", "v")
 
 
-def connected(links: DataFrame, labels: DataFrame) -> DataFrame:
-    """The labels of nodes after more links ``u``, ``v``, each with the number of its nodes as ``rank``. Nodes of one label
-    are connected, those of different ones may be. A label goes over to the one of highest rank that it is linked with."""
+def connected(links: DataFrame, labels: DataFrame, ranked: bool) -> DataFrame:
+    """The labels of nodes after more links ``u``, ``v``, if ``ranked`` each with the number of its nodes as ``rank``. Nodes
+    of one label are connected, those of different ones may be. A label goes over to the one of highest rank that it is
+    linked with."""
 
     def ends(end: str) -> DataFrame:
         return labels.select(F.col("node").alias(end), F.struct("rank", "label").alias(f"at_{end}"))
@@ -115,7 +116,9 @@ def connected(links: DataFrame, labels: DataFrame) -> DataFrame:
         steps = steps.join(further, "to", "left").select("label", F.coalesce("further", "to").alias("to"))
     named = salted(labels, steps, "label", "node", "left").select("node", F.coalesce("to", "label").alias("label"))
     named = cut(named)
-    return salted(named, named.groupBy("label").agg(F.count("*").alias("rank")), "label", "node")
+    if not ranked:
+        return named
+    return cut(salted(named, named.groupBy("label").agg(F.count("*").alias("rank")), "label", "node"))
 
 
 def with_pivots(placed: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
@@ -144,12 +147,12 @@ def rare_pairs(nodes: DataFrame, sets: DataFrame, labels: DataFrame, least: floa
     size = F.size("hashes").cast("long").alias("size")
     for _ in range(PEELS):
         # Shingles that no other node has, counted without a join; nodes that have too many of them leave the others'.
-        own = sets.join(nodes, "node", "left_semi").select("node", size, "hashes")
-        tokens = own.select("node", F.explode("hashes").alias("token"))
-        alone = tokens.groupBy("token").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1")
-        alone = alone.groupBy("node").agg(F.count("*").alias("alone"))
-        left = own.select("node", "size").join(alone, "node", "left").fillna(0, ["alone"])
-        nodes = cut(left.where(F.col("alone") < prefix(F.col("size"), least)).select("node"))
+        own = sets.join(nodes, "node", "left_semi").select("node", size, F.explode("hashes").alias("token"))
+        of = [F.min(n).alias(n) for n in ("node", "size")]  # of the only node, both
+        alone = own.groupBy("token").agg(F.count("*").alias("n"), *of).where("n = 1")
+        alone = alone.groupBy("node").agg(F.count("*").alias("alone"), F.min("size").alias("size"))
+        gone = alone.where(F.col("alone") >= prefix(F.col("size"), least)).select("node")
+        nodes = cut(nodes.join(gone, "node", "left_anti"))
     own = sets.join(nodes, "node", "left_semi").join(labels, "node")
     tokens = own.select("node", "label", size, F.explode("hashes").alias("token"))
     several = tokens.groupBy("token").agg(F.count("*").alias("df"), F.min("label").alias("low"), F.max("label").alias("high"))
@@ -176,11 +179,8 @@ def simhash_pairs(nodes: DataFrame, bits: int) -> DataFrame:
     """Pairs ``u``, ``v`` that connect all nodes (``row``, ``fp``) whose SimHashes differ in at most ``bits`` bits."""
     prints = cut(nodes.groupBy("fp").agg(F.min("row").alias("first"), F.count("*").alias("n")))
     same = salted(nodes, prints.where("n > 1").select("fp", "first"), "fp", "row").where("row <> first")
-    pairs = simhash.linked(prints.select("fp"), bits).withColumnsRenamed({"u": "fp_u", "v": "fp_v"})
-    for end in ("u", "v"):
-        ends = prints.select(F.col("fp").alias(f"fp_{end}"), F.col("first").alias(end))
-        pairs = salted(pairs, ends, f"fp_{end}", "fp_v" if end == "u" else "fp_u")
-    return same.select(F.col("row").alias("u"), F.col("first").alias("v")).unionByName(pairs.select("u", "v"))
+    pairs = simhash.linked(prints.select("fp", "first"), bits, name="first")
+    return same.select(F.col("row").alias("u"), F.col("first").alias("v")).unionByName(pairs)
 
 
 def linked(cells: DataFrame, near: DataFrame, texts: DataFrame, words_each: int, least: float) -> DataFrame:
@@ -207,12 +207,13 @@ def linked(cells: DataFrame, near: DataFrame, texts: DataFrame, words_each: int,
 
     times = near.groupBy("v").agg(F.count("*").alias("many"))
     pairs = salted(near, times, "v", "u").select("u", "v", "many").unionByName(with_pivots(placed, labels, 0))
-    found = similar(pairs.groupBy("u", "v").agg(F.max("many").alias("many")), sets, least)
-    labels = cut(connected(found, labels))
+    # Scoring reads the pairs twice; cut, neither their plan nor its exchanges are there twice.
+    found = similar(cut(pairs.groupBy("u", "v").agg(F.max("many").alias("many"))), sets, least)
+    labels = connected(found, labels, ROUNDS > 1)
     # A cell's pairs with its pivot are settled, so cells of two are.
     for turn in range(1, ROUNDS):
         links = similar(cut(with_pivots(placed.where("many > 2"), labels, turn)), sets, least)
-        labels = cut(connected(links, labels))
+        labels = connected(links, labels, turn + 1 < ROUNDS)
         found = found.unionByName(links)
 
     labels = labels.select("node", "label")
@@ -245,15 +246,14 @@ def near_duplicates(texts: DataFrame, words_each: int = 5, least: float = 0.8, b
             }
 
     prints = cut(map_rows(texts.select("row", "text"), work, "row bigint, same binary, fp bigint, bands array<bigint>"))
-    # A node is the first row of its words. Most rows have words of their own, and are told nothing.
-    copies = prints.groupBy("same").agg(F.min("row").alias("node"), F.count("*").alias("n")).where("n > 1")
-    known = salted(prints.select("row", "same"), copies.select("same", "node"), "same", "row", "left")
-    known = cut(known.select("row", F.coalesce("node", "row").alias("node")))
-    later = known.where("row > node").select("row")
-    split = marked(prints.select("row", "fp", "bands"), later, ["row"])
-    firsts = split.where("NOT maybe").unionByName(split.where("maybe").join(later, "row", "left_anti"))
-    cells = firsts.select(F.col("row").alias("node"), F.explode("bands").alias("cell"))
-    near = simhash_pairs(firsts.select("row", "fp"), bits)
+    # A node is the first row of its words; all rows of the same words have its SimHash and bands.
+    alike = [F.first(n).alias(n) for n in ("fp", "bands")]
+    nodes = cut(prints.groupBy("same").agg(F.min("row").alias("node"), F.count("*").alias("n"), *alike))
+    # Most rows have words of their own, and are told nothing.
+    known = salted(prints.select("row", "same"), nodes.where("n > 1").select("same", "node"), "same", "row", "left")
+    known = known.select("row", F.coalesce("node", "row").alias("node"))
+    cells = nodes.select("node", F.explode("bands").alias("cell"))
+    near = simhash_pairs(nodes.select(F.col("node").alias("row"), "fp"), bits)
     roots = components(linked(cells, near, texts.select("row", "text"), words_each, least))
     named = salted(known, roots, "node", "row", "left").select("row", F.coalesce("root", "node").alias("root"))
     rows = cut(texts.select("at", "row").join(named, "row"))

@@ -81,8 +81,9 @@ def band_masks() -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-def linked(fps: DataFrame, bits: int = 2, crowd: int = 64) -> DataFrame:
-    """Edges ``u``, ``v`` that connect all distinct fingerprints ``fp`` differing in at most ``bits`` <= 2 bits.
+def linked(fps: DataFrame, bits: int = 2, crowd: int = 64, name: str = "fp") -> DataFrame:
+    """Edges ``u``, ``v`` that connect all distinct fingerprints ``fp`` differing in at most ``bits`` <= 2 bits. The edges
+    tell the fingerprints by the column ``name``, distinct for each.
 
     Pairs are formed in cells of up to ``crowd`` fingerprints. In more crowded ones, where pairs would grow with the
     square, every fingerprint is instead sent to the 65 values within one bit of it: two fingerprints meet at a
@@ -94,14 +95,15 @@ def linked(fps: DataFrame, bits: int = 2, crowd: int = 64) -> DataFrame:
     cells = F.array(
         *[F.struct(F.lit(i).alias("n"), code.bitwiseAND(F.lit(m)).alias("at")) for i, m in enumerate(band_masks())]
     )
-    placed = fps.select("fp", thermometer(F.col("fp")).alias("code")).withColumn("cell", F.explode(cells))
-    placed = placed.select("fp", "code", "cell.n", "cell.at")
+    own = list(dict.fromkeys(["fp", name]))
+    placed = fps.select(*own, thermometer(F.col("fp")).alias("code")).withColumn("cell", F.explode(cells))
+    placed = placed.select(*own, "code", "cell.n", "cell.at")
     sizes = placed.groupBy("n", "at").agg(F.count("*").alias("size")).where("size > 1")
     shared = cut(placed.join(sizes, ["n", "at"]))
 
-    def side(name: str) -> DataFrame:
+    def side(end: str) -> DataFrame:
         return shared.where(F.col("size") <= crowd).select(
-            "n", "at", F.col("fp").alias(f"fp_{name}"), F.col("code").alias(f"code_{name}")
+            "n", "at", *[F.col(c).alias(f"{c}_{end}") for c in (*own, "code")]
         )
 
     def differ(one: str, other: str) -> Column:
@@ -115,17 +117,19 @@ def linked(fps: DataFrame, bits: int = 2, crowd: int = 64) -> DataFrame:
         & (F.col("fp_a") < F.col("fp_b"))
         & (differ("code_a", "code_b") <= bits)
         & (differ("fp_a", "fp_b") <= bits),
-    ).select(F.col("fp_b").alias("u"), F.col("fp_a").alias("v"))
+    ).select(F.col(f"{name}_b").alias("u"), F.col(f"{name}_a").alias("v"))
 
-    crowded = shared.where(F.col("size") > crowd).select("fp").distinct()
+    crowded = shared.where(F.col("size") > crowd).select(*own).distinct()
     steps = F.array(F.lit(0), *[F.lit(1 << i if i < 63 else -(1 << 63)) for i in range(64)])
-    near = crowded.select("fp", F.explode(steps).alias("step"))
-    near = near.select("fp", F.col("fp").bitwiseXOR(F.col("step")).alias("value"))
-    met = near.groupBy("value").agg(F.min("fp").alias("least"), F.count("*").alias("n")).where("n > 1")
+    near = crowded.select(*own, F.explode(steps).alias("step"))
+    near = near.select(*own, F.col("fp").bitwiseXOR(F.col("step")).alias("value"))
+    least = [F.min("fp").alias("least"), *([] if name == "fp" else [F.min_by(name, "fp").alias("to")])]
+    met = near.groupBy("value").agg(*least, F.count("*").alias("n")).where("n > 1")
     if bits < 2:  # at one bit a fingerprint itself is the value where the others meet it
         raise ValueError("Crowded cells are solved for two bits.")
     stars = near.join(met, "value").where(F.col("fp") != F.col("least"))
-    return pairs.unionByName(stars.select(F.col("fp").alias("u"), F.col("least").alias("v"))).distinct()
+    to = "least" if name == "fp" else "to"
+    return pairs.unionByName(stars.select(F.col(name).alias("u"), F.col(to).alias("v"))).distinct()
 
 
 def near_duplicates(texts: DataFrame, key: str, text: str, words_each: int = 3, bits: int = 2) -> DataFrame:

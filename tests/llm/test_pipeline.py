@@ -142,6 +142,24 @@ def test_near_dedup_of_a_group_forms_few_pairs(spark, tmp_path, monkeypatch):
     assert sum(pairs) < 160 * 24 < len(links)
 
 
+def test_near_dedup_takes_few_jobs(spark, tmp_path):
+    draw, texts = random.Random(19), []
+    for n in range(6):
+        base = [f"w{draw.randrange(4000)}" for _ in range(60)]
+        texts += [" ".join(base), " ".join(base), " ".join([*base, f"a{n}"]), " ".join([*base[4:], f"b{n}"])]
+    docs, sc = documents(spark, tmp_path, texts), spark.sparkContext
+    sc.setJobGroup("few-jobs", "near-dedup")
+    try:
+        kept = STAGES["SimHash near-dedup"](spark, docs, str(tmp_path)).collect()
+        jobs = len(sc.statusTracker().getJobIdsForGroup("few-jobs"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        sc.setLocalProperty("spark.job.description", None)
+    assert sorted(r.doc_id for r in kept) == list(range(0, 24, 4))
+    # What a job, an exchange and a plan leave behind is the driver's memory.
+    assert 0 < jobs < 140
+
+
 def test_passages_of_fifty_words_are_cut(spark, tmp_path):
     draw = random.Random(17)
 
