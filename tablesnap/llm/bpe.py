@@ -13,11 +13,13 @@ and by one text.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from itertools import count
 
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tablesnap.llm.common import map_rows, table
-from tablesnap.llm.tokens import ChunkCache, Recent, special_tokens
+from tablesnap.llm.tokens import ChunkCache, Recent, chunks_of, special_tokens
 
 PAIRS_KEPT = 1_000_000
 NO_RANK = 1 << 60  # of two letters or tokens that are not merged
@@ -129,15 +131,24 @@ class TrieEncoder:
                 token = lasts[at]
                 tokens.append(token)
                 at -= len(token)
-            tokens.reverse()
-            ids = b"".join([packed[t] for t in tokens])
-            found[end] = ids, b"".join([raw[ids[i : i + 4]] for i in range(0, len(ids), 4)])
+            ids = [packed[t] for t in reversed(tokens)]
+            found[end] = b"".join(ids), b"".join([raw[i] for i in ids])
             before = word
         return found
 
 
-# A chunk of letters that every version of Unicode has, with the marks after it: it is cut without the library.
-PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)?( ?[!-&(-/:-@\[-`{-~]+)?\Z")
+# Texts of letters that every version of Unicode has, and of ASCII marks, digits, spaces and line ends, are cut into words
+# without the library.
+LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-/:-@\[-`{-~"
+OTHER = re.compile(rf"[^\n -~{LETTERS}]")
+WORDS = re.compile(
+    rf" ?[{LETTERS}]+| ?[!-&(-/:-@\[-`{{-~][{MARKS}]*| ?[0-9]+|'(?:[sdmt]|ll|ve|re)| ?[{MARKS}]+|\s+(?!\S)|\s+"
+)
+
+
+def pieces_of(text: str) -> list[str]:
+    """The words of a plain text, the chunks of others. A word is a chunk that is cut no further."""
+    return chunks_of(text) if OTHER.search(text) else WORDS.findall(text)
 
 
 class TextCodec:
@@ -148,28 +159,30 @@ class TextCodec:
 
         self.encoder = TrieEncoder(path)
         self.cut_words = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
-        self.space = byte_letters()[ord(" ")]
+        self.space, self.line = byte_letters()[ord(" ")], byte_letters()[ord("\n")]
         self.letters = str.maketrans({chr(b): c for b, c in enumerate(byte_letters())})
         special = {t: (np.array([i], "<u4").tobytes(), t.encode()) for t, i in special_tokens(path).items()}
         self.words = Recent(self.encoder.encode, cache)
-        self.cache = ChunkCache(self.encode_chunks, special, cache)
+        self.cache = ChunkCache(self.encode_chunks, special, cache, pieces_of)
 
     def words_of(self, chunk: str) -> list[str]:
         """The words of a chunk, in byte letters."""
-        plain = PLAIN.match(chunk)
-        if plain and chunk.isascii():
-            return [w.replace(" ", self.space) for w in plain.groups() if w]
-        if plain:
-            return [w.encode().decode("latin-1").translate(self.letters) for w in plain.groups() if w]
-        return [w for w, _ in self.cut_words(chunk)] if chunk else []
+        if OTHER.search(chunk):
+            return [w for w, _ in self.cut_words(chunk)]
+        words = WORDS.findall(chunk)
+        if chunk.isascii():
+            return [w.replace(" ", self.space).replace("\n", self.line) for w in words]
+        return [w.encode().decode("latin-1").translate(self.letters) for w in words]
 
     def encode_chunks(self, chunks: list[str]) -> list[tuple[bytes, bytes]]:
         """Packed ids and decoded bytes of each chunk."""
         cut = [self.words_of(c) for c in chunks]
-        known = self.words
-        known.load({w for words in cut for w in words if w not in known}, cut)
+        # Chunks of one word are as distinct as their words, and the only ones to be remembered for these.
+        alone = iter(self.encoder.encode([ws[0] for ws in cut if len(ws) == 1]))
+        several, known = [ws for ws in cut if len(ws) > 1], self.words
+        known.load({w for words in several for w in words if w not in known}, several)
         return [
-            known[ws[0]] if len(ws) == 1 else (b"".join([known[w][0] for w in ws]), b"".join([known[w][1] for w in ws]))
+            next(alone) if len(ws) == 1 else (b"".join([known[w][0] for w in ws]), b"".join([known[w][1] for w in ws]))
             for ws in cut
         ]
 
@@ -180,6 +193,19 @@ class TextCodec:
             yield b"".join(ids), b"".join(raw).decode("utf-8", "replace")
 
 
+@contextmanager
+def uncollected() -> Iterator[None]:
+    """Without the collector of cycles, which would go through all cached chunks again and again: encoding leaves no
+    cycles behind, and what it drops is freed at once."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 @lru_cache(maxsize=2)
 def codec(path: str) -> TextCodec:
     """One per worker process and tokenizer file."""
@@ -197,7 +223,8 @@ def encode_texts(texts: DataFrame, key: str, text: str, path: str, with_ids: boo
     def work(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
         encode = codec(path).encode
         for batch in batches:
-            both = list(encode(t or "" for t in batch["text"]))
+            with uncollected():
+                both = list(encode(t or "" for t in batch["text"]))
             out = {
                 "key": batch["key"],
                 "n_tokens": [len(i) // 4 for i, _ in both],

@@ -55,19 +55,25 @@ class Recent(dict):
 
 class ChunkCache:
     """What ``encode`` makes of chunks, remembered. ``encode`` gets distinct chunks that hold no special token
-    and gives a value for each; ``special`` has the values of the special tokens."""
-
-    def __init__(self, encode: Callable[[list[str]], Iterable], special: dict[str, object], size: int = 150_000):
-        self.special = special
+    and gives a value for each; ``special`` has the values of the special tokens. ``chunks`` cuts a text."""
+
+    def __init__(
+        self,
+        encode: Callable[[list[str]], Iterable],
+        special: dict[str, object],
+        size: int = 150_000,
+        chunks: Callable[[str], list[str]] = chunks_of,
+    ):
+        self.special, self.chunks = special, chunks
         self.known = Recent(encode, size)
         self.cut = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
 
     def parts(self, text: str) -> list[str]:
         """The chunks and special tokens of a text, in order."""
         if self.cut is None or not self.cut.search(text):
-            return chunks_of(text)
+            return self.chunks(text)
         parts = self.cut.split(text)  # every other one is a special token
-        return [c for i, part in enumerate(parts) for c in ([part] if i % 2 else chunks_of(part) if part else [])]
+        return [c for i, part in enumerate(parts) for c in ([part] if i % 2 else self.chunks(part) if part else [])]
 
     def values(self, texts: Iterable[str], at_once: int = 4_000_000) -> Iterator[list]:
         """For each text the values of its chunks and special tokens, in order. The unknown chunks of about

@@ -1,5 +1,6 @@
 """Every operator over the awkward corpus, against brute force where there is a right answer."""
 
+import gc
 import hashlib
 import math
 import random
@@ -15,8 +16,8 @@ import xxhash
 from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
-from tablesnap.llm import bpe, curves, html_text, language, multiset, packing, quality, repeats, secret_scan, simhash
-from tablesnap.llm.links import components
+from tablesnap.llm import bpe, curves, html_text, language, links, multiset, packing, quality, repeats, secret_scan, simhash
+from tablesnap.llm.links import components, cut
 from tablesnap.llm.queries import QUERIES
 from tests.llm.conftest import prose
 
@@ -392,6 +393,23 @@ def test_op6_random_texts():
         assert fast(text).tolist() == want
 
 
+def test_op6_cuts_plain_texts_into_words_at_once(monkeypatch):
+    draw, tokenizer = random.Random(36), Tokenizer.from_file(BYTE_BPE)
+    parts = [*" \n'.,!$_~0aZÀÿßé", " ", "'s", "'ll", "'x", " 're", " the", "House", "12", "\n\n", "  ", "...'", "'t's"]
+    texts = ["".join(draw.choices(parts, k=draw.randint(0, 30))) for _ in range(6000)]
+    want = [[text[a:b] for _, (a, b) in tokenizer.pre_tokenizer.pre_tokenize_str(text)] for text in texts]
+    assert [bpe.pieces_of(t) for t in texts] == want
+    assert bpe.pieces_of("a\tb ×2 c") == ["a\tb", " ×2", " c"]  # not plain: chunks
+    codec, collected = bpe.TextCodec(BYTE_BPE, cache=50), []
+    monkeypatch.setattr(codec, "cut_words", None)  # the library is not asked
+    with bpe.uncollected():
+        collected.append(gc.isenabled())
+        found = list(codec.encode(texts))
+    assert collected == [False] and gc.isenabled()
+    for text, (ids, decoded) in zip(texts, found, strict=True):
+        assert ids == packed(tokenizer.encode(text, add_special_tokens=False).ids) and decoded == text
+
+
 def merged_by_hand(rank, word):
     parts = list(word)
     while len(parts) > 1:
@@ -687,3 +705,11 @@ def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501), (7, 7)], "u bigint, v bigint")
     found = {r.node: r.root for r in components(edges).collect()}
     assert found == {i: 0 for i in range(1, 201)} | {501: 500}
+
+
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    cuts = []
+    monkeypatch.setattr(links, "cut", lambda df: cuts.append(df) or cut(df))
+    edges = [(i, i % 5) for i in range(5, 40)] + [(2, 12), (3, 3)]
+    found = {r.node: r.root for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
+    assert found == {i: i % 5 for i in range(5, 40)} and len(cuts) == 1
