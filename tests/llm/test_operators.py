@@ -8,11 +8,13 @@ import re
 import time
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
@@ -713,3 +715,21 @@ def test_components_of_stars_take_no_round(spark, monkeypatch):
     edges = [(i, i % 5) for i in range(5, 40)] + [(2, 12), (3, 3)]
     found = {r.node: r.root for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
     assert found == {i: i % 5 for i in range(5, 40)} and len(cuts) == 1
+
+
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f.name for d in folders for f in Path(d.getPath()).glob("*/shuffle_*")}
+
+
+def test_cut_frees_its_shuffles(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting, before = spark.conf.get(name), shuffle_files(spark)
+    counts = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()  # held, so not garbage
+    kept, end = cut(counts), time.time() + 20
+    while shuffle_files(spark) - before and time.time() < end:  # they go in the background
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get(name) == setting
+    # Both frames can still be read.
+    assert sorted(kept.collect()) == sorted(counts.collect()) == [(k, 143 if k < 6 else 142) for k in range(7)]
